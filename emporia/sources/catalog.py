@@ -10,8 +10,11 @@ def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(name)}")
+def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """CREATE DATABASE IF NOT EXISTS; with a location the namespace folder
+    lives in shared storage instead of the local warehouse directory."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(name)}{loc}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
