@@ -83,9 +83,12 @@ class DriverTables:
                         F.col("p_size").alias("product_width_cm"))
 
     def product_category_name_translation(self) -> DataFrame:
-        schema = T.StructType([T.StructField("product_category_name", T.StringType()),
-                               T.StructField("product_category_name_english", T.StringType())])
-        return self.spark.createDataFrame(TRANSLATION_ROWS, schema)
+        """A local relation (VALUES): its size is known to the planner, so
+        the lookup join broadcasts it instead of shuffling the products on
+        a low-cardinality category key."""
+        rows = ", ".join(f"('{a}', '{b}')" for a, b in TRANSLATION_ROWS)
+        return self.spark.sql(
+            f"SELECT * FROM VALUES {rows} AS t(product_category_name, product_category_name_english)")
 
     def shipping_window(self) -> DataFrame:
         """First / last ship date per order: partial aggregation map-side,
