@@ -3,4 +3,4 @@
 from emporia.functions.dates import (  # noqa: F401
     date_key, date_parts, date_series, elapsed_days, parse_timestamp, to_day,
 )
-from emporia.functions.money import exact_sum, round2  # noqa: F401
+from emporia.functions.money import cents, cents_to_amount, exact_sum, round2, sum_cents, sum_partials  # noqa: F401

@@ -1,10 +1,15 @@
-"""Money aggregation.
+"""Exact money aggregation.
 
 Amounts carry two decimals.  A DOUBLE running sum depends on addition
-order (so on partitioning and task retries) and loses cents once totals
-pass ~1e13; summing as DECIMAL is exact and order-independent at any
-scale.  The result is cast back to DOUBLE, the type of the source
-columns, after rounding.
+order (so on partitioning and on task retries) and loses cents once
+totals pass ~1e13.  Instead, amounts are turned into whole cents
+(``rint(x * 100)``, exact for any two-decimal value below ~1e13) and
+summed as BIGINT: exact, order-independent and as cheap as a double sum
+inside whole-stage codegen.  Re-aggregation of already-aggregated
+partials (few rows) widens to DECIMAL(38,0), which cannot overflow; the
+first-level BIGINT sum holds 9.2e16 currency units per group and raises
+(ANSI) rather than wrapping if ever exceeded.  Results are returned as
+the DOUBLE nearest the exact cent value.
 """
 
 from __future__ import annotations
@@ -13,19 +18,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# DECIMAL(18,2) is stored as a long inside Spark (compact); its SUM is
-# DECIMAL(28,2), which cannot overflow for any realistic table.
-MONEY = T.DecimalType(18, 2)
+WIDE = T.DecimalType(38, 0)
 
 
-def money(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast(MONEY)
+def _c(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def cents(c: Column | str) -> Column:
+    """Two-decimal amount -> exact whole cents (BIGINT)."""
+    return F.rint(_c(c) * F.lit(100.0)).cast(T.LongType())
+
+
+def sum_cents(c: Column | str) -> Column:
+    """First-level SUM of an amount, in whole cents (BIGINT)."""
+    return F.sum(cents(c))
+
+
+def sum_partials(c: Column | str) -> Column:
+    """SUM of cent partials (already aggregated per key), DECIMAL(38,0)."""
+    return F.sum(_c(c).cast(WIDE))
+
+
+def cents_to_amount(c: Column | str) -> Column:
+    """Whole cents -> DOUBLE amount (the double nearest the exact value,
+    i.e. what ROUND(x, 2) of an exact sum gives)."""
+    return (_c(c).cast(WIDE) / F.lit(100)).cast(T.DoubleType())
 
 
 def exact_sum(c: Column | str) -> Column:
-    """SUM of a two-decimal amount, exact (DECIMAL accumulator)."""
-    return F.sum(money(c))
+    """One-level exact SUM of an amount, as DOUBLE."""
+    return cents_to_amount(sum_cents(c))
 
 
 def round2(c: Column) -> Column:

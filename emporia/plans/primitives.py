@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.dates import date_key, date_parts, date_series, elapsed_days, parse_timestamp
-from emporia.functions.money import exact_sum, round2
+from emporia.functions.money import exact_sum
 from emporia.operators.relational import (
     bounds_with_default, dedup_rows, distinct_project, enrich_join, lookup_join, not_null, positive,
     project,
@@ -61,7 +61,7 @@ def inner_join_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agg_sum_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = DriverTables(spark, sf_dir)["lineitem"]
-    return li.groupBy("l_returnflag").agg(round2(exact_sum("l_extendedprice")).alias("sum_price"))
+    return li.groupBy("l_returnflag").agg(exact_sum("l_extendedprice").alias("sum_price"))
 
 
 def agg_avg_round(spark: SparkSession, sf_dir: str) -> DataFrame:

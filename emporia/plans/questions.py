@@ -11,7 +11,8 @@ foreign key (one seller with a third of all items) becomes one row per
 task before any shuffle, so neither the join nor the final aggregation
 sees the skew.
 
-Money is summed exactly as DECIMAL (see ``functions.money``); averages are
+Money is summed exactly in whole cents (BIGINT at the fact level, DECIMAL
+for the few re-aggregated partials; see ``functions.money``); averages are
 DOUBLE like the source.  Top-k reports break ties on the group key so the
 k rows are deterministic.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.functions.money import exact_sum, round2
+from emporia.functions.money import cents_to_amount, sum_cents, sum_partials
 
 Gold = dict[str, DataFrame]
 
@@ -34,22 +35,22 @@ def _avg(total: str, count: str) -> F.Column:
 
 def q1_monthly_revenue(g: Gold) -> DataFrame:
     per_day = (g["fact_order_payments"].groupBy("order_purchase_date_key")
-               .agg(exact_sum("payment_value").alias("v")))
+               .agg(sum_cents("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day.join(d, per_day.order_purchase_date_key == d.date_key, "inner")
     return (j.groupBy("year", "month", "month_name")
-            .agg(round2(F.sum("v")).alias("monthly_revenue"))
+            .agg(cents_to_amount(sum_partials("v")).alias("monthly_revenue"))
             .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
                      F.col("month_name").asc_nulls_first()))
 
 
 def q2_category_revenue(g: Gold, limit: int | None = 10) -> DataFrame:
     per_product = (g["fact_order_items"].groupBy("product_id")
-                   .agg(exact_sum("price").alias("v")))
+                   .agg(sum_cents("price").alias("v")))
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
     res = (j.groupBy("product_category_name_english")
-           .agg(round2(F.sum("v")).alias("category_revenue"))
+           .agg(cents_to_amount(sum_partials("v")).alias("category_revenue"))
            .orderBy(F.col("category_revenue").desc_nulls_last(),
                     F.col("product_category_name_english").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
@@ -57,11 +58,11 @@ def q2_category_revenue(g: Gold, limit: int | None = 10) -> DataFrame:
 
 def q3_top_sellers(g: Gold, limit: int | None = 5) -> DataFrame:
     per_seller = (g["fact_order_items"].groupBy("seller_id")
-                  .agg(exact_sum("price").alias("v")))
+                  .agg(sum_cents("price").alias("v")))
     s = g["dim_sellers"].select("seller_id", "seller_city", "seller_state")
     j = per_seller.join(s, "seller_id", "inner")
     res = (j.groupBy("seller_id", "seller_city", "seller_state")
-           .agg(round2(F.sum("v")).alias("total_sales"))
+           .agg(cents_to_amount(sum_partials("v")).alias("total_sales"))
            .orderBy(F.col("total_sales").desc_nulls_last(), F.col("seller_id").asc_nulls_first(),
                     F.col("seller_city").asc_nulls_first(), F.col("seller_state").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
@@ -69,11 +70,11 @@ def q3_top_sellers(g: Gold, limit: int | None = 5) -> DataFrame:
 
 def q4_sales_by_state(g: Gold, limit: int | None = 10) -> DataFrame:
     per_customer = (g["fact_order_items"].groupBy("customer_id")
-                    .agg(exact_sum("price").alias("v")))
+                    .agg(sum_cents("price").alias("v")))
     c = g["dim_customers"].select("customer_id", "customer_state")
     j = per_customer.join(c, "customer_id", "inner")
     res = (j.groupBy("customer_state")
-           .agg(round2(F.sum("v")).alias("total_sales"))
+           .agg(cents_to_amount(sum_partials("v")).alias("total_sales"))
            .orderBy(F.col("total_sales").desc_nulls_last(), F.col("customer_state").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
 
@@ -98,11 +99,11 @@ def q5_delivery_by_state(g: Gold, limit: int | None = 10, positive_only: bool =
 def q6_payment_trends(g: Gold) -> DataFrame:
     per_day_type = (g["fact_order_payments"]
                     .groupBy("order_purchase_date_key", "payment_type")
-                    .agg(F.count(F.lit(1)).alias("n"), exact_sum("payment_value").alias("v")))
+                    .agg(F.count(F.lit(1)).alias("n"), sum_cents("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day_type.join(d, per_day_type.order_purchase_date_key == d.date_key, "inner")
     return (j.groupBy("year", "month", "month_name", "payment_type")
-            .agg(F.sum("n").alias("payment_count"), round2(F.sum("v")).alias("total_payment_value"))
+            .agg(F.sum("n").alias("payment_count"), cents_to_amount(sum_partials("v")).alias("total_payment_value"))
             .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
                      F.col("total_payment_value").desc_nulls_last(),
                      F.col("month_name").asc_nulls_first(), F.col("payment_type").asc_nulls_first()))
