@@ -26,7 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from emporia.plans import checks  # noqa: E402
 from emporia.plans.gold import GOLD_BUILDERS  # noqa: E402
 from emporia.plans.layers import Layers  # noqa: E402
-from emporia.plans.pipeline import read_layer  # noqa: E402
+from emporia.plans.pipeline import read_layer, write_tables  # noqa: E402
 from emporia.plans.questions import QUESTIONS  # noqa: E402
 from emporia.session import local_session, scratch_path  # noqa: E402
 
@@ -57,8 +57,7 @@ def main() -> None:
 
     def build():
         d = scratch_path(spark, "bench_gold")
-        for name in GOLD_BUILDERS:
-            lay.gold[name].write.mode("overwrite").parquet(f"{d}/{name}")
+        write_tables(spark, {n: lay.gold[n] for n in GOLD_BUILDERS}, d)
         gold_dir["path"] = d
 
     times["gold_build"] = timed(build, repeat)

@@ -351,6 +351,8 @@ FROM orders o JOIN b_ship w ON o.o_orderkey = w.l_orderkey""",
     "scan_catalog": "SELECT * FROM supplier",
     "register_external": "SELECT * FROM customer",
     "refresh_external": "SELECT * FROM nation",
+    "incremental_orders": "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year, "
+                          "CAST(month(o_orderdate) AS INTEGER) AS month FROM orders",
 }
 
 

@@ -82,3 +82,34 @@ CATALOG_JOBS = {
     "register_external": register_external,
     "refresh_external": refresh_external,
 }
+
+
+def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental ingest in two arrivals: orders of status F land first,
+    the rest later; the second run appends only the new files.  The result
+    is the whole orders table with its year / month partitions."""
+    from emporia.streaming.incremental import incremental_ingest
+
+    orders = DriverTables(spark, sf_dir)["orders"]
+    text = orders.select(
+        F.col("o_orderkey").cast(T.StringType()).alias("o_orderkey"),
+        F.col("o_custkey").cast(T.StringType()).alias("o_custkey"),
+        "o_orderstatus", F.col("o_totalprice").cast(T.StringType()).alias("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+        "o_orderpriority")
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in text.schema.fields])
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "orders_inc", "orders_ckpt"))
+    write_csv(text.filter(F.col("o_orderstatus") == "F"), f"{landing}/arrival=1")
+    incremental_ingest(spark, landing, schema, out, ckpt, "o_orderdate")
+    write_csv(text.filter(F.col("o_orderstatus") != "F"), f"{landing}/arrival=2")
+    incremental_ingest(spark, landing, schema, out, ckpt, "o_orderdate")
+    res = spark.read.parquet(out)
+    return res.select(
+        F.col("o_orderkey").cast(T.LongType()).alias("o_orderkey"),
+        F.col("o_custkey").cast(T.LongType()).alias("o_custkey"),
+        "o_orderstatus", F.col("o_totalprice").cast(T.DoubleType()).alias("o_totalprice"),
+        F.col("o_orderdate").try_cast(T.TimestampNTZType()).alias("o_orderdate"),
+        "o_orderpriority", "year", "month")
+
+
+CATALOG_JOBS["incremental_orders"] = incremental_orders
