@@ -70,3 +70,19 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "os"]
+
+
+# Suggested settings for a large cluster (documentation and a starting
+# point; the session owner decides).  Shuffle partitions should be about
+# the largest stage's shuffle bytes / advisory size; AQE coalesces down.
+SCALE_CONF: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.session.timeZone": "UTC",
+}
