@@ -38,8 +38,11 @@ def to_day(c: Column | str) -> Column:
 
 
 def date_key(c: Column | str) -> Column:
-    """Date or timestamp -> INT key yyyyMMdd."""
-    return F.date_format(c, DATE_KEY_PATTERN).cast(T.IntegerType())
+    """Date or timestamp -> INT key yyyyMMdd (the value of formatting with
+    ``DATE_KEY_PATTERN``), computed arithmetically on the local date: no
+    per-row string formatting and no dependence on the session zone."""
+    d = F.to_date(c)
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast(T.IntegerType())
 
 
 def date_parts(c: Column | str) -> dict[str, Column]:
