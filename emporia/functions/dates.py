@@ -58,12 +58,19 @@ def date_parts(c: Column | str) -> dict[str, Column]:
     }
 
 
+def wall_seconds(c: Column | str) -> Column:
+    """Whole seconds since 1970-01-01 00:00:00 of a wall-clock timestamp
+    (BIGINT), from its date and time-of-day fields, so no session time zone
+    (and no daylight-saving jump) takes part."""
+    col = F.col(c) if isinstance(c, str) else c
+    return (F.unix_date(F.to_date(col)).cast(T.LongType()) * 86400
+            + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col))
+
+
 def elapsed_days(start: Column | str, end: Column | str) -> Column:
-    """Fractional days between two timestamps: whole seconds / 86400.
-    NULL if either side is NULL."""
-    s = F.col(start) if isinstance(start, str) else start
-    e = F.col(end) if isinstance(end, str) else end
-    return (F.timestamp_diff("SECOND", s, e).cast(T.DoubleType())
+    """Fractional days between two timestamps: (whole seconds of the end -
+    whole seconds of the start) / 86400.  NULL if either side is NULL."""
+    return ((wall_seconds(end) - wall_seconds(start)).cast(T.DoubleType())
             / F.lit(SECONDS_PER_DAY))
 
 

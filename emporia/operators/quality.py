@@ -68,26 +68,35 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
+def column_failures(df: DataFrame, column: str) -> DataFrame:
+    """(unique_failures, not_null_failures) of one column from a single
+    aggregation: group by the column once; the NULL group's size is the
+    not_null failure count, non-null groups above one are unique failures."""
+    g = df.select(column).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return g.agg(
+        F.count_if(F.col(column).isNotNull() & (F.col("n") > 1)).alias("unique"),
+        F.coalesce(F.sum(F.when(F.col(column).isNull(), F.col("n"))), F.lit(0))
+        .cast(T.LongType()).alias("not_null"))
+
+
 def column_test_report(tables: dict[str, DataFrame],
                        tests: dict[str, list[tuple[str, tuple[str, ...]]]]) -> DataFrame:
     """(model_name, column_name, test_name, failures) for every declared
-    test; one aggregation per test, unioned."""
+    test; one aggregation per tested column, unioned."""
     parts = []
     for model, cols in tests.items():
         if model not in tables:
             continue
-        df = tables[model]
         for column, kinds in cols:
             for kind in kinds:
-                if kind == "unique":
-                    failing = unique_failures(df.select(column), column)
-                elif kind == "not_null":
-                    failing = not_null_failures(df.select(column), column)
-                else:
+                if kind not in ("unique", "not_null"):
                     raise ValueError(f"unknown test {kind}")
-                parts.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(model).alias("model_name"), F.lit(column).alias("column_name"),
-                    F.lit(kind).alias("test_name"), "failures"))
+            f = column_failures(tables[model], column)
+            rows = f.select(F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`)")
+                            .alias("test_name", "failures"))
+            parts.append(rows.filter(F.col("test_name").isin(*kinds)).select(
+                F.lit(model).alias("model_name"), F.lit(column).alias("column_name"),
+                "test_name", "failures"))
     return reduce(DataFrame.unionByName, parts)
 
 

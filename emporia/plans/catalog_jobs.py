@@ -95,7 +95,7 @@ def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast(T.StringType()).alias("o_orderkey"),
         F.col("o_custkey").cast(T.StringType()).alias("o_custkey"),
         "o_orderstatus", F.col("o_totalprice").cast(T.StringType()).alias("o_totalprice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"),
+        F.col("o_orderdate").cast(T.StringType()).alias("o_orderdate"),
         "o_orderpriority")
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in text.schema.fields])
     landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "orders_inc", "orders_ckpt"))

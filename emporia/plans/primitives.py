@@ -18,10 +18,6 @@ from emporia.plans.gold import DEFAULT_FIRST_DAY, DEFAULT_LAST_DAY
 from emporia.plans.layers import Layers
 from emporia.sources.driver_tables import DriverTables
 
-TS_TEXT = "yyyy-MM-dd HH:mm:ss"
-DATE_TEXT = "yyyy-MM-dd"
-
-
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DriverTables(spark, sf_dir)["orders"]
 
@@ -94,8 +90,10 @@ def raw_purchase_text(orders: DataFrame) -> DataFrame:
     """Orders' purchase time as source-like text in three shapes: full
     date-time (status F), date only (status O) and an unparsable word
     (status P)."""
-    raw = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", TS_TEXT))
-           .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", DATE_TEXT))
+    # CAST of TIMESTAMP_NTZ / DATE to text does not pass through the
+    # session time zone (date_format would).
+    raw = (F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate").cast(T.StringType()))
+           .when(F.col("o_orderstatus") == "O", F.to_date("o_orderdate").cast(T.StringType()))
            .otherwise(F.col("o_orderpriority")))
     return orders.select(F.col("o_orderkey").alias("order_id"), raw.alias("raw_purchase_timestamp"))
 
