@@ -58,9 +58,3 @@ class Layers:
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Layers":
         return cls(_Bronze(DriverTables(spark, sf_dir)))
-
-    @classmethod
-    def from_gold(cls, gold: Mapping) -> "Layers":
-        obj = cls.__new__(cls)
-        obj.bronze, obj.silver, obj.gold = {}, {}, gold
-        return obj

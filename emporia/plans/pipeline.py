@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS, build_gold
 from emporia.plans.questions import QUESTIONS
-from emporia.plans.silver import SILVER_BUILDERS, build_silver
+from emporia.plans.silver import SILVER_BUILDERS, SILVER_INPUT, build_silver
 from emporia.sources import catalog
 from emporia.sources.files import discover_sources, write_csv
 from emporia.sources.observe import with_row_count
@@ -91,6 +91,10 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str,
     report = {"bronze": ingest(spark, raw_dir, f"{work}/bronze")}
     bronze = read_layer(spark, f"{work}/bronze", SOURCE_TABLES)
     report["silver"] = build_silver_tables(spark, bronze, f"{work}/silver", silver_ns)
+    # rows removed by Silver rules (dedup, purchase-time guard), per table
+    report["silver_removed"] = {s: report["bronze"][b] - report["silver"][s]
+                                for s, b in SILVER_INPUT.items()
+                                if b in report["bronze"] and s in report["silver"]}
     silver = read_layer(spark, f"{work}/silver", SILVER_BUILDERS)
     report["gold"] = build_gold_tables(spark, silver, f"{work}/gold", gold_ns)
     gold = read_layer(spark, f"{work}/gold", GOLD_BUILDERS)

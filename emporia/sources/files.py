@@ -38,7 +38,7 @@ def discover_sources(spark: SparkSession, raw_dir: str,
                      tables: tuple[str, ...] | list[str] | None = None) -> dict[str, DataFrame]:
     """Declared tables -> lazy CSV scans.  Fails when a declared table has no
     file (the scan resolves its file listing eagerly)."""
-    wanted = list(tables or SOURCE_SCHEMAS)
+    wanted = list(SOURCE_SCHEMAS) if tables is None else list(tables)
     if not wanted:
         raise ValueError("no source tables declared")
     out: dict[str, DataFrame] = {}

@@ -37,6 +37,25 @@ def test_load_report(result, spark):
     assert spark.catalog.tableExists("t_gold.fact_order_items")
 
 
+def test_rows_removed_by_silver_rules(result, spark):
+    out, lay = result
+    removed = out["report"]["silver_removed"]
+    geo = lay.bronze["geolocation"]
+    assert removed["silver_geolocation"] == geo.count() - geo.distinct().count()
+    assert removed["silver_orders"] == 0  # every driver order has a purchase time
+    assert removed["silver_order_items"] == 0
+
+
+def test_missing_source_fails(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from emporia.sources.files import discover_sources
+    with pytest.raises(AnalysisException):
+        discover_sources(spark, str(tmp_path), ["orders"])
+    with pytest.raises(ValueError):
+        discover_sources(spark, str(tmp_path), [])
+
+
 def test_column_tests(result):
     tests = result[0]["report"]["tests"]
     assert len(tests) == 19
