@@ -80,22 +80,40 @@ def build_gold_tables(spark: SparkSession, silver: Mapping[str, DataFrame], gold
     return write_tables(spark, build_gold(dict(silver)), gold_dir, namespace)
 
 
+def register_layer_views(layer: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
+    """Register every frame of a layer as a session temp view (the view is
+    the frame's lazy plan), so SQL can be run over the layer."""
+    names = []
+    for name, df in layer.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
+
+
 def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str,
                  silver_ns: str | None = "default_silver",
-                 gold_ns: str | None = "default_gold") -> dict:
+                 gold_ns: str | None = "default_gold",
+                 silver_as_views: bool = False) -> dict:
     """L4: ingest -> Silver -> Gold -> column tests -> questions.
 
-    Returns the load report, the test report (collected: one small row per
-    declared test) and the lazy answers over the written Gold tables."""
+    Silver is written as tables, or (``silver_as_views``) kept as lazy views
+    over Bronze, the way SQL models materialise a view layer; Gold is always
+    written.  Returns the load report, the test report (collected: one
+    small row per declared test) and the lazy answers over the written Gold
+    tables."""
     work = work_dir.rstrip("/")
     report = {"bronze": ingest(spark, raw_dir, f"{work}/bronze")}
     bronze = read_layer(spark, f"{work}/bronze", SOURCE_TABLES)
-    report["silver"] = build_silver_tables(spark, bronze, f"{work}/silver", silver_ns)
-    # rows removed by Silver rules (dedup, purchase-time guard), per table
-    report["silver_removed"] = {s: report["bronze"][b] - report["silver"][s]
-                                for s, b in SILVER_INPUT.items()
-                                if b in report["bronze"] and s in report["silver"]}
-    silver = read_layer(spark, f"{work}/silver", SILVER_BUILDERS)
+    if silver_as_views:
+        silver = build_silver(dict(bronze))
+        register_layer_views(silver)
+    else:
+        report["silver"] = build_silver_tables(spark, bronze, f"{work}/silver", silver_ns)
+        # rows removed by Silver rules (dedup, purchase-time guard), per table
+        report["silver_removed"] = {s: report["bronze"][b] - report["silver"][s]
+                                    for s, b in SILVER_INPUT.items()
+                                    if b in report["bronze"] and s in report["silver"]}
+        silver = read_layer(spark, f"{work}/silver", SILVER_BUILDERS)
     report["gold"] = build_gold_tables(spark, silver, f"{work}/gold", gold_ns)
     gold = read_layer(spark, f"{work}/gold", GOLD_BUILDERS)
     tests = checks.column_tests(silver, gold).collect()

@@ -68,3 +68,25 @@ def test_column_tests(result):
 def test_answers_equal_lazy_queries(result, q):
     out, lay = result
     assert _rows(out["answers"][q]) == _rows(QUESTIONS[q](lay.gold))
+
+
+def test_sql_over_gold_views_equals_dataframe_answers(result, spark):
+    """Gold registered as temp views; the questions' SQL text gives the
+    same answers as the DataFrame plans."""
+    from emporia.oracle import QUESTIONS as SQL
+    from emporia.plans.pipeline import register_layer_views
+
+    out, lay = result
+    register_layer_views(lay.gold)
+    for q in ("q2_category_revenue", "q5_delivery_by_state", "q7_review_by_category"):
+        assert _rows(spark.sql(SQL[q])) == _rows(QUESTIONS[q](lay.gold))
+
+
+def test_silver_as_views(spark, sf_small):
+    lay = Layers.from_driver(spark, sf_small)
+    raw = scratch_path(spark, "raw_v")
+    export_sources_csv(lay.bronze, raw)
+    out = run_pipeline(spark, raw, scratch_path(spark, "work_v"), None, "t_gold_v", silver_as_views=True)
+    assert spark.catalog.tableExists("silver_orders")
+    assert "silver" not in out["report"]
+    assert _rows(out["answers"]["q4_sales_by_state"]) == _rows(QUESTIONS["q4_sales_by_state"](lay.gold))
