@@ -79,9 +79,10 @@ def main(argv: list[str] | None = None) -> int:
         return 1 if failed else 0
     elif args.job == "analysis":
         silver = read_layer(spark, args.silver, checks.PROFILED)
-        _show("duplicate profile", checks.duplicate_profile(silver), 100)
-        _show("key violations", checks.duplicate_keys(silver), 100)
-        _show("most repeated keys", checks.duplicate_keys_top5(silver), 100)
+        for title, rows in checks.analysis_report(silver).items():
+            print(f"== {title}")
+            for r in rows:
+                print(json.dumps(r.asDict(), default=str))
     elif args.job == "questions":
         gold = read_layer(spark, args.gold, GOLD_BUILDERS)
         for name, fn in QUESTIONS.items():

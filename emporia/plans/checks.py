@@ -32,3 +32,16 @@ def column_tests(silver: Mapping, gold: Mapping) -> DataFrame:
     tables = {**{k: silver[k] for k in silver if k in COLUMN_TESTS},
               **{k: gold[k] for k in gold if k in COLUMN_TESTS}}
     return quality.column_test_report(tables, COLUMN_TESTS)
+
+
+def analysis_report(silver: Mapping, parallelism: int = 3) -> dict[str, list]:
+    """The three duplicate reports, collected (they are small: one row per
+    table, or five per table), submitted as concurrent jobs so that their
+    many small stages overlap."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jobs = {"duplicate_profile": duplicate_profile, "duplicate_keys": duplicate_keys,
+            "duplicate_keys_top5": duplicate_keys_top5}
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = {k: pool.submit(lambda f=f: f(silver).collect()) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}

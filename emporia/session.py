@@ -27,6 +27,7 @@ def local_session(cpus: int | str = "*", app: str = "emporia", shuffle_partition
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.sources.fileCompressionFactor", "4")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
@@ -83,6 +84,9 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Parquet size estimates are compressed bytes; scale them so a side
+    # is broadcast only when its decoded size fits the threshold.
+    "spark.sql.sources.fileCompressionFactor": "4",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.session.timeZone": "UTC",
 }
