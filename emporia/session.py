@@ -8,7 +8,6 @@ On a cluster the scratch root is the shared folder named by
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,7 +69,7 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "os"]
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "SCALE_CONF"]
 
 
 # Suggested settings for a large cluster (documentation and a starting

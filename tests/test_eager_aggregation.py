@@ -8,7 +8,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import types as T
 
 from emporia.plans.questions import QUESTIONS
 from emporia.oracle import QUESTIONS as SQL
