@@ -82,6 +82,9 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # split a hot join partition even when that costs an extra shuffle
+    # (chains of joins on one key, e.g. order enrichment then reviews)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     # Parquet size estimates are compressed bytes; scale them so a side
     # is broadcast only when its decoded size fits the threshold.
