@@ -19,7 +19,7 @@ b_customers AS (
 b_geolocation AS (
   SELECT CAST(c.c_nationkey AS VARCHAR) AS geolocation_zip_code_prefix,
          CAST(c.c_nationkey AS DOUBLE) AS geolocation_lat,
-         -CAST(c.c_nationkey AS DOUBLE) AS geolocation_lng,
+         CAST(-c.c_nationkey AS DOUBLE) AS geolocation_lng,
          c.c_mktsegment AS geolocation_city, n.n_name AS geolocation_state
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
 b_sellers AS (

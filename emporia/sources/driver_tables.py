@@ -58,7 +58,7 @@ class DriverTables:
         return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
                 .select(F.col("c_nationkey").cast(T.StringType()).alias("geolocation_zip_code_prefix"),
                         F.col("c_nationkey").cast(T.DoubleType()).alias("geolocation_lat"),
-                        (-F.col("c_nationkey").cast(T.DoubleType())).alias("geolocation_lng"),
+                        (-F.col("c_nationkey")).cast(T.DoubleType()).alias("geolocation_lng"),
                         F.col("c_mktsegment").alias("geolocation_city"),
                         F.col("n_name").alias("geolocation_state")))
 

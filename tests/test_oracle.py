@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import math
 import os
 
 import duckdb
@@ -19,7 +20,8 @@ DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string"
 
 def _norm(v):
     if isinstance(v, float):
-        return round(v, 9)
+        r = round(v, 9)
+        return ("zero", math.copysign(1.0, v)) if r == 0 else r
     if isinstance(v, decimal.Decimal):
         return round(float(v), 9)
     if isinstance(v, dt.datetime):
