@@ -33,25 +33,32 @@ def _avg(total: str, count: str) -> F.Column:
     return F.when(F.col(count) > 0, F.col(total).cast(T.DoubleType()) / F.col(count).cast(T.DoubleType()))
 
 
-def q1_monthly_revenue(g: Gold) -> DataFrame:
+def q1_monthly_revenue(g: Gold, limit: int | None = None, with_month: bool = True) -> DataFrame:
+    """Revenue per calendar month.  ``limit`` keeps the first months;
+    ``with_month=False`` drops the month number from the output (it still
+    orders the rows)."""
     per_day = (g["fact_order_payments"].groupBy("order_purchase_date_key")
                .agg(sum_cents("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day.join(d, per_day.order_purchase_date_key == d.date_key, "inner")
-    return (j.groupBy("year", "month", "month_name")
-            .agg(cents_to_amount(sum_partials("v")).alias("monthly_revenue"))
-            .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
-                     F.col("month_name").asc_nulls_first()))
+    res = (j.groupBy("year", "month", "month_name")
+           .agg(cents_to_amount(sum_partials("v")).alias("monthly_revenue"))
+           .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
+                    F.col("month_name").asc_nulls_first()))
+    if limit is not None:
+        res = res.limit(limit)
+    return res if with_month else res.select("year", "month_name", "monthly_revenue")
 
 
-def q2_category_revenue(g: Gold, limit: int | None = 10) -> DataFrame:
+def q2_category_revenue(g: Gold, limit: int | None = 10,
+                        revenue_name: str = "category_revenue") -> DataFrame:
     per_product = (g["fact_order_items"].groupBy("product_id")
                    .agg(sum_cents("price").alias("v")))
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
     res = (j.groupBy("product_category_name_english")
-           .agg(cents_to_amount(sum_partials("v")).alias("category_revenue"))
-           .orderBy(F.col("category_revenue").desc_nulls_last(),
+           .agg(cents_to_amount(sum_partials("v")).alias(revenue_name))
+           .orderBy(F.col(revenue_name).desc_nulls_last(),
                     F.col("product_category_name_english").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
 
@@ -96,39 +103,47 @@ def q5_delivery_by_state(g: Gold, limit: int | None = 10, positive_only: bool =
     return res.limit(limit) if limit is not None else res
 
 
-def q6_payment_trends(g: Gold) -> DataFrame:
+def q6_payment_trends(g: Gold, limit: int | None = None, count_name: str = "payment_count",
+                      value_name: str = "total_payment_value") -> DataFrame:
     per_day_type = (g["fact_order_payments"]
                     .groupBy("order_purchase_date_key", "payment_type")
                     .agg(F.count(F.lit(1)).alias("n"), sum_cents("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day_type.join(d, per_day_type.order_purchase_date_key == d.date_key, "inner")
-    return (j.groupBy("year", "month", "month_name", "payment_type")
-            .agg(F.sum("n").alias("payment_count"), cents_to_amount(sum_partials("v")).alias("total_payment_value"))
-            .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
-                     F.col("total_payment_value").desc_nulls_last(),
-                     F.col("month_name").asc_nulls_first(), F.col("payment_type").asc_nulls_first()))
+    res = (j.groupBy("year", "month", "month_name", "payment_type")
+           .agg(F.sum("n").alias(count_name), cents_to_amount(sum_partials("v")).alias(value_name))
+           .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
+                    F.col(value_name).desc_nulls_last(),
+                    F.col("month_name").asc_nulls_first(), F.col("payment_type").asc_nulls_first()))
+    return res.limit(limit) if limit is not None else res
 
 
-def q7_review_by_category(g: Gold) -> DataFrame:
+def q7_review_by_category(g: Gold, limit: int | None = None, count_rows: bool = False,
+                          count_name: str = "review_count") -> DataFrame:
     """Reviews x items by order, then product: a review counts once per
     item of its order (fan-out kept on purpose), duplicated review ids are
     not removed.  Carried as per-order (sum, count) of scores; the item
-    join then multiplies them by the order's items."""
+    join then multiplies them by the order's items, so the review x item
+    pairs are never materialised.  The count is COUNT(review_score), or
+    with ``count_rows`` COUNT(*) of the joined rows."""
     per_order = (g["fact_order_reviews"].groupBy("order_id")
-                 .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("n")))
+                 .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("n"),
+                      F.count(F.lit(1)).alias("r")))
     items = g["fact_order_items"].select("order_id", "product_id")
     per_product = (items.join(per_order, "order_id", "inner")
-                   .groupBy("product_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+                   .groupBy("product_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
+                                              F.sum("r").alias("r")))
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
-    return (j.groupBy("product_category_name_english")
-            .agg(F.sum("s").alias("s"), F.sum("n").alias("review_count"))
-            .select("product_category_name_english",
-                    F.round(_avg("s", "review_count"), 2).alias("avg_review_score"),
-                    "review_count")
-            .orderBy(F.col("avg_review_score").desc_nulls_last(),
-                     F.col("review_count").desc_nulls_last(),
-                     F.col("product_category_name_english").asc_nulls_first()))
+    res = (j.groupBy("product_category_name_english")
+           .agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("r").alias("r"))
+           .select("product_category_name_english",
+                   F.round(_avg("s", "n"), 2).alias("avg_review_score"),
+                   F.col("r" if count_rows else "n").alias(count_name))
+           .orderBy(F.col("avg_review_score").desc_nulls_last(),
+                    F.col(count_name).desc_nulls_last(),
+                    F.col("product_category_name_english").asc_nulls_first()))
+    return res.limit(limit) if limit is not None else res
 
 
 QUESTIONS = {
@@ -140,3 +155,17 @@ QUESTIONS = {
     "q6_payment_trends": q6_payment_trends,
     "q7_review_by_category": q7_review_by_category,
 }
+
+
+# The verification report's variants of the questions (other limits and
+# output names, Q5 without the positive guard, Q7 counting joined rows).
+VERIFY_VARIANTS = {
+    "verify_monthly_revenue": lambda g: q1_monthly_revenue(g, limit=5, with_month=False),
+    "verify_category_revenue": lambda g: q2_category_revenue(g, limit=5, revenue_name="total_revenue"),
+    "verify_sales_by_state": lambda g: q4_sales_by_state(g, limit=5),
+    "verify_delivery_by_state": lambda g: q5_delivery_by_state(g, limit=5, positive_only=False),
+    "verify_payment_trends": lambda g: q6_payment_trends(g, limit=20, count_name="tx_count",
+                                                         value_name="total_value"),
+    "verify_review_by_category": lambda g: q7_review_by_category(g, limit=5, count_rows=True,
+                                                                 count_name="total_reviews"),
+}

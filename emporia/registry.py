@@ -18,7 +18,7 @@ from emporia.plans.catalog_jobs import CATALOG_JOBS
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.layers import Layers
 from emporia.plans.primitives import PRIMITIVES
-from emporia.plans.questions import QUESTIONS
+from emporia.plans.questions import QUESTIONS, VERIFY_VARIANTS
 from emporia.plans.silver import SILVER_BUILDERS, SILVER_INPUT
 from emporia.sources.observe import rows_before_after
 
@@ -34,7 +34,8 @@ def _gold(name: str) -> Query:
 
 
 def _question(name: str) -> Query:
-    return lambda spark, sf: QUESTIONS[name](Layers.from_driver(spark, sf).gold)
+    fn = QUESTIONS.get(name) or VERIFY_VARIANTS[name]
+    return lambda spark, sf: fn(Layers.from_driver(spark, sf).gold)
 
 
 def layer_row_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +71,7 @@ def column_tests(spark: SparkSession, sf: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
-    for name in QUESTIONS:
+    for name in list(QUESTIONS) + list(VERIFY_VARIANTS):
         q[name] = _question(name)
     for name in SILVER_BUILDERS:
         if name in checks.PROFILED:
