@@ -9,6 +9,7 @@
     questions   GOLD_DIR [--limit-rows N]  Q1-Q7
     pipeline    RAW_DIR WORK_DIR           all of the above
     incremental SOURCE_DIR TABLE OUT_DIR CHECKPOINT_DIR DATE_COLUMN
+    register    LAYER_DIR NAMESPACE {bronze,silver,gold}   re-register a layer's tables
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.pipeline import (
-    build_gold_tables, build_silver_tables, ingest, read_layer, run_pipeline,
+    build_gold_tables, build_silver_tables, ingest, read_layer, register_layer_tables, run_pipeline,
 )
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
@@ -54,6 +55,8 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("questions"); a.add_argument("gold"); a.add_argument("--limit-rows", type=int, default=50)
     a = sub.add_parser("pipeline"); a.add_argument("raw"); a.add_argument("work")
     a.add_argument("--silver-views", action="store_true")
+    a = sub.add_parser("register"); a.add_argument("base"); a.add_argument("namespace")
+    a.add_argument("layer", choices=["bronze", "silver", "gold"])
     a = sub.add_parser("incremental")
     for n in ("source", "table", "out", "checkpoint", "date_column"):
         a.add_argument(n)
@@ -94,6 +97,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(rep))
         for name, df in out["answers"].items():
             _show(name, df, 50)
+    elif args.job == "register":
+        names = {"bronze": SOURCE_TABLES, "silver": list(SILVER_BUILDERS),
+                 "gold": list(GOLD_BUILDERS)}[args.layer]
+        print(json.dumps(register_layer_tables(spark, args.namespace, args.base, names)))
     elif args.job == "incremental":
         from emporia.streaming.incremental import incremental_ingest
         q = incremental_ingest(spark, args.source, SOURCE_SCHEMAS[args.table], args.out,

@@ -80,6 +80,20 @@ def build_gold_tables(spark: SparkSession, silver: Mapping[str, DataFrame], gold
     return write_tables(spark, build_gold(dict(silver)), gold_dir, namespace)
 
 
+def register_layer_tables(spark: SparkSession, namespace: str, base: str, names,
+                          replace: bool = True) -> list[str]:
+    """Register existing Parquet folders ``<base>/<name>`` as external
+    catalog tables ``<namespace>.<name>`` (S9 / S10): with ``replace`` each
+    table is dropped and re-created over its location (files are kept),
+    then refreshed."""
+    catalog.create_namespace(spark, namespace, f"{base.rstrip('/')}/_{namespace}.db")
+    out = []
+    for n in names:
+        catalog.register_parquet(spark, f"{namespace}.{n}", f"{base.rstrip('/')}/{n}", replace)
+        out.append(f"{namespace}.{n}")
+    return out
+
+
 def register_layer_views(layer: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
     """Register every frame of a layer as a session temp view (the view is
     the frame's lazy plan), so SQL can be run over the layer."""

@@ -16,5 +16,9 @@ def test_cli_jobs(spark, sf_small, capsys):
     assert cli.main(["gold", f"{w}/silver", f"{w}/gold", "--namespace", "cli_gold"]) == 0
     assert cli.main(["test", f"{w}/silver", f"{w}/gold"]) == 0
     assert cli.main(["questions", f"{w}/gold", "--limit-rows", "2"]) == 0
+    assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0
+    assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0  # idempotent
+    assert spark.table("cli_gold_ext.fact_order_items").count() == \
+        spark.read.parquet(f"{w}/gold/fact_order_items").count()
     out = capsys.readouterr().out
     assert "PASS unique(dim_date.date_key)" in out and "== q7_review_by_category" in out
