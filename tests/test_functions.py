@@ -48,3 +48,32 @@ def test_exact_sum_in_cents(spark):
     r = df.agg(exact_sum("x").alias("s"), F.sum(cents("x")).alias("c")).first()
     assert r.c == sum(round(v * 100) for v in vals) * 1000
     assert r.s == float(f"{r.c / 100:.2f}")
+
+
+def test_date_key_and_elapsed_days_match_python(spark):
+    """Random wall-clock timestamps (1900-2100) in one Spark job: the key
+    equals strftime('%Y%m%d') and elapsed days equal whole-second
+    differences / 86400, whatever the session zone."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 12, 31))
+    cases: list[tuple[dt.datetime, dt.datetime]] = []
+
+    @settings(max_examples=300, derandomize=True, deadline=None)
+    @given(stamps, stamps)
+    def collect(a, b):
+        cases.append((a.replace(microsecond=0), b.replace(microsecond=0)))
+
+    collect()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(cases, "a timestamp_ntz, b timestamp_ntz")
+        got = df.select("a", "b", date_key("a").alias("k"),
+                        elapsed_days("a", "b").alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for r in got:
+        assert r.k == int(r.a.strftime("%Y%m%d"))
+        assert r.d == (r.b - r.a).total_seconds() / 86400.0
