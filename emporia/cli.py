@@ -23,7 +23,8 @@ from pyspark.sql import SparkSession
 from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.pipeline import (
-    build_gold_tables, build_silver_tables, ingest, read_layer, register_layer_tables, run_pipeline,
+    build_gold_tables, build_silver_tables, ingest, layer_schemas, read_layer, register_layer_tables,
+    run_pipeline,
 )
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
@@ -64,7 +65,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
 
     if args.job == "ingest":
-        print(json.dumps(ingest(spark, args.raw, args.bronze)))
+        rows = ingest(spark, args.raw, args.bronze)
+        schemas = layer_schemas(read_layer(spark, args.bronze, list(rows)))
+        print(json.dumps({t: {"rows": n, "schema": schemas[t]} for t, n in rows.items()}))
     elif args.job == "silver":
         bronze = read_layer(spark, args.bronze, SOURCE_TABLES)
         print(json.dumps(build_silver_tables(spark, bronze, args.silver, args.namespace)))

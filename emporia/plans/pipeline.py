@@ -59,6 +59,11 @@ def write_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str
         return dict(pool.map(one, names))
 
 
+def layer_schemas(tables: Mapping[str, DataFrame]) -> dict[str, str]:
+    """Table -> schema as DDL text (part of the load report)."""
+    return {name: df.schema.simpleString() for name, df in tables.items()}
+
+
 def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str) -> dict[str, int]:
     """L1: every declared source CSV -> Parquet (overwrite), with row counts."""
     return write_tables(spark, discover_sources(spark, raw_dir), bronze_dir, None)
@@ -118,6 +123,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str,
     work = work_dir.rstrip("/")
     report = {"bronze": ingest(spark, raw_dir, f"{work}/bronze")}
     bronze = read_layer(spark, f"{work}/bronze", SOURCE_TABLES)
+    report["bronze_schema"] = layer_schemas(bronze)
     if silver_as_views:
         silver = build_silver(dict(bronze))
         register_layer_views(silver)

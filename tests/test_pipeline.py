@@ -35,6 +35,7 @@ def test_load_report(result, spark):
     assert rep["silver"]["silver_geolocation"] == lay.silver["silver_geolocation"].count()
     assert rep["gold"]["fact_order_items"] == lay.gold["fact_order_items"].count()
     assert spark.catalog.tableExists("t_gold.fact_order_items")
+    assert rep["bronze_schema"]["customers"].startswith("struct<customer_id:string,")
 
 
 def test_rows_removed_by_silver_rules(result, spark):
