@@ -88,7 +88,7 @@ def main(argv: list[str] | None = None) -> int:
         for title, rows in checks.analysis_report(silver).items():
             print(f"== {title}")
             for r in rows:
-                print(json.dumps(r.asDict(), default=str))
+                print(json.dumps(r, default=str))
     elif args.job == "questions":
         gold = read_layer(spark, args.gold, GOLD_BUILDERS)
         for name, fn in QUESTIONS.items():

@@ -54,6 +54,31 @@ def top_duplicate_keys(df: DataFrame, table_name: str, keys: list[str], k: int =
                     F.col("n").alias("occurrences")))
 
 
+def key_report(df: DataFrame, table_name: str, keys: list[str], k: int = 5) -> tuple:
+    """Key summary and the k most repeated keys from ONE aggregation.
+
+    The top-k action consumes every group in its result stage; an
+    ``observe`` on the grouped counts (before the ``n > 1`` filter) yields
+    the summary from the same pass.  Result-stage metrics are counted once
+    per successful task, so a retried task does not double them.
+    Returns (summary row as dict, list of top-k rows)."""
+    from pyspark.sql import Observation
+
+    obs = Observation(f"keys:{table_name}")
+    g = _counts(df, keys).observe(obs, F.count(F.lit(1)).alias("distinct_keys"),
+                                  F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    order = [F.col("n").desc()] + [F.col(c).asc_nulls_first() for c in keys]
+    top = (g.filter(F.col("n") > 1).orderBy(*order).limit(k)
+           .select(F.lit(table_name).alias("table_name"),
+                   F.concat_ws("|", *[F.col(c).cast(T.StringType()) for c in keys]).alias("key_value"),
+                   F.col("n").alias("occurrences"))
+           .collect())
+    m = obs.get
+    summary = {"table_name": table_name, "key_columns": ",".join(keys),
+               "distinct_keys": int(m["distinct_keys"]), "duplicate_keys": int(m["duplicate_keys"])}
+    return summary, top
+
+
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Failing rows of a ``unique`` column test: non-null values seen more
     than once."""

@@ -34,14 +34,18 @@ def column_tests(silver: Mapping, gold: Mapping) -> DataFrame:
     return quality.column_test_report(tables, COLUMN_TESTS)
 
 
-def analysis_report(silver: Mapping, parallelism: int = 3) -> dict[str, list]:
-    """The three duplicate reports, collected (they are small: one row per
-    table, or five per table), submitted as concurrent jobs so that their
-    many small stages overlap."""
+def analysis_report(silver: Mapping, parallelism: int = 4) -> dict[str, list]:
+    """The duplicate analysis, collected (small: one row per table, or k
+    per table): the whole-row profile is one job; each keyed table gets
+    one job that yields both its key summary and its most repeated keys.
+    Jobs are submitted concurrently so their small stages overlap."""
     from concurrent.futures import ThreadPoolExecutor
 
-    jobs = {"duplicate_profile": duplicate_profile, "duplicate_keys": duplicate_keys,
-            "duplicate_keys_top5": duplicate_keys_top5}
+    keyed = [(t, k) for t in PROFILED if (k := SILVER_KEYS[t])]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = {k: pool.submit(lambda f=f: f(silver).collect()) for k, f in jobs.items()}
-        return {k: fut.result() for k, fut in futures.items()}
+        prof = pool.submit(lambda: duplicate_profile(silver).collect())
+        keys = [pool.submit(quality.key_report, silver[t], t, k) for t, k in keyed]
+        results = [f.result() for f in keys]
+        return {"duplicate_profile": [r.asDict() for r in prof.result()],
+                "duplicate_keys": [summary for summary, _ in results],
+                "duplicate_keys_top5": [r.asDict() for _, top in results for r in top]}

@@ -91,3 +91,19 @@ def test_silver_as_views(spark, sf_small):
     assert spark.catalog.tableExists("silver_orders")
     assert "silver" not in out["report"]
     assert _rows(out["answers"]["q4_sales_by_state"]) == _rows(QUESTIONS["q4_sales_by_state"](lay.gold))
+
+
+def test_single_pass_key_analysis_equals_reports(spark, sf_small):
+    """analysis_report (one job per keyed table, summary by observe) gives
+    the same rows as the separate lazy reports."""
+    from emporia.plans import checks
+
+    lay = Layers.from_driver(spark, sf_small)
+    rep = checks.analysis_report(lay.silver)
+    as_set = lambda rows: sorted(tuple(sorted(r.items())) for r in rows)
+    assert as_set(rep["duplicate_keys"]) == as_set(
+        [r.asDict() for r in checks.duplicate_keys(lay.silver).collect()])
+    assert as_set(rep["duplicate_keys_top5"]) == as_set(
+        [r.asDict() for r in checks.duplicate_keys_top5(lay.silver).collect()])
+    assert as_set(rep["duplicate_profile"]) == as_set(
+        [r.asDict() for r in checks.duplicate_profile(lay.silver).collect()])
