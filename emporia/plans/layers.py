@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.silver import SILVER_BUILDERS
 from emporia.sources.driver_tables import DriverTables
+from emporia.sources.schemas import SOURCE_TABLES
 
 
 class _Lazy(Mapping):
@@ -31,9 +32,7 @@ class _Lazy(Mapping):
 class _Bronze(Mapping):
     def __init__(self, tables: DriverTables):
         self._t, self._memo = tables, {}
-        self._names = ("customers", "geolocation", "order_items", "order_payments",
-                       "order_reviews", "orders", "products", "sellers",
-                       "product_category_name_translation")
+        self._names = SOURCE_TABLES
 
     def __getitem__(self, k: str) -> DataFrame:
         if k not in self._memo:

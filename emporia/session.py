@@ -64,12 +64,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for helpers that need a POSIX path)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "SCALE_CONF"]
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "SCALE_CONF"]
 
 
 # Suggested settings for a large cluster (documentation and a starting
