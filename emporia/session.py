@@ -37,34 +37,56 @@ def local_session(cpus: int | str = "*", app: str = "emporia", shuffle_partition
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when
-    the session has none configured (tests, local runs)."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a remote (Spark Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder for written tables: ``spark.checkpoint.dir`` (or
+    the context's checkpoint folder).  Only when the session names none
+    (tests, local runs) is a private ``/tmp/run-*`` folder created and set
+    as the context's checkpoint folder; a core config is never modified."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+        return configured
+    sc = _context(spark)
+    if sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        current = sc.getCheckpointDir()
+        if current:
+            return current
     local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    return local
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``DataFrame.checkpoint`` has a folder (the configured
+    shared one, or a private one when none is configured); returns the
+    scratch root."""
+    root = scratch_root(spark)
+    sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch root for one written
     table.  Unique per call so a re-run never overwrites a path that a
     running plan still reads."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    root = root.rstrip("/")
+    root = scratch_root(spark).rstrip("/")
     return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "SCALE_CONF"]
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "SCALE_CONF"]
 
 
 # Suggested settings for a large cluster (documentation and a starting
