@@ -93,10 +93,17 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def column_failures(df: DataFrame, column: str) -> DataFrame:
+def column_failures(df: DataFrame, column: str, with_unique: bool = True) -> DataFrame:
     """(unique_failures, not_null_failures) of one column from a single
     aggregation: group by the column once; the NULL group's size is the
-    not_null failure count, non-null groups above one are unique failures."""
+    not_null failure count, non-null groups above one are unique failures.
+
+    Without ``with_unique`` (a column with only a not_null test) there is no
+    group-by at all: a global count of NULLs, one partial row per task, so
+    the column's values are never shuffled."""
+    if not with_unique:
+        return df.agg(F.lit(None).cast(T.LongType()).alias("unique"),
+                      F.count_if(F.col(column).isNull()).alias("not_null"))
     g = df.select(column).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return g.agg(
         F.count_if(F.col(column).isNotNull() & (F.col("n") > 1)).alias("unique"),
@@ -116,7 +123,7 @@ def column_test_report(tables: dict[str, DataFrame],
             for kind in kinds:
                 if kind not in ("unique", "not_null"):
                     raise ValueError(f"unknown test {kind}")
-            f = column_failures(tables[model], column)
+            f = column_failures(tables[model], column, with_unique="unique" in kinds)
             rows = f.select(F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`)")
                             .alias("test_name", "failures"))
             parts.append(rows.filter(F.col("test_name").isin(*kinds)).select(

@@ -86,8 +86,9 @@ CATALOG_JOBS = {
 
 def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental ingest in two arrivals: orders of status F land first,
-    the rest later; the second run appends only the new files.  The result
-    is the whole orders table with its year / month partitions."""
+    the rest (any other status, NULL included) later; the second run
+    appends only the new files.  The result is the whole orders table with
+    its year / month partitions."""
     from emporia.streaming.incremental import incremental_ingest
 
     orders = DriverTables(spark, sf_dir)["orders"]
@@ -99,9 +100,10 @@ def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderpriority")
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in text.schema.fields])
     landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "orders_inc", "orders_ckpt"))
-    write_csv(text.filter(F.col("o_orderstatus") == "F"), f"{landing}/arrival=1")
+    first = F.col("o_orderstatus").eqNullSafe("F")
+    write_csv(text.filter(first), f"{landing}/arrival=1")
     incremental_ingest(spark, landing, schema, out, ckpt, "o_orderdate")
-    write_csv(text.filter(F.col("o_orderstatus") != "F"), f"{landing}/arrival=2")
+    write_csv(text.filter(~first), f"{landing}/arrival=2")
     incremental_ingest(spark, landing, schema, out, ckpt, "o_orderdate")
     res = spark.read.parquet(out)
     return res.select(

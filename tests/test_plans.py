@@ -45,3 +45,18 @@ def test_fact_aggregated_before_dimension_join(spark, sf_small, q):
     assert join_depths, p
     # some aggregation sits below (is deeper than) the outermost join
     assert max(agg_depths) > min(join_depths), p
+
+
+def test_not_null_only_test_shuffles_no_values(spark):
+    """A column with only a not_null test is a global NULL count: no
+    group-by on the column, so its values never cross a shuffle, and the
+    count equals a brute-force filter."""
+    from emporia.operators import quality
+
+    df = spark.createDataFrame([(1,), (None,), (2,), (2,), (None,)], "review_id bigint")
+    report = quality.column_test_report({"t": df}, {"t": [("review_id", ("not_null",))]})
+    p = plan(report)
+    assert "HashAggregate(keys=[review_id" not in p, p
+    assert "hashpartitioning" not in p, p
+    rows = {(r.test_name, r.failures) for r in report.collect()}
+    assert rows == {("not_null", df.filter("review_id IS NULL").count())}
