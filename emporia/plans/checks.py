@@ -34,15 +34,16 @@ def column_tests(silver: Mapping, gold: Mapping) -> DataFrame:
     return quality.column_test_report(tables, COLUMN_TESTS)
 
 
-def analysis_report(silver: Mapping, parallelism: int = 4) -> dict[str, list]:
+def analysis_report(silver: Mapping, parallelism: int | None = None) -> dict[str, list]:
     """The duplicate analysis, collected (small: one row per table, or k
     per table): the whole-row profile is one job; each keyed table gets
     one job that yields both its key summary and its most repeated keys.
-    Jobs are submitted concurrently so their small stages overlap."""
+    Jobs are submitted concurrently (all of them by default: one per
+    profiled table plus the profile) so their small stages overlap."""
     from concurrent.futures import ThreadPoolExecutor
 
     keyed = [(t, k) for t in PROFILED if (k := SILVER_KEYS[t])]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+    with ThreadPoolExecutor(max_workers=parallelism or len(keyed) + 1) as pool:
         prof = pool.submit(lambda: duplicate_profile(silver).collect())
         keys = [pool.submit(quality.key_report, silver[t], t, k) for t, k in keyed]
         results = [f.result() for f in keys]
