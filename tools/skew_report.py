@@ -1,12 +1,20 @@
 """Hot-key evidence from Spark's event log (no UI).
 
-Derives a skewed Gold fact from the driver tables (a third of all line
-items, chosen by hash, re-pointed to one product),
-then runs Q2 twice with broadcasts disabled: the library's plan (fact
-aggregated per product before the dimension join) and a plain
-join-then-group plan.  For each run it prints, per stage, the task count
-and the max / median shuffle records read per task, read from the event
-log in a scratch folder.
+1. Hot product: derives a skewed Gold fact from the driver tables (a third
+   of all line items, chosen by hash, re-pointed to one product), then runs
+   Q2 twice with broadcasts disabled: the library's plan (fact aggregated
+   per product before the dimension join) and a plain join-then-group plan.
+2. Hot order: re-points a third of all Silver line items to one existing
+   order and builds the Gold enrichment join (``fact_order_items``) with
+   broadcasts disabled, once with AQE's skew-join split and once without
+   (skew thresholds scaled down to the test size); both must give the same
+   rows.  AQE splits a skewed partition at map-task boundaries; every test
+   input is a single row group (one map task), so the derived items are
+   first spread over 16 tasks, as a multi-file input would be.
+
+For each run it prints, per stage, the task count and the max / median
+shuffle records read per task, read from the event log in a scratch
+folder.
 
     python tools/skew_report.py [sf_dir]
 """
@@ -24,6 +32,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from emporia.functions.money import sum_cents  # noqa: E402
+from emporia.plans.gold import fact_order_items  # noqa: E402
 from emporia.plans.layers import Layers  # noqa: E402
 from emporia.plans.questions import q2_category_revenue  # noqa: E402
 from emporia.session import local_session  # noqa: E402
@@ -80,8 +90,30 @@ def main():
     b = (j.groupBy("product_category_name_english")
          .agg(F.round(F.sum("price"), 2).alias("category_revenue")).collect())
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+    # -- hot order: the fact enrichment join --------------------------------
+    orders = lay.silver["silver_orders"]
+    hot_id = orders.agg(F.min("order_id")).first()[0]
+    hot_items = lay.silver["silver_order_items"].withColumn(
+        "order_id", F.when(third, F.lit(hot_id)).otherwise(F.col("order_id"))).repartition(16)
+    fact = fact_order_items({"silver_order_items": hot_items, "silver_orders": orders})
+    summary = fact.agg(F.count(F.lit(1)).alias("rows"), sum_cents("price").alias("cents"),
+                       F.count_if(F.col("order_id") == hot_id).alias("hot_rows"))
+    for k, v in {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}.items():
+        spark.conf.set(k, v)
+    results = {}
+    for group, split in (("hot_order_split", "true"), ("hot_order_nosplit", "false")):
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", split)
+        sc.setJobGroup(group, group)
+        run = summary.select("*")  # a fresh plan per setting
+        results[group] = run.collect()[0]
+        plan = run._jdf.queryExecution().executedPlan().toString()
+        print(f"{group}: {results[group].asDict()}, skew split in plan: {'skew=true' in plan}")
+    assert results["hot_order_split"] == results["hot_order_nosplit"]
     spark.stop()
-    for group in ("eager", "naive"):
+    for group in ("eager", "naive", "hot_order_split", "hot_order_nosplit"):
         print(f"== {group}: stage, tasks, max records/task, median, total shuffle records")
         for row in stage_stats(log_dir, group):
             print("  ", row)
