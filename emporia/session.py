@@ -47,9 +47,10 @@ def _context(spark: SparkSession):
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written tables: ``spark.checkpoint.dir`` (or
-    the context's checkpoint folder).  Only when the session names none
-    (tests, local runs) is a private ``/tmp/run-*`` folder created and set
-    as the context's checkpoint folder; a core config is never modified."""
+    the context's checkpoint folder).  Only a local-mode session that names
+    none (tests, local runs) gets a private ``/tmp/run-*`` folder, set as
+    the context's checkpoint folder; a cluster session without a shared
+    folder is an error.  A core config is never modified."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
@@ -61,9 +62,12 @@ def scratch_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+    if sc is None or not sc.master.startswith("local"):
+        # a folder on the driver's disk is not visible to executors
+        raise RuntimeError("no shared scratch folder: set spark.checkpoint.dir "
+                           "to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    if sc is not None:
-        sc.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 

@@ -33,3 +33,34 @@ def test_contract_without_checkpoint_config():
                          text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "OK" in out.stdout and "/tmp/run-" in out.stdout
+
+
+def test_cluster_session_without_shared_folder_is_refused():
+    """On a cluster a driver-local /tmp folder would be invisible to the
+    executors: with no spark.checkpoint.dir the scratch root is an error."""
+    import pytest
+
+    from emporia.session import scratch_root
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Context:
+        master = "spark://cluster:7077"
+
+        def getConf(self):
+            return _Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, path):  # must not be reached
+            raise AssertionError(path)
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(_Session())
