@@ -101,3 +101,21 @@ def test_hot_order_enrichment_join_is_split_and_exact(spark, sf_small):
     want = sorted((int(p), int(len(g)), int(g.order_item_id.sum()))
                   for p, g in j.groupby("product_id"))
     assert got == want
+
+
+@pytest.mark.parametrize("key", ["silver_geolocation", "dim_customers", "dim_products",
+                                 "dim_sellers", "distinct_rows", "dedup_rows"])
+def test_distinct_collapses_copies_before_the_shuffle(spark, sf_small, key):
+    """Whole-row dedup and DISTINCT dimensions aggregate map-side first: a
+    group of identical copies (even a third of all rows) becomes one row
+    per task before any exchange."""
+    lines = plan(E.queries()[key](spark, sf_small)).splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    exchanges = [depth(x) for x in lines if "Exchange hashpartitioning" in x]
+    assert exchanges, lines
+    deepest = max(exchanges)
+    below = [x for x in lines if depth(x) > deepest and "HashAggregate" in x]
+    assert below, "\n".join(lines)
