@@ -42,7 +42,7 @@ def write_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str
     fill the slots the large fact jobs leave idle instead of waiting for
     them.  On local[8] the Gold build is 6-20% faster than with four
     threads at sf0.1 and 12-26% faster on a ten-fold copy (sequential
-    writes: 30-60% slower)."""
+    writes: 35-70% slower)."""
     if namespace:
         catalog.create_namespace(spark, namespace, f"{base.rstrip('/')}/_{namespace}.db")
 
