@@ -28,12 +28,13 @@ from emporia.plans.pipeline import (
 )
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
-from emporia.session import ensure_checkpoint_dir
+from emporia.session import apply_scale_defaults, ensure_checkpoint_dir
 from emporia.sources.schemas import SOURCE_SCHEMAS, SOURCE_TABLES
 
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("emporia").getOrCreate()
+    apply_scale_defaults(spark)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -90,7 +90,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "SCALE_CONF"]
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "SCALE_CONF",
+           "apply_scale_defaults"]
 
 
 # Suggested settings for a large cluster (documentation and a starting
@@ -113,3 +114,21 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.session.timeZone": "UTC",
 }
+
+# Settings the session owner sizes for the cluster and data at hand; the
+# helper below never sets them.
+OWNER_KEYS = frozenset({"spark.sql.shuffle.partitions", "spark.sql.session.timeZone"})
+
+
+def apply_scale_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> dict[str, str]:
+    """Set each runtime SQL setting of ``SCALE_CONF`` that the session has
+    not set explicitly (launcher, ``--conf`` and spark-defaults win); shuffle
+    partitions and the time zone stay with the session owner.  Returns the
+    settings applied."""
+    applied = {}
+    for key, value in (SCALE_CONF if conf is None else conf).items():
+        if key in OWNER_KEYS or spark.conf.get(key, None) is not None:
+            continue
+        spark.conf.set(key, value)
+        applied[key] = value
+    return applied

@@ -5,10 +5,23 @@ from __future__ import annotations
 from emporia import cli
 from emporia.plans.layers import Layers
 from emporia.plans.pipeline import export_sources_csv
-from emporia.session import scratch_path
+from emporia.session import SCALE_CONF, scratch_path
 
 
 def test_cli_jobs(spark, sf_small, capsys):
+    # the jobs fill unset cluster settings in the (shared) session: restore after
+    saved = {k: spark.conf.get(k, None) for k in SCALE_CONF}
+    try:
+        _run_jobs(spark, sf_small, capsys)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == \
+            SCALE_CONF["spark.sql.files.maxPartitionBytes"]
+        assert spark.conf.get("spark.sql.shuffle.partitions") == saved["spark.sql.shuffle.partitions"]
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _run_jobs(spark, sf_small, capsys):
     raw, w = scratch_path(spark, "cli_raw"), scratch_path(spark, "cli_work")
     export_sources_csv(Layers.from_driver(spark, sf_small).bronze, raw)
     assert cli.main(["ingest", raw, f"{w}/bronze"]) == 0

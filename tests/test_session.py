@@ -64,3 +64,34 @@ def test_cluster_session_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_root(_Session())
+
+
+def test_scale_defaults_fill_only_unset_settings():
+    """The cluster settings are applied where the launcher set nothing; an
+    explicit setting and the owner's keys are left alone."""
+    from emporia.session import SCALE_CONF, apply_scale_defaults
+
+    class _Conf:
+        def __init__(self, values):
+            self.values = dict(values)
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    class _Session:
+        conf = _Conf({"spark.sql.adaptive.skewJoin.skewedPartitionFactor": "9"})
+
+    s = _Session()
+    applied = apply_scale_defaults(s)
+    assert s.conf.values["spark.sql.adaptive.skewJoin.skewedPartitionFactor"] == "9"
+    assert "spark.sql.shuffle.partitions" not in s.conf.values
+    assert "spark.sql.session.timeZone" not in s.conf.values
+    assert s.conf.values["spark.sql.files.maxPartitionBytes"] == SCALE_CONF[
+        "spark.sql.files.maxPartitionBytes"]
+    assert set(applied) == set(SCALE_CONF) - {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.shuffle.partitions",
+        "spark.sql.session.timeZone"}
+    assert apply_scale_defaults(s) == {}  # idempotent
