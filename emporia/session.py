@@ -87,7 +87,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     table.  Unique per call so a re-run never overwrites a path that a
     running plan still reads."""
     root = scratch_root(spark).rstrip("/")
-    return f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
+    _remove_at_exit(spark, path)
+    return path
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop ``path`` when the application ends: lazy
+    results may read a scratch table for as long as the session lives.  A
+    Connect session has no JVM handle; there the owner of the folder cleans
+    up."""
+    sc = _context(spark)
+    if sc is None:
+        return
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "SCALE_CONF",
