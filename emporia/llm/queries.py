@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.llm import exact_dedup
+from emporia.llm import exact_dedup, minhash_dedup
 from emporia.llm.common import table
 
 
@@ -14,8 +14,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op6_minhash_dedup": op6_minhash_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
