@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.llm import exact_dedup, minhash_dedup, token_counts
+from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts
 from emporia.llm.common import table
 
 
@@ -24,10 +24,16 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op8_packing": op8_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
