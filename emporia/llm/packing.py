@@ -20,7 +20,6 @@ long as its input rows come in the same order, as rows read from files do.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEQUENCE_BITS = 33
-SCHEMA = ("start long, length long, ids_crc32 long, doc_tokens long, "
+SCHEMA = ("start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, segment long, loss_tokens long")
 
 
@@ -75,7 +74,7 @@ class Packer:
         self.used = np.zeros(pool, bool)
 
     def add(self, example: Example) -> Iterator[tuple]:
-        """Rows (row, start, length, crc, total, sequence, offset, segment,
+        """Rows (row, start, length, ids, total, sequence, offset, segment,
         loss) that adding the example completes."""
         if not self.cut:
             need = (example.tokens, 1, example.loss_to(example.tokens))
@@ -151,7 +150,7 @@ class Packer:
                     self.next += 1
                 n = min(t, room)
                 ids = example.ids[example.start:example.start + n]
-                yield (example.row, example.start, n, zlib.crc32(ids.tobytes()), example.total,
+                yield (example.row, example.start, n, ids.astype("<u4").tobytes(), example.total,
                        sequence, offset, segment, example.loss_to(n))
                 example, t, room = self._after(example, n), t - n, room - n
                 offset, segment = offset + n, segment + 1
@@ -161,9 +160,9 @@ def pack(rows: DataFrame, encoder: Callable[[], Callable[[object], np.ndarray]],
          text: Column, max_tokens: int = 2048, max_segments: int = 512,
          max_loss: int | None = None, prompt: Column | None = None, cut: bool = True,
          pool: int = 512) -> DataFrame:
-    """One row per piece: the identifier, ``start``, ``length``, ``ids_crc32``
-    (of the ids as little-endian 32-bit integers), ``doc_tokens``,
-    ``sequence_id``, ``offset``, ``segment`` and ``loss_tokens``.
+    """One row per piece: the identifier, ``start``, ``length``, ``ids`` (as
+    little-endian 32-bit integers), ``doc_tokens``, ``sequence_id``,
+    ``offset``, ``segment`` and ``loss_tokens``.
 
     ``encoder()`` is called in the task and returns text -> uint32 ids, the
     closing id included.  ``prompt``: text in front whose tokens (encoded
@@ -185,10 +184,10 @@ def pack(rows: DataFrame, encoder: Callable[[], Callable[[object], np.ndarray]],
         kind = None
 
         def frame(found: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*found))
+            names, kinds = zip(*(x.split() for x in SCHEMA.split(", ")))
+            arrow = [kind] + [pa.binary() if k == "binary" else pa.int64() for k in kinds]
             return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], kind)] + [pa.array(c, pa.int64()) for c in cols[1:]],
-                ["id"] + [x.split()[0] for x in SCHEMA.split(", ")])
+                [pa.array(c, k) for c, k in zip(zip(*found), arrow)], ["id", *names])
 
         found: list[tuple] = []
         for batch in batches:
@@ -201,7 +200,7 @@ def pack(rows: DataFrame, encoder: Callable[[], Callable[[object], np.ndarray]],
                     bears = np.r_[np.zeros(len(lead), np.int64), np.ones(len(ids), np.int64)]
                     ids, loss = np.concatenate([lead, ids]), np.r_[0, np.cumsum(bears)]
                 found.extend(packer.add(Example(batch.column(0)[i].as_py(), ids, len(ids), 0, loss)))
-                if len(found) >= 8192:
+                if len(found) >= 2048:
                     yield frame(found)
                     found = []
         found.extend(packer.flush())

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts
+from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts, word_bpe
 from emporia.llm.common import table
 
 
@@ -25,14 +26,24 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"),
-                                  public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "segment", "loss_tokens")
+
+
+def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = word_bpe.encode_and_decode(table(spark, sf_dir, "documents"),
+                                       public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_minhash_dedup": op6_minhash_dedup,
+    "op7_bpe_roundtrip": op7_bpe_roundtrip,
     "op8_packing": op8_packing,
 }
 
