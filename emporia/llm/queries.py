@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts, word_bpe
+from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts, warc, word_bpe
 from emporia.llm.common import table
+from emporia.session import scratch_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the archives when called; the result reads them."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    warc.register_warc(spark)
+
+    def page(col: str):
+        return F.regexp_extract(col, "urn:page:([^>]*)>", 1).try_cast("long")
+
+    full = warc.read_responses(spark, path).select(
+        page("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), "record_type",
+        F.lit(None).cast("long").alias("refers_to"))
+    again = warc.read_revisits(spark, path).select(
+        page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        F.replace("payload_digest", F.lit("sha256:"), F.lit("")).alias("payload_digest"), "record_type",
+        page("refers_to").alias("refers_to"))
+    return full.unionByName(again)
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -42,11 +63,27 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_warc": op5_warc,
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_bpe_roundtrip": op7_bpe_roundtrip,
     "op8_packing": op8_packing,
 }
 
+ORACLE_WARC = """
+WITH t AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM t WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT t.page_id, t.payload_bytes, t.payload_digest,
+       CASE WHEN f.first <> t.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> t.page_id THEN f.first END AS refers_to
+FROM t LEFT JOIN f USING (payload_digest)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_EXACT,
+    "op5_warc": ORACLE_WARC,
 }
