@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, minhash_dedup, packing, token_counts, warc, word_bpe
-from emporia.llm.common import table
+from emporia.llm import exact_dedup, language_id, minhash_dedup, packing, token_counts, warc, word_bpe
+from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
 
 
@@ -17,6 +17,13 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id() % 4 == 2
+    model = language_id.fit_languages(docs.where(~held_out))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -62,6 +69,7 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_minhash_dedup": op6_minhash_dedup,
