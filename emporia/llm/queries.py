@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, language_id, minhash_dedup, packing, token_counts, warc, word_bpe
+from emporia.llm import exact_dedup, language_id, minhash_dedup, packing, quality, token_counts, warc, word_bpe
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
 
@@ -67,6 +67,13 @@ def op7_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id() % 3 == 1
+    model = quality.fit_quality(docs, labels.where(~held_out))
+    return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -75,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash_dedup": op6_minhash_dedup,
     "op7_bpe_roundtrip": op7_bpe_roundtrip,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
 }
 
 ORACLE_WARC = """
