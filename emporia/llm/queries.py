@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, language_id, minhash_dedup, packing, quality, token_counts, warc, word_bpe
+from emporia.llm import exact_dedup, language_id, licenses, minhash_dedup, packing, quality, token_counts, warc, word_bpe
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
 
@@ -74,6 +74,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_roundtrip": op7_bpe_roundtrip,
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_WARC = """
@@ -102,4 +107,5 @@ FROM t LEFT JOIN f USING (payload_digest)
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.ORACLE_EXACT,
     "op5_warc": ORACLE_WARC,
+    "op10_license_scan": licenses.oracle_sql(),
 }
