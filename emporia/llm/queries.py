@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import exact_dedup, language_id, licenses, minhash_dedup, packing, quality, token_counts, warc, word_bpe
+from emporia.llm import (
+    embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, quality, token_counts, warc,
+    word_bpe,
+)
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
 
@@ -24,6 +27,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -81,6 +88,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_minhash_dedup": op6_minhash_dedup,
