@@ -7,15 +7,18 @@ of them are the bucket keys, and all of them are folded into an odd sketch: a
 parity bitmap in which each (sample number, sample value) flips one bit.  The
 XOR of two sketches has about as many bits set as the two documents have
 differing samples, so its population count estimates high similarities
-precisely from 128 bytes; candidates whose count is more than seven standard
+precisely from 128 bytes; candidates whose count is more than 5.5 standard
 deviations beyond what the threshold allows are dropped unread.  The rest are
 confirmed on the whole texts' word shingles.
 
 Groups are never expanded into pairs.  In each round every bucket compares its
 members with one centre; confirmed links are contracted to components, and
-only buckets that still hold several components go on.  Two rounds with
-different centres leave little, and the last round compares the remaining
-members of different components exhaustively, so no candidate is capped.
+only buckets that still hold several components go on.  After two rounds with
+different centres the members of the remaining buckets get a finer sketch of
+more samples, and blocks of them are compared with blocks, within a bucket and
+across components only; the pairs that the finer sketch can't tell from links
+are confirmed.  A bucket of any size is dealt over its pairs of blocks, and no
+candidate is capped.
 
 Band counts are derived from the threshold so that a pair exactly at it shares
 no bucket with probability below ``miss``.
@@ -35,8 +38,10 @@ from pyspark.sql import functions as F
 from emporia.llm.common import seeds, splitmix, written
 from emporia.llm.components import connected_components
 
-SKETCH_BITS = 1024
-SAMPLES = 160
+SKETCH_BITS, SAMPLES = 1024, 160
+FINE_BITS, FINE_SAMPLES = 4096, 1024
+#: Members of a bucket in one block, and rows of it compared at once.
+BLOCK, STRIPE = 2048, 256
 WORD_CACHE = 1 << 20
 
 
@@ -56,9 +61,9 @@ def shingle_set(text: str | None, size: int) -> set[tuple[bytes, ...]]:
 class Signer:
     """Shingle hashes, MinHash bands and odd sketch of one text."""
 
-    def __init__(self, size: int, rows: int, bands: int):
-        self.size, self.rows, self.bands = size, rows, bands
-        self.samples = max(SAMPLES, rows * bands)
+    def __init__(self, size: int, rows: int, bands: int, samples: int = SAMPLES, bits: int = SKETCH_BITS):
+        self.size, self.rows, self.bands, self.bits = size, rows, bands, bits
+        self.samples = max(samples, rows * bands)
         self.place = seeds(size + 1, 1) | np.uint64(1)
         self.factors = (seeds(self.samples, 2) | np.uint64(1))[:, None]
         self.fold = seeds(self.samples, 3)
@@ -87,8 +92,8 @@ class Signer:
 
     def minhash(self, h: np.ndarray) -> np.ndarray:
         low = np.full(self.samples, np.iinfo(np.uint64).max)
-        for at in range(0, len(h), 2048):
-            np.minimum(low, (h[at:at + 2048] * self.factors).min(axis=1), out=low)
+        for at in range(0, len(h), 1024):
+            np.minimum(low, (h[at:at + 1024] * self.factors).min(axis=1), out=low)
         return low
 
     def band_keys(self, low: np.ndarray) -> np.ndarray:
@@ -97,8 +102,8 @@ class Signer:
 
     def sketch(self, low: np.ndarray) -> np.ndarray:
         """Parity bitmap of the samples, as 64-bit words."""
-        at = splitmix(low ^ self.fold) % np.uint64(SKETCH_BITS)
-        odd = np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1
+        at = splitmix(low ^ self.fold) % np.uint64(self.bits)
+        odd = np.bincount(at.astype(np.int64), minlength=self.bits) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
@@ -110,14 +115,18 @@ def bands_for(threshold: float, miss: float) -> tuple[int, int]:
     return rows, math.ceil(math.log(miss) / math.log(1 - threshold ** rows))
 
 
-def sketch_limit(samples: int, threshold: float) -> int:
-    """Largest XOR population count of a pair at the threshold, seven standard
-    deviations allowed for the samples and again for the folding."""
-    differ = samples * (1 - threshold) + 7 * math.sqrt(samples * threshold * (1 - threshold))
-    m = 2 * min(samples, differ)
-    mean = SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** m)
-    var = SKETCH_BITS / 4 * (1 - (1 - 2 / SKETCH_BITS) ** (2 * m))
-    return math.ceil(mean + 7 * math.sqrt(max(0.0, min(var, m * m / SKETCH_BITS))))
+def sketch_limit(samples: int, bits: int, threshold: float) -> int:
+    """Largest XOR population count of a pair at the threshold, 5.5 standard
+    deviations (of the samples that differ, and of the folding) allowed."""
+    m = 2 * samples * (1 - threshold)
+    spread = math.exp(-2 * m / bits) * 2 * math.sqrt(samples * threshold * (1 - threshold))
+    folding = 2 * math.sqrt(m * m / (2 * bits))
+    return math.ceil(bits / 2 * (1 - math.exp(-2 * m / bits)) + 5.5 * math.hypot(spread, folding))
+
+
+def _lists(parts: list[np.ndarray], width: int) -> pa.ListArray:
+    flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(parts) + 1, dtype=np.int32) * width), pa.array(flat))
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int, rows: int,
@@ -135,18 +144,11 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int, rows: in
                     low = signer.minhash(h)
                     keys.append(signer.band_keys(low))
                     bits.append(signer.sketch(low))
-                count = len(n)
-
-                def lists(parts, width):
-                    flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
-                    return pa.ListArray.from_arrays(
-                        pa.array(np.arange(count + 1, dtype=np.int32) * width), pa.array(flat))
-
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(n, pa.int64()),
                      pa.array(np.array(f1, np.uint64).view(np.int64)),
                      pa.array(np.array(f2, np.uint64).view(np.int64)),
-                     lists(keys, bands), lists(bits, SKETCH_BITS // 64)],
+                     _lists(keys, bands), _lists(bits, SKETCH_BITS // 64)],
                     ["id", "n", "f1", "f2", "keys", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -174,6 +176,82 @@ def _confirm(pairs: DataFrame, size: int, percent: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(check, f"a {kind}, b {kind}")
 
 
+def _fine_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, fine) of the rows (rep, text)."""
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signer = Signer(size, 1, 1, FINE_SAMPLES, FINE_BITS)
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                bits = [signer.sketch(signer.minhash(signer.hashes(t.as_py()))) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists(bits, FINE_BITS // 64)], ["rep", "fine"])
+
+    return texts.mapInArrow(sketch, f"rep {texts.schema['rep'].dataType.simpleString()}, fine array<long>")
+
+
+def _close_in_blocks(members: DataFrame, limit: int) -> DataFrame:
+    """(a, b) of the members of a bucket, of different components, whose fine
+    sketches differ in ``limit`` bits at most; each pair in the first bucket
+    that both are in.  ``members``: key, m (the bucket's members), rep, c,
+    keys, fine."""
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        (F.col("own") > F.col("other")).alias("second"), "rep", "c", "keys", "fine")
+    place = ["key", "p", "q"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            at = np.stack([held.column(c).to_numpy() for c in place])
+            starts = np.flatnonzero(np.append(True, (at[:, 1:] != at[:, :-1]).any(axis=0)))
+            # the last group may go on in the next batch
+            yield from groups(held.slice(0, starts[-1]), starts[:-1])
+            held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield from groups(held, np.zeros(1, np.int64))
+
+    def groups(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(starts):
+            return
+        rows = rows.combine_chunks()
+        key, p, q = (rows.column(c).to_numpy() for c in place)
+        second = rows.column("second").to_numpy(zero_copy_only=False)
+        c = np.unique(np.array(rows.column("c").to_pylist(), object), return_inverse=True)[1].reshape(-1)
+
+        def matrix(name: str) -> np.ndarray:
+            return rows.column(name).combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+
+        keys, fine = matrix("keys"), np.ascontiguousarray(matrix("fine").view(np.uint64).T)
+        left, right = [], []
+        for begin, end in zip(starts.tolist(), np.append(starts[1:], rows.num_rows).tolist()):
+            at = np.arange(begin, end)
+            one = at if p[begin] == q[begin] else at[~second[at]]
+            two = at if p[begin] == q[begin] else at[second[at]]
+            for k in range(0, len(one), STRIPE):
+                some = one[k:k + STRIPE]
+                differ = np.zeros((len(some), len(two)), np.uint16)
+                for word in fine:
+                    differ += np.bitwise_count(word[some][:, None] ^ word[two][None, :])
+                i, j = np.nonzero((differ <= limit) & (c[some][:, None] != c[two][None, :]))
+                i, j = some[i], two[j]
+                if p[begin] == q[begin]:
+                    i, j = i[i < j], j[i < j]
+                same = keys[i] == keys[j]
+                first = keys[i, np.argmax(same, axis=1)] == key[begin] if len(i) else np.zeros(0, bool)
+                left.append(i[first])
+                right.append(j[first])
+        rep = rows.column("rep").combine_chunks()
+        yield pa.RecordBatch.from_arrays(
+            [rep.take(pa.array(np.concatenate(left))), rep.take(pa.array(np.concatenate(right)))], ["a", "b"])
+
+    kind = members.schema["rep"].dataType.simpleString()
+    near = dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(compare, f"a {kind}, b {kind}")
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
     """One row per input row: the identifier, ``n_shingles``, ``component_id``
@@ -194,8 +272,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sig.where("n > 0 and id is not null").groupBy(*cls)
         .agg(F.min(F.struct("id", "keys", "bits")).alias("s"))
         .select(*cls, F.col("s.id").alias("rep"), "s.keys", "s.bits"), "minhash-classes")
-    links = _links(docs, reps, id_col, text_col, shingle, percent, sketch_limit(
-        max(SAMPLES, rows * bands), percent / 100))
+    links = _links(docs, reps, id_col, text_col, shingle, percent, max(SAMPLES, rows * bands))
     linked = reps.select(*cls, "rep").join(links, F.col("rep") == F.col("node"), "left").select(
         *cls, F.coalesce("component", "rep").alias("component"))
     answer = sig.select("id", *cls).join(linked, cls, "left")
@@ -206,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: int,
-           percent: int, limit: int) -> DataFrame:
+           percent: int, samples: int) -> DataFrame:
     """(node, component) of the representatives that link with another one."""
     spread = reps.select(F.explode("keys").alias("key"), "rep")
     shared = written(spread.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
@@ -217,45 +294,53 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: i
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .join(wanted, "id", "left_semi").dropDuplicates(["id"]), "minhash-texts")
     bits = reps.select("rep", "bits")
+    limit = sketch_limit(samples, SKETCH_BITS, percent / 100)
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+    def side(df: DataFrame, end: str, col: str) -> DataFrame:
+        return df.toDF(end, col + end)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        text = texts.select("id", "text")
+        read = pairs.join(side(text, "b", "t"), "b").join(side(text, "a", "t"), "a")
+        return written(_confirm(read, size, percent), "minhash-links")
+
+    def close(pairs: DataFrame) -> DataFrame:
         differ = F.aggregate(
-            F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-            F.lit(0), lambda s, x: s + x)
-        close = (pairs
-                 .join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("bb")), "b")
-                 .join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("ba")), "a")
-                 .where(differ <= limit).select("a", "b"))
-        read = (close.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-                .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
-        return written(_confirm(read, size, percent), name)
-
-    def pairs_of(left: str, right: str) -> list:
-        return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
-
-    tried = members.where("rep > lo").select(*pairs_of("lo", "rep")).distinct()
-    found = confirmed(tried, "minhash-links")
-    nodes = connected_components(found)
-    for last in (False, True):
-        # buckets that still hold members of different components
+            F.zip_with("ba", "bb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        return (pairs.join(side(bits, "b", "b"), "b").join(side(bits, "a", "b"), "a")
+                .where(differ <= limit).select("a", "b"))
+
+    def open_buckets(nodes: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several components (of two
+        members the one pair has been tried)."""
         named = members.select("key", "rep").join(nodes, F.col("rep") == F.col("node"), "left").select(
             "key", "rep", F.coalesce("component", "rep").alias("c"))
-        open_ = (named.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi"),
-                                          F.max("rep").alias("hi"), F.count(F.lit(1)).alias("m"))
-                 .where("c_lo < c_hi and m > 2"))
-        left = written(named.join(open_.select("key", "hi"), "key"), "minhash-open")
-        if left.isEmpty():
-            break
-        if last:
-            other = left.select("key", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-            fresh = left.join(other, "key").where("c < c2").select(*pairs_of("rep", "rep2")).distinct()
-        else:
-            top = left.where("rep = hi").select("key", F.col("c").alias("c2"))
-            fresh = left.join(top, "key").where("c <> c2").select(*pairs_of("rep", "hi")).distinct()
-        fresh = written(fresh.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-        more = confirmed(fresh, "minhash-links")
-        if more.isEmpty():
-            continue
-        tried, found = tried.unionByName(fresh), found.unionByName(more)
+        left = (named.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi"),
+                                         F.max("rep").alias("hi"), F.count(F.lit(1)).alias("m"))
+                .where("c_lo < c_hi and m > 2").select("key", "hi", "m"))
+        return written(named.join(left, "key"), "minhash-open")
+
+    tried = members.where("rep > lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
+    found = confirmed(close(tried))
+    nodes = connected_components(found)
+    left = open_buckets(nodes)
+    if left.isEmpty():
+        return nodes
+    top = left.where("rep = hi").select("key", F.col("c").alias("c2"))
+    second = left.join(top, "key").where("c <> c2").select(
+        F.col("rep").alias("a"), F.col("hi").alias("b")).distinct()
+    more = confirmed(close(second.join(tried, ["a", "b"], "left_anti")))
+    if not more.isEmpty():
+        found = found.unionByName(more)
         nodes = connected_components(found)
-    return nodes
+        left = open_buckets(nodes)
+        if left.isEmpty():
+            return nodes
+    who = left.select(F.col("rep").alias("id")).distinct()
+    fine = written(
+        _fine_sketches(texts.join(who, "id", "left_semi").select(F.col("id").alias("rep"), "text"), size)
+        .join(reps.select("rep", "keys"), "rep"), "minhash-fine")
+    last = _close_in_blocks(left.select("key", "m", "rep", "c").join(fine, "rep"),
+                            sketch_limit(FINE_SAMPLES, FINE_BITS, percent / 100))
+    more = confirmed(written(last, "minhash-pairs").join(tried.unionByName(second), ["a", "b"], "left_anti"))
+    return nodes if more.isEmpty() else connected_components(found.unionByName(more))
