@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from emporia.llm.blocks import deal_blocks, groups_of, matrix
 from emporia.llm.common import seeds, splitmix, written
 from emporia.llm.components import connected_components
+from emporia.session import ship_package
 
 BLOCK, STRIPE = 2048, 64
 #: Vertices of a rotation that are considered, nearest first.
@@ -150,8 +151,9 @@ def _compare(members: DataFrame, threshold: float, tables: int) -> DataFrame:
                     met = mine | yours
                     t = np.argmax(met, axis=1)
                     at = np.arange(len(i))
-                    here = np.where(mine[at, t], own[i, t], own[j, t]) == key
-                    here &= met[at, t]
+                    a = np.where(mine[at, t], own[i, t], np.iinfo(np.int64).max)
+                    b = np.where(yours[at, t], own[j, t], np.iinfo(np.int64).max)
+                    here = np.minimum(a, b) == key
                     i, j = i[here], j[here]
                     links += np.bincount(i, count[j], size) + np.bincount(j, count[i], size)
                     root = _merge(i, j, size)
@@ -188,6 +190,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     lengths don't link.  Rows that repeat an identifier are vectors of their
     own.  Other columns are not read; an empty table gives an empty result.
     """
+    ship_package(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                           F.col(vector_col).cast("array<double>").alias("vec"))
     big = F.aggregate("vec", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v)))
