@@ -8,8 +8,12 @@ On a cluster the scratch root is the shared folder named by
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -104,7 +108,30 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "SCALE_CONF",
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application.
+    Functions that run there import it, wherever the driver found it."""
+    sc = _context(spark)
+    if sc is None or sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="emporia-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "emporia.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_root", "scratch_path", "ship_package", "SCALE_CONF",
            "apply_scale_defaults"]
 
 
