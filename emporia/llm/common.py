@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.session import scratch_path
+from emporia.session import scratch_path, ship_package
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,3 +65,18 @@ def chunks(rows: Iterator, weight, limit: int) -> Iterator[list]:
         total += w
     if held:
         yield held
+
+
+def keep_rows(docs: DataFrame, text_col: str, judge) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text passes.
+    ``judge()`` is called in the task and returns a function from a list of
+    texts (nulls among them) to a list of booleans."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = judge()
+        for batch in batches:
+            yield batch.filter(pa.array(passes(batch.column(at).to_pylist()), pa.bool_()))
+
+    ship_package(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

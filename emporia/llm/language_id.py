@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporia.llm.common import seeds, splitmix, written
+from emporia.llm.common import keep_rows, seeds, splitmix, written
+from emporia.session import ship_package
 
 UNDETERMINED = "und"
 BLANK = 32
@@ -152,6 +153,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     identifiers (ties, nulls and repeated ones in any order).  Each map task
     keeps at most that many rows a language before anything is shuffled.
     """
+    ship_package(docs.sparkSession)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
     order = Window.partitionBy("lang").orderBy("h")
@@ -196,6 +198,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
     n-gram gets the language with the most sampled rows, with score 0.  Null
     and repeated identifiers pass through; other columns are not read.
     """
+    ship_package(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -207,3 +211,18 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text",
+                    min_score: float = 0.1) -> DataFrame:
+    """The rows of ``docs``, all columns, with a language: neither ``und`` nor
+    a score under ``min_score``."""
+    def judge():
+        def passes(texts: list[str | None]) -> list[bool]:
+            with np.errstate(over="ignore"):
+                found = [model.predict(t) for t in texts]
+            return [lang != UNDETERMINED and score >= min_score for lang, score in found]
+
+        return passes
+
+    return keep_rows(docs, text_col, judge)

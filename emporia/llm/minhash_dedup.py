@@ -35,8 +35,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.blocks import deal_blocks, groups_of, matrix
 from emporia.llm.common import seeds, splitmix, written
 from emporia.llm.components import connected_components
+from emporia.session import ship_package
 
 SKETCH_BITS, SAMPLES = 1024, 160
 FINE_BITS, FINE_SAMPLES = 4096, 1024
@@ -193,62 +195,33 @@ def _close_in_blocks(members: DataFrame, limit: int) -> DataFrame:
     sketches differ in ``limit`` bits at most; each pair in the first bucket
     that both are in.  ``members``: key, m (the bucket's members), rep, c,
     keys, fine."""
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        (F.col("own") > F.col("other")).alias("second"), "rep", "c", "keys", "fine")
-    place = ["key", "p", "q"]
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            held = now if held is None else pa.concat_tables([held, now])
-            at = np.stack([held.column(c).to_numpy() for c in place])
-            starts = np.flatnonzero(np.append(True, (at[:, 1:] != at[:, :-1]).any(axis=0)))
-            # the last group may go on in the next batch
-            yield from groups(held.slice(0, starts[-1]), starts[:-1])
-            held = held.slice(starts[-1])
-        if held is not None and held.num_rows:
-            yield from groups(held, np.zeros(1, np.int64))
-
-    def groups(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(starts):
-            return
-        rows = rows.combine_chunks()
-        key, p, q = (rows.column(c).to_numpy() for c in place)
-        second = rows.column("second").to_numpy(zero_copy_only=False)
-        c = np.unique(np.array(rows.column("c").to_pylist(), object), return_inverse=True)[1].reshape(-1)
-
-        def matrix(name: str) -> np.ndarray:
-            return rows.column(name).combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
-
-        keys, fine = matrix("keys"), np.ascontiguousarray(matrix("fine").view(np.uint64).T)
-        left, right = [], []
-        for begin, end in zip(starts.tolist(), np.append(starts[1:], rows.num_rows).tolist()):
-            at = np.arange(begin, end)
-            one = at if p[begin] == q[begin] else at[~second[at]]
-            two = at if p[begin] == q[begin] else at[second[at]]
-            for k in range(0, len(one), STRIPE):
-                some = one[k:k + STRIPE]
-                differ = np.zeros((len(some), len(two)), np.uint16)
-                for word in fine:
-                    differ += np.bitwise_count(word[some][:, None] ^ word[two][None, :])
-                i, j = np.nonzero((differ <= limit) & (c[some][:, None] != c[two][None, :]))
-                i, j = some[i], two[j]
-                if p[begin] == q[begin]:
-                    i, j = i[i < j], j[i < j]
-                same = keys[i] == keys[j]
-                first = keys[i, np.argmax(same, axis=1)] == key[begin] if len(i) else np.zeros(0, bool)
-                left.append(i[first])
-                right.append(j[first])
-        rep = rows.column("rep").combine_chunks()
-        yield pa.RecordBatch.from_arrays(
-            [rep.take(pa.array(np.concatenate(left))), rep.take(pa.array(np.concatenate(right)))], ["a", "b"])
+        for rows, found in groups_of(batches):
+            c = np.unique(np.array(rows.column("c").to_pylist(), object), return_inverse=True)[1].reshape(-1)
+            keys, fine = matrix(rows, "keys"), np.ascontiguousarray(matrix(rows, "fine").view(np.uint64).T)
+            left, right = [], []
+            for key, one, two in found:
+                for k in range(0, len(one), STRIPE):
+                    some = one[k:k + STRIPE]
+                    differ = np.zeros((len(some), len(two)), np.uint16)
+                    for word in fine:
+                        differ += np.bitwise_count(word[some][:, None] ^ word[two][None, :])
+                    i, j = np.nonzero((differ <= limit) & (c[some][:, None] != c[two][None, :]))
+                    i, j = some[i], two[j]
+                    if one is two:
+                        i, j = i[i < j], j[i < j]
+                    if len(i):
+                        shared = np.argmax(keys[i] == keys[j], axis=1)
+                        first = keys[i, shared] == key
+                        left.append(i[first])
+                        right.append(j[first])
+            if left:
+                rep = rows.column("rep").combine_chunks()
+                yield pa.RecordBatch.from_arrays(
+                    [rep.take(pa.array(np.concatenate(left))), rep.take(pa.array(np.concatenate(right)))], ["a", "b"])
 
     kind = members.schema["rep"].dataType.simpleString()
-    near = dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(compare, f"a {kind}, b {kind}")
+    near = deal_blocks(members, BLOCK).mapInArrow(compare, f"a {kind}, b {kind}")
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -265,6 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are members of each of their texts' classes if not.  Other columns are
     not read; an empty table gives an empty result.
     """
+    ship_package(docs.sparkSession)
     rows, bands = bands_for(percent / 100, miss)
     sig = written(_signatures(docs, id_col, text_col, shingle, rows, bands), "minhash-signatures")
     cls = ["f1", "f2", "n"]
@@ -282,6 +256,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without those whose identifier is
+    not its group's smallest.  Rows with a null identifier stay."""
+    gone = near_duplicates(docs, id_col, text_col, shingle, percent).where(~F.col("kept")).select(
+        F.col(id_col).alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+
+
 def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: int,
            percent: int, samples: int) -> DataFrame:
     """(node, component) of the representatives that link with another one."""

@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.session import ship_package
+
 SEQUENCE_BITS = 33
 SCHEMA = ("start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, segment long, loss_tokens long")
@@ -175,6 +177,7 @@ def pack(rows: DataFrame, encoder: Callable[[], Callable[[object], np.ndarray]],
     if min(limits) < 1:
         raise ValueError("limits must be positive")
     has_prompt = prompt is not None
+    ship_package(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm.common import chunks
 from emporia.llm.rank_merge import RankMerger
+from emporia.session import ship_package
 
 BLANK = "▁"
 #: Pre-tokens whose counts a task remembers, and characters merged at once.
@@ -152,6 +153,8 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     Other columns are not read.  ``model_path`` names the tokenizer file on
     every node.
     """
+    ship_package(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(model_path)
         for batch in batches:

@@ -31,6 +31,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from emporia.session import ship_package
+
 # Fixed values of the format.
 VERSION = "WARC/1.0"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -258,6 +260,7 @@ class WarcSource(DataSource):
 
 def register_warc(spark: SparkSession) -> None:
     """Make ``spark.read.format("warc")`` known, with predicate push-down."""
+    ship_package(spark)
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm.packing import byte_alphabet
 from emporia.llm.rank_merge import RankMerger
+from emporia.session import ship_package
 
 #: Characters of text in one block.
 BLOCK_CHARS = 32 << 20
@@ -224,10 +225,13 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
 
     A null text is the empty text: no ids, decoded to the empty text.  Null
     and repeated identifiers pass through.  Special tokens' strings inside a
-    text become their ids.  Other columns are not read.
+    text become their ids.  Other columns are not read.  The rows should come
+    from files, in the same order whenever they are read: a source that is
+    not repeatable makes the job fail rather than give wrong ids.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
+    ship_package(docs.sparkSession)
     field = docs.schema[id_col].dataType
     kind, name = to_arrow_type(field), field.simpleString()
     blocks = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
@@ -247,8 +251,8 @@ def decode(ids: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col:
     An empty or null array gives the empty text; an unknown id gives nothing."""
     spark = ids.sparkSession
     pieces = spark.createDataFrame(sorted(WordCodec(tokenizer_path).pieces.items()), "piece_id int, piece string")
-    one = ids.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
-                     F.posexplode_outer(F.col(ids_col)).alias("pos", "piece_id"))
+    one = ids.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).withColumn(
+        "row", F.monotonically_increasing_id()).select("row", "id", F.posexplode_outer("ids").alias("pos", "piece_id"))
     joined = one.join(F.broadcast(pieces), "piece_id", "left")
     return joined.groupBy("row", "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.when(F.col("piece").isNotNull(), F.struct("pos", "piece")))), lambda s: s["piece"]), " ").alias("decoded")
