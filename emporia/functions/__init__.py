@@ -1,6 +1,6 @@
 """Scalar column expressions (all built-in, JVM-side, codegen'd)."""
 
 from emporia.functions.dates import (  # noqa: F401
-    date_key, date_parts, date_series, elapsed_days, parse_timestamp, to_day,
+    date_key, date_parts, date_series, elapsed_days, parse_timestamp,
 )
-from emporia.functions.money import cents, cents_to_amount, exact_sum, round2, sum_cents, sum_partials  # noqa: F401
+from emporia.functions.money import amount, exact_sum, sum_partials, sum_parts  # noqa: F401

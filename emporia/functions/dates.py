@@ -33,10 +33,6 @@ def parse_timestamps(df: DataFrame, columns: tuple[str, ...] | list[str]) -> Dat
     return df.withColumns({c: parse_timestamp(c, types.get(c)) for c in columns})
 
 
-def to_day(c: Column | str) -> Column:
-    return F.to_date(c)
-
-
 def date_key(c: Column | str) -> Column:
     """Date or timestamp -> INT key yyyyMMdd (the value of formatting with
     ``DATE_KEY_PATTERN``), computed arithmetically on the local date: no

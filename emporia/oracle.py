@@ -364,7 +364,10 @@ PRIMITIVES = {
                    "COALESCE(MAX(CAST(o_orderdate AS DATE)), DATE '2018-12-31') AS last_day "
                    "FROM orders",
     "distinct_rows": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
-    "dedup_rows": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
+    "dedup_rows": "SELECT DISTINCT l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus "
+                  "FROM lineitem",
+    "agg_sum_expression": "SELECT l_returnflag, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS net_price "
+                          "FROM lineitem GROUP BY l_returnflag",
     "cast_timestamps": """
 SELECT order_id, raw_purchase_timestamp,
        TRY_CAST(raw_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp

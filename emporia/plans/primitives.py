@@ -60,6 +60,13 @@ def agg_sum_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_returnflag").agg(exact_sum("l_extendedprice").alias("sum_price"))
 
 
+def agg_sum_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SUM of amounts with more than two decimals, rounded once at the end."""
+    li = DriverTables(spark, sf_dir)["lineitem"]
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return li.groupBy("l_returnflag").agg(exact_sum(net).alias("net_price"))
+
+
 def agg_avg_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = DriverTables(spark, sf_dir)["orders"]
     return o.groupBy("o_orderstatus").agg(F.round(F.avg("o_totalprice"), 2).alias("avg_price"))
@@ -83,7 +90,9 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_rows(DriverTables(spark, sf_dir)["customer"].select("c_nationkey", "c_mktsegment"))
+    """Whole rows that repeat: line items without their keys and prices."""
+    return dedup_rows(DriverTables(spark, sf_dir)["lineitem"].select(
+        "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"))
 
 
 def raw_purchase_text(orders: DataFrame) -> DataFrame:
@@ -142,6 +151,7 @@ PRIMITIVES = {
     "left_join_lookup": left_join_lookup,
     "inner_join_enrich": inner_join_enrich,
     "agg_sum_round": agg_sum_round,
+    "agg_sum_expression": agg_sum_expression,
     "agg_avg_round": agg_avg_round,
     "agg_counts": agg_counts,
     "agg_min_max": agg_min_max,

@@ -11,9 +11,9 @@ foreign key (one seller with a third of all items) becomes one row per
 task before any shuffle, so neither the join nor the final aggregation
 sees the skew.
 
-Money is summed exactly in whole cents (BIGINT at the fact level, DECIMAL
-for the few re-aggregated partials; see ``functions.money``); averages are
-DOUBLE like the source.  Top-k reports break ties on the group key so the
+Money is summed without rounding any row and independently of the order of
+additions (see ``functions.money``); delivery days are averaged from whole
+seconds (BIGINT).  Top-k reports break ties on the group key so the
 k rows are deterministic.
 """
 
@@ -23,10 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.functions.money import cents_to_amount, sum_cents, sum_partials
+from emporia.functions.dates import SECONDS_PER_DAY
+from emporia.functions.money import amount, sum_parts, sum_partials
 
 Gold = dict[str, DataFrame]
 
+#: Tasks that the items of one order are dealt over when reviews are joined.
+ORDER_SALTS = 16
+
 
 def _avg(total: str, count: str) -> F.Column:
     """sum / count as DOUBLE; NULL when nothing was counted (like AVG)."""
@@ -38,11 +42,11 @@ def q1_monthly_revenue(g: Gold, limit: int | None = None, with_month: bool = Tru
     ``with_month=False`` drops the month number from the output (it still
     orders the rows)."""
     per_day = (g["fact_order_payments"].groupBy("order_purchase_date_key")
-               .agg(sum_cents("payment_value").alias("v")))
+               .agg(sum_parts("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day.join(d, per_day.order_purchase_date_key == d.date_key, "inner")
     res = (j.groupBy("year", "month", "month_name")
-           .agg(cents_to_amount(sum_partials("v")).alias("monthly_revenue"))
+           .agg(amount(sum_partials("v")).alias("monthly_revenue"))
            .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
                     F.col("month_name").asc_nulls_first()))
     if limit is not None:
@@ -53,11 +57,11 @@ def q1_monthly_revenue(g: Gold, limit: int | None = None, with_month: bool = Tru
 def q2_category_revenue(g: Gold, limit: int | None = 10,
                         revenue_name: str = "category_revenue") -> DataFrame:
     per_product = (g["fact_order_items"].groupBy("product_id")
-                   .agg(sum_cents("price").alias("v")))
+                   .agg(sum_parts("price").alias("v")))
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
     res = (j.groupBy("product_category_name_english")
-           .agg(cents_to_amount(sum_partials("v")).alias(revenue_name))
+           .agg(amount(sum_partials("v")).alias(revenue_name))
            .orderBy(F.col(revenue_name).desc_nulls_last(),
                     F.col("product_category_name_english").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
@@ -65,11 +69,11 @@ def q2_category_revenue(g: Gold, limit: int | None = 10,
 
 def q3_top_sellers(g: Gold, limit: int | None = 5) -> DataFrame:
     per_seller = (g["fact_order_items"].groupBy("seller_id")
-                  .agg(sum_cents("price").alias("v")))
+                  .agg(sum_parts("price").alias("v")))
     s = g["dim_sellers"].select("seller_id", "seller_city", "seller_state")
     j = per_seller.join(s, "seller_id", "inner")
     res = (j.groupBy("seller_id", "seller_city", "seller_state")
-           .agg(cents_to_amount(sum_partials("v")).alias("total_sales"))
+           .agg(amount(sum_partials("v")).alias("total_sales"))
            .orderBy(F.col("total_sales").desc_nulls_last(), F.col("seller_id").asc_nulls_first(),
                     F.col("seller_city").asc_nulls_first(), F.col("seller_state").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
@@ -77,11 +81,11 @@ def q3_top_sellers(g: Gold, limit: int | None = 5) -> DataFrame:
 
 def q4_sales_by_state(g: Gold, limit: int | None = 10) -> DataFrame:
     per_customer = (g["fact_order_items"].groupBy("customer_id")
-                    .agg(sum_cents("price").alias("v")))
+                    .agg(sum_parts("price").alias("v")))
     c = g["dim_customers"].select("customer_id", "customer_state")
     j = per_customer.join(c, "customer_id", "inner")
     res = (j.groupBy("customer_state")
-           .agg(cents_to_amount(sum_partials("v")).alias("total_sales"))
+           .agg(amount(sum_partials("v")).alias("total_sales"))
            .orderBy(F.col("total_sales").desc_nulls_last(), F.col("customer_state").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
 
@@ -90,14 +94,15 @@ def q5_delivery_by_state(g: Gold, limit: int | None = 10, positive_only: bool =
     o = g["fact_orders"].filter(F.col("delivery_time_days").isNotNull())
     if positive_only:
         o = o.filter(F.col("delivery_time_days") > 0)
+    seconds = F.rint(F.col("delivery_time_days") * SECONDS_PER_DAY).cast(T.LongType())
     per_customer = (o.groupBy("customer_id")
-                    .agg(F.sum("delivery_time_days").alias("s"),
-                         F.count("delivery_time_days").alias("n")))
+                    .agg(F.sum(seconds).alias("s"), F.count("delivery_time_days").alias("n")))
     c = g["dim_customers"].select("customer_id", "customer_state")
     j = per_customer.join(c, "customer_id", "inner")
     res = (j.groupBy("customer_state")
            .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-           .select("customer_state", F.round(_avg("s", "n"), 2).alias("avg_delivery_time_days"))
+           .select("customer_state",
+                   F.round(_avg("s", "n") / SECONDS_PER_DAY, 2).alias("avg_delivery_time_days"))
            .orderBy(F.col("avg_delivery_time_days").asc_nulls_first(),
                     F.col("customer_state").asc_nulls_first()))
     return res.limit(limit) if limit is not None else res
@@ -107,11 +112,11 @@ def q6_payment_trends(g: Gold, limit: int | None = None, count_name: str = "paym
                       value_name: str = "total_payment_value") -> DataFrame:
     per_day_type = (g["fact_order_payments"]
                     .groupBy("order_purchase_date_key", "payment_type")
-                    .agg(F.count(F.lit(1)).alias("n"), sum_cents("payment_value").alias("v")))
+                    .agg(F.count(F.lit(1)).alias("n"), sum_parts("payment_value").alias("v")))
     d = g["dim_date"].select("date_key", "year", "month", "month_name")
     j = per_day_type.join(d, per_day_type.order_purchase_date_key == d.date_key, "inner")
     res = (j.groupBy("year", "month", "month_name", "payment_type")
-           .agg(F.sum("n").alias(count_name), cents_to_amount(sum_partials("v")).alias(value_name))
+           .agg(F.sum("n").alias(count_name), amount(sum_partials("v")).alias(value_name))
            .orderBy(F.col("year").asc_nulls_first(), F.col("month").asc_nulls_first(),
                     F.col(value_name).desc_nulls_last(),
                     F.col("month_name").asc_nulls_first(), F.col("payment_type").asc_nulls_first()))
@@ -124,15 +129,22 @@ def q7_review_by_category(g: Gold, limit: int | None = None, count_rows: bool =
     item of its order (fan-out kept on purpose), duplicated review ids are
     not removed.  Carried as per-order (sum, count) of scores; the item
     join then multiplies them by the order's items, so the review x item
-    pairs are never materialised.  The count is COUNT(review_score), or
-    with ``count_rows`` COUNT(*) of the joined rows."""
-    per_order = (g["fact_order_reviews"].groupBy("order_id")
+    pairs are never materialised.  Items are first reduced to one count per
+    (order, product), and the join key carries a salt of the product with
+    each order's sums repeated once per salt, so an order with a third of all
+    items is dealt over the tasks whatever the join's inputs look like.  The
+    count is COUNT(review_score), or with ``count_rows`` COUNT(*) of the
+    joined rows."""
+    per_order = (g["fact_order_reviews"].where(F.col("order_id").isNotNull()).groupBy("order_id")
                  .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("n"),
-                      F.count(F.lit(1)).alias("r")))
-    items = g["fact_order_items"].select("order_id", "product_id")
-    per_product = (items.join(per_order, "order_id", "inner")
-                   .groupBy("product_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"),
-                                              F.sum("r").alias("r")))
+                      F.count(F.lit(1)).alias("r"))
+                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(ORDER_SALTS - 1)))))
+    items = (g["fact_order_items"].where(F.col("order_id").isNotNull()).groupBy("order_id", "product_id")
+             .agg(F.count(F.lit(1)).alias("items"))
+             .withColumn("salt", F.pmod(F.xxhash64("product_id"), F.lit(ORDER_SALTS)).cast(T.IntegerType())))
+    per_product = (items.join(per_order, ["order_id", "salt"], "inner")
+                   .groupBy("product_id")
+                   .agg(*[F.sum(F.col(c) * F.col("items")).alias(c) for c in ("s", "n", "r")]))
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
     res = (j.groupBy("product_category_name_english")

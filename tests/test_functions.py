@@ -1,15 +1,20 @@
 """Scalar functions: tolerant parse, date keys, elapsed days (zone-free),
-exact money sums."""
+order-independent money sums."""
 
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions.dates import date_key, date_parts, elapsed_days, parse_timestamp
-from emporia.functions.money import cents, exact_sum
+from emporia.functions.money import amount, exact_sum, sum_partials, sum_parts
 
 
 def test_parse_timestamp_tolerant(spark):
@@ -42,12 +47,39 @@ def test_elapsed_days_ignores_session_zone(spark):
     assert got == [1.5, 0.75, None]
 
 
-def test_exact_sum_in_cents(spark):
-    vals = [0.1, 0.2, 0.3, 68423.46, 1e-2, 12345678901.23]
-    df = spark.createDataFrame([(v,) for v in vals * 1000], "x double")
-    r = df.agg(exact_sum("x").alias("s"), F.sum(cents("x")).alias("c")).first()
-    assert r.c == sum(round(v * 100) for v in vals) * 1000
-    assert r.s == float(f"{r.c / 100:.2f}")
+def _rounded(values):
+    """ROUND(SUM, 2) half up of the exact sum of the doubles' shortest decimals."""
+    total = sum(Decimal(repr(v)) for v in values)
+    return float(total.quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+@pytest.mark.parametrize("values", [
+    [0.004] * 1000, [0.005] * 3, [-0.004] * 1000 + [1e9], [0.1, 0.2, 0.3, 68423.46, 1e-2, 12345678901.23] * 500,
+    [1e12 + 0.01] * 2000, [8e12, 8e12, 0.01, -8e12], [5e-324, 1e-9, 1e-9], [123456.789] * 777, [-7.125, 0.0, -0.0]])
+def test_sum_rounds_once(spark, values):
+    df = spark.createDataFrame([(i % 7, v) for i, v in enumerate(values)] + [(0, None)], "k int, x double").repartition(5)
+    want = _rounded(values)
+    assert df.agg(exact_sum("x").alias("s")).first().s == want
+    two = df.groupBy("k").agg(sum_parts("x").alias("p")).agg(amount(sum_partials("p")).alias("s"))
+    assert two.first().s == want
+
+
+def test_sum_of_nan_infinities_and_nothing(spark):
+    rows = [("nan", float("nan")), ("nan", 1.0), ("inf", float("inf")), ("inf", 2.0), ("both", float("inf")),
+            ("both", float("-inf")), ("null", None), ("huge", 1e300), ("huge", 1.0), ("mixed", 1e13), ("mixed", 0.25)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum("x").alias("s")).collect()}
+    assert math.isnan(got["nan"]) and got["inf"] == math.inf and math.isnan(got["both"])
+    assert got["null"] is None and got["huge"] == 1e300 and got["mixed"] == 1e13 + 0.25
+    assert df.limit(0).agg(exact_sum("x").alias("s")).first().s is None
+
+
+def test_sum_does_not_depend_on_partitioning(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.uniform(-1e6, 1e9),) for _ in range(5000)]
+    sums = {spark.createDataFrame(rnd.sample(rows, len(rows)), "x double").repartition(n)
+            .agg(exact_sum("x").alias("s")).first().s for n in (1, 3, 16)}
+    assert sums == {_rounded([r[0] for r in rows])}
 
 
 def test_date_key_and_elapsed_days_match_python(spark):
