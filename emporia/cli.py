@@ -29,7 +29,7 @@ from emporia.plans.pipeline import (
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
 from emporia.session import apply_scale_defaults, ensure_checkpoint_dir
-from emporia.sources.schemas import SOURCE_SCHEMAS, SOURCE_TABLES
+from emporia.sources.schemas import MULTILINE_TABLES, SOURCE_SCHEMAS, SOURCE_TABLES
 
 
 def _session() -> SparkSession:
@@ -107,10 +107,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(register_layer_tables(spark, args.namespace, args.base, names)))
     elif args.job == "incremental":
         from emporia.streaming.incremental import incremental_ingest
-        q = incremental_ingest(spark, args.source, SOURCE_SCHEMAS[args.table], args.out,
-                               args.checkpoint, args.date_column,
-                               multiline=args.table == "order_reviews")
-        print(json.dumps({"rows": sum(x["numInputRows"] for x in q.recentProgress)}))
+        run = incremental_ingest(spark, args.source, SOURCE_SCHEMAS[args.table], args.out,
+                                 args.checkpoint, args.date_column,
+                                 multiline=args.table in MULTILINE_TABLES)
+        print(json.dumps({"rows": run.rows}))
     return 0
 
 

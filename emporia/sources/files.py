@@ -1,50 +1,110 @@
 """File scans and sinks (S1-S3, S5).
 
-CSV is read with an explicit schema (no inference pass over the data) and
-with ``multiLine`` only for tables whose text may hold quoted newlines:
-multiLine makes every file one unsplittable task, so it is not the default.
+CSV columns are bound by the names in the header, never by position, and no
+value is dropped silently: a file whose header differs from the others', a
+record that isn't well-formed and a number that doesn't fit its declared type
+fail the load.  ``multiLine`` makes every file one unsplittable task, so it is
+on only for the tables named; elsewhere a quoted line break is refused
+(FAILFAST) instead of being split into two broken rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.sources.schemas import MULTILINE_TABLES, SOURCE_SCHEMAS
 
 # The raw files' CSV dialect.
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
-
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             multiline: bool = False) -> DataFrame:
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    if multiline:
-        reader = reader.option("multiLine", "true")
-    return reader.csv(path)
-
-
-def source_csv_path(raw_dir: str, table: str) -> str:
-    return f"{raw_dir.rstrip('/')}/{table}.csv"
+CSV_DIALECT = {"header": "true", "escape": '"', "quote": '"'}
+#: An empty field is NULL and a quoted empty field the empty text: no text a
+#: file could hold stands for NULL.
+READ_OPTIONS = CSV_DIALECT | {"mode": "FAILFAST", "enforceSchema": "false", "nullValue": "\u0001NULL\u0001"}
+WRITE_OPTIONS = CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                               "emptyValue": '""'}
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the header of the CSV file or folder (reads one line)."""
+    return spark.read.options(**CSV_DIALECT).csv(path).columns
+
+
+def _typed(column: str, kind: T.DataType, table: str) -> Column:
+    """Text to a declared type.  An integer may be written as a decimal
+    without fraction; any other text that doesn't fit fails the load."""
+    c = F.col(f"`{column}`")
+    if isinstance(kind, T.StringType):
+        return c
+    value = c.try_cast(kind)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        number = c.try_cast(T.DecimalType(38, 10))
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    bad = F.raise_error(F.concat(F.lit(f"{table}.{column}: not {kind.simpleString()}: "), c)).cast(kind)
+    return F.when(c.isNotNull() & value.isNull(), bad).otherwise(value)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             multiline: bool = False, table: str = "csv") -> DataFrame:
+    """Columns of ``schema`` (in its order, found by header name, whatever
+    their case), then the file's other columns as text.  Without a schema all
+    types are inferred (an extra pass).  Fails when a declared column is
+    missing or a part file's header differs."""
+    reader = spark.read.options(**READ_OPTIONS).option("multiLine", str(multiline).lower())
+    header = csv_header(spark, path)
+    if schema is None:
+        return reader.option("inferSchema", "true").csv(path)
+    place = {name.lower(): name for name in header}
+    missing = [f.name for f in schema.fields if f.name.lower() not in place]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header}")
+    text = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in header])).csv(path)
+    declared = {f.name.lower() for f in schema.fields}
+    return text.select(
+        *[_typed(place[f.name.lower()], f.dataType, table).alias(f.name) for f in schema.fields],
+        *[F.col(f"`{n}`") for n in header if n.lower() not in declared])
+
+
+def list_csv(spark: SparkSession, raw_dir: str) -> dict[str, str]:
+    """Stem -> path of every ``*.csv`` file or folder in ``raw_dir``."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(raw_dir)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        raise ValueError(f"no folder {raw_dir}")
+    paths = [str(s.getPath().toString()) for s in fs.listStatus(base)]
+    return {p.rstrip("/").rsplit("/", 1)[1][:-4]: p for p in sorted(paths) if p.lower().endswith(".csv")}
 
 
 def read_source_csv(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
     """One declared source table from ``<raw_dir>/<table>.csv``."""
-    return read_csv(spark, source_csv_path(raw_dir, table), SOURCE_SCHEMAS[table],
-                    multiline=table in MULTILINE_TABLES)
+    return read_csv(spark, f"{raw_dir.rstrip('/')}/{table}.csv", SOURCE_SCHEMAS[table],
+                    table in MULTILINE_TABLES, table)
 
 
 def discover_sources(spark: SparkSession, raw_dir: str,
-                     tables: tuple[str, ...] | list[str] | None = None) -> dict[str, DataFrame]:
-    """Declared tables -> lazy CSV scans.  Fails when a declared table has no
-    file (the scan resolves its file listing eagerly)."""
+                     tables: Iterable[str] | None = None,
+                     stems: Mapping[str, str] | None = None,
+                     multiline: Iterable[str] = MULTILINE_TABLES) -> dict[str, DataFrame]:
+    """Every CSV in the folder as a lazy scan, by table: the file's stem, or
+    what ``stems`` (stem -> table) makes of it.  Declared tables get their
+    declared types, others inferred ones.  ``tables`` are those that must be
+    there (default: all declared ones)."""
     wanted = list(SOURCE_SCHEMAS) if tables is None else list(tables)
     if not wanted:
         raise ValueError("no source tables declared")
-    out: dict[str, DataFrame] = {}
-    for t in wanted:
-        out[t] = read_source_csv(spark, raw_dir, t)
-    return out
+    found: dict[str, str] = {}
+    for stem, path in list_csv(spark, raw_dir).items():
+        table = (stems or {}).get(stem, stem)
+        if table in found:
+            raise ValueError(f"{found[table]} and {path} are both {table}")
+        found[table] = path
+    missing = [t for t in wanted if t not in found]
+    if missing:
+        raise ValueError(f"no file for {', '.join(missing)} in {raw_dir}")
+    lines = frozenset(multiline)
+    return {t: read_csv(spark, path, SOURCE_SCHEMAS.get(t), t in lines, t) for t, path in found.items()}
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -60,5 +120,6 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV in the source dialect (header, doubled quotes)."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    """CSV in the source dialect (header, doubled quotes), read back by
+    ``read_csv`` value for value: blanks, empty texts and NULLs included."""
+    df.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
