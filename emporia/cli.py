@@ -1,13 +1,15 @@
 """Command-line jobs, one per pipeline step (run under spark-submit or
 ``python -m emporia``; the session comes from the launcher's settings).
 
-    ingest      RAW_DIR BRONZE_DIR
-    silver      BRONZE_DIR SILVER_DIR [--namespace NS] [--views]
+    ingest      RAW_DIR BRONZE_DIR [--stem FILE_STEM=TABLE ...]
+    silver      BRONZE_DIR SILVER_DIR [--namespace NS]
     gold        SILVER_DIR GOLD_DIR   [--namespace NS]
     test        SILVER_DIR GOLD_DIR        exit 1 when a declared test fails
-    analysis    SILVER_DIR                 duplicate profile / key report
-    questions   GOLD_DIR [--limit-rows N]  Q1-Q7
-    pipeline    RAW_DIR WORK_DIR           all of the above
+    analysis    SILVER_DIR                 duplicate profile / key report; exit 1 on a bad table
+    questions   GOLD_DIR                   Q1-Q7, every row
+    pipeline    RAW_DIR WORK_DIR [--silver-views] [--stem ...]
+                                           all of the above; answers also in WORK_DIR/answers,
+                                           exit 1 when a declared test fails
     incremental SOURCE_DIR TABLE OUT_DIR CHECKPOINT_DIR DATE_COLUMN
     register    LAYER_DIR NAMESPACE {bronze,silver,gold}   re-register a layer's tables
 """
@@ -23,12 +25,13 @@ from pyspark.sql import SparkSession
 from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.pipeline import (
-    build_gold_tables, build_silver_tables, ingest, layer_schemas, read_layer, register_layer_tables,
-    run_pipeline,
+    LazyLayer, build_gold_tables, build_silver_tables, ingest, layer_schemas, read_layer,
+    register_layer_tables, run_pipeline,
 )
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
 from emporia.session import apply_scale_defaults, ensure_checkpoint_dir
+from emporia.sources.files import write_csv
 from emporia.sources.schemas import MULTILINE_TABLES, SOURCE_SCHEMAS, SOURCE_TABLES
 
 
@@ -39,24 +42,32 @@ def _session() -> SparkSession:
     return spark
 
 
-def _show(title: str, df, rows: int) -> None:
+def _print(title: str, df) -> None:
+    """Every row of an answer, one JSON line each."""
     print(f"== {title}")
-    df.show(rows, truncate=False)
+    for row in df.toLocalIterator():
+        print(json.dumps(row.asDict(), default=str))
+
+
+def _stems(pairs: list[str]) -> dict[str, str]:
+    return dict(p.split("=", 1) for p in pairs)
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="emporia")
     sub = p.add_subparsers(dest="job", required=True)
     a = sub.add_parser("ingest"); a.add_argument("raw"); a.add_argument("bronze")
+    a.add_argument("--stem", action="append", default=[])
     a = sub.add_parser("silver"); a.add_argument("bronze"); a.add_argument("silver")
     a.add_argument("--namespace", default="default_silver")
     a = sub.add_parser("gold"); a.add_argument("silver"); a.add_argument("gold")
     a.add_argument("--namespace", default="default_gold")
     a = sub.add_parser("test"); a.add_argument("silver"); a.add_argument("gold")
     a = sub.add_parser("analysis"); a.add_argument("silver")
-    a = sub.add_parser("questions"); a.add_argument("gold"); a.add_argument("--limit-rows", type=int, default=50)
+    a = sub.add_parser("questions"); a.add_argument("gold")
     a = sub.add_parser("pipeline"); a.add_argument("raw"); a.add_argument("work")
     a.add_argument("--silver-views", action="store_true")
+    a.add_argument("--stem", action="append", default=[])
     a = sub.add_parser("register"); a.add_argument("base"); a.add_argument("namespace")
     a.add_argument("layer", choices=["bronze", "silver", "gold"])
     a = sub.add_parser("incremental")
@@ -66,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
 
     if args.job == "ingest":
-        rows = ingest(spark, args.raw, args.bronze)
+        rows = ingest(spark, args.raw, args.bronze, _stems(args.stem))
         schemas = layer_schemas(read_layer(spark, args.bronze, list(rows)))
         print(json.dumps({t: {"rows": n, "schema": schemas[t]} for t, n in rows.items()}))
     elif args.job == "silver":
@@ -85,22 +96,28 @@ def main(argv: list[str] | None = None) -> int:
                   f" failures={r.failures}")
         return 1 if failed else 0
     elif args.job == "analysis":
-        silver = read_layer(spark, args.silver, checks.PROFILED)
-        for title, rows in checks.analysis_report(silver).items():
+        found = checks.analysis_report(LazyLayer(spark, args.silver, checks.PROFILED))
+        for title, rows in found.items():
             print(f"== {title}")
             for r in rows:
                 print(json.dumps(r, default=str))
+        return 1 if found["errors"] else 0
     elif args.job == "questions":
         gold = read_layer(spark, args.gold, GOLD_BUILDERS)
         for name, fn in QUESTIONS.items():
-            _show(name, fn(gold), args.limit_rows)
+            _print(name, fn(gold))
     elif args.job == "pipeline":
-        out = run_pipeline(spark, args.raw, args.work, silver_as_views=args.silver_views)
+        out = run_pipeline(spark, args.raw, args.work, silver_as_views=args.silver_views,
+                           stems=_stems(args.stem))
         rep = out["report"]
         rep["tests"] = {".".join(k): v for k, v in rep["tests"].items()}
         print(json.dumps(rep))
         for name, df in out["answers"].items():
-            _show(name, df, 50)
+            write_csv(df, f"{args.work.rstrip('/')}/answers/{name}")
+            _print(name, df)
+        for k in out["failed_tests"]:
+            print(f"FAIL {'.'.join(k)}", file=sys.stderr)
+        return 1 if out["failed_tests"] else 0
     elif args.job == "register":
         names = {"bronze": SOURCE_TABLES, "silver": list(SILVER_BUILDERS),
                  "gold": list(GOLD_BUILDERS)}[args.layer]

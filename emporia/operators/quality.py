@@ -2,14 +2,14 @@
 
 Each check is one aggregation per table (partial aggregation map-side, so a
 key or row repeated a billion times collapses before the shuffle); results
-are small report frames, never collected in library code.
+are small report frames.  Only ``key_report`` collects, at most ``k`` rows.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +18,34 @@ def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def duplicate_profile(df: DataFrame, table_name: str) -> DataFrame:
+def _fingerprint(df: DataFrame) -> list:
+    """128 bits of a row's values, NULLs told apart by position (the hash
+    functions skip them)."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns])
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return [F.xxhash64(F.lit(seed), nulls, *cols).alias(f"__hash{seed}") for seed in (1, 2)]
+
+
+def key_text(keys: list[str]) -> Column:
+    """Key values as one text: joined by ``|``, which is escaped in values as
+    the backslash is, and NULL as ``\\N``, which no value renders as."""
+    def one(c: str) -> Column:
+        text = F.replace(F.col(f"`{c}`").cast(T.StringType()), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+    return F.concat_ws("|", *[one(c) for c in keys])
+
+
+def duplicate_profile(df: DataFrame, table_name: str, keys: list[str] | None = None) -> DataFrame:
     """(table_name, total_rows, distinct_rows, duplicate_rows) in one pass:
-    group by every column, then fold the group sizes."""
-    g = _counts(df, df.columns)
+    group equal rows, then fold the group sizes.  Equal rows have equal keys,
+    so a table with ``keys`` is grouped by them and a 128-bit fingerprint of
+    the row: its other columns, long texts among them, are never shuffled."""
+    if keys:
+        rows = df.select(*[F.col(f"`{k}`") for k in keys], *_fingerprint(df))
+        g = _counts(rows, rows.columns)
+    else:
+        g = _counts(df, df.columns)
     return (g.agg(F.coalesce(F.sum("n"), F.lit(0)).cast(T.LongType()).alias("total_rows"),
                   F.count(F.lit(1)).alias("distinct_rows"))
             .select(F.lit(table_name).alias("table_name"), "total_rows", "distinct_rows",
@@ -50,7 +74,7 @@ def top_duplicate_keys(df: DataFrame, table_name: str, keys: list[str], k: int =
     order = [F.col("n").desc()] + [F.col(c).asc_nulls_first() for c in keys]
     return (v.orderBy(*order).limit(k)
             .select(F.lit(table_name).alias("table_name"),
-                    F.concat_ws("|", *[F.col(c).cast(T.StringType()) for c in keys]).alias("key_value"),
+                    key_text(keys).alias("key_value"),
                     F.col("n").alias("occurrences")))
 
 
@@ -61,7 +85,9 @@ def key_report(df: DataFrame, table_name: str, keys: list[str], k: int = 5) -> t
     ``observe`` on the grouped counts (before the ``n > 1`` filter) yields
     the summary from the same pass.  Result-stage metrics are counted once
     per successful task, so a retried task does not double them.
-    Returns (summary row as dict, list of top-k rows)."""
+    An input that the optimizer folds to an empty plan gives no metrics; its
+    summary is then a query of its own.  Returns (summary row as dict, list
+    of top-k rows)."""
     from pyspark.sql import Observation
 
     obs = Observation(f"keys:{table_name}")
@@ -70,10 +96,13 @@ def key_report(df: DataFrame, table_name: str, keys: list[str], k: int = 5) -> t
     order = [F.col("n").desc()] + [F.col(c).asc_nulls_first() for c in keys]
     top = (g.filter(F.col("n") > 1).orderBy(*order).limit(k)
            .select(F.lit(table_name).alias("table_name"),
-                   F.concat_ws("|", *[F.col(c).cast(T.StringType()) for c in keys]).alias("key_value"),
+                   key_text(keys).alias("key_value"),
                    F.col("n").alias("occurrences"))
            .collect())
-    m = obs.get
+    try:
+        m = obs.get
+    except Exception:  # noqa: BLE001 - a plan optimised to an empty one observes nothing
+        return duplicate_key_summary(df, table_name, keys).first().asDict(), top
     summary = {"table_name": table_name, "key_columns": ",".join(keys),
                "distinct_keys": int(m["distinct_keys"]), "duplicate_keys": int(m["duplicate_keys"])}
     return summary, top

@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame
 from emporia.operators import quality
 from emporia.sources.schemas import COLUMN_TESTS, SILVER_KEYS
 
-# Tables profiled by the duplicate analysis (the translation table is a
-# fixed lookup, not derived from the inputs, and is left out).
-PROFILED = [t for t in SILVER_KEYS if t != "product_category_name_translation"]
+# Tables profiled by the duplicate analysis: all nine.
+PROFILED = list(SILVER_KEYS)
 
 
 def duplicate_profile(silver: Mapping) -> DataFrame:
-    return quality.union_reports([quality.duplicate_profile(silver[t], t) for t in PROFILED])
+    return quality.union_reports([quality.duplicate_profile(silver[t], t, SILVER_KEYS[t]) for t in PROFILED])
 
 
 def duplicate_keys(silver: Mapping) -> DataFrame:
@@ -36,16 +35,26 @@ def column_tests(silver: Mapping, gold: Mapping) -> DataFrame:
 
 def analysis_report(silver: Mapping, parallelism: int = 4) -> dict[str, list]:
     """The duplicate analysis, collected (small: one row per table, or k
-    per table): the whole-row profile is one job; each keyed table gets
-    one job that yields both its key summary and its most repeated keys.
-    Jobs are submitted concurrently so their small stages overlap."""
+    per table).  Each table gets a job for its whole-row profile and, if
+    keyed, one that yields both its key summary and its most repeated keys;
+    jobs are submitted concurrently so their small stages overlap.  A table
+    that can't be read or analysed is reported under ``errors`` and the
+    others go on."""
     from concurrent.futures import ThreadPoolExecutor
 
-    keyed = [(t, k) for t in PROFILED if (k := SILVER_KEYS[t])]
+    def analyse(table: str):
+        keys = SILVER_KEYS[table]
+        try:
+            df = silver[table]
+            profile = quality.duplicate_profile(df, table, keys).first().asDict()
+            return profile, quality.key_report(df, table, keys) if keys else None, None
+        except Exception as e:  # noqa: BLE001 - whatever is wrong with one table
+            return None, None, {"table_name": table, "error": str(e).splitlines()[0][:500]}
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        prof = pool.submit(lambda: duplicate_profile(silver).collect())
-        keys = [pool.submit(quality.key_report, silver[t], t, k) for t, k in keyed]
-        results = [f.result() for f in keys]
-        return {"duplicate_profile": [r.asDict() for r in prof.result()],
-                "duplicate_keys": [summary for summary, _ in results],
-                "duplicate_keys_top5": [r.asDict() for _, top in results for r in top]}
+        results = list(pool.map(analyse, PROFILED))
+    keyed = [k for _, k, _ in results if k]
+    return {"duplicate_profile": [p for p, _, _ in results if p],
+            "duplicate_keys": [summary for summary, _ in keyed],
+            "duplicate_keys_top5": [r.asDict() for _, top in keyed for r in top],
+            "errors": [e for _, _, e in results if e]}

@@ -3,15 +3,16 @@ Gold as path-backed catalog tables, run the declared column tests, answer
 the questions.
 
 Row counts are gathered with ``observe`` during each write (one pass per
-table, no extra counting job).  Builds raise on the first error; the test
-step returns its report.  Paths and namespaces are parameters; on a cluster
-they live in shared storage.
+table, no extra counting job).  A layer is published whole or not at all; the
+test step returns its report.  Paths and namespaces are parameters; on a
+cluster they live in shared storage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,8 @@ from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS, build_gold
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS, SILVER_INPUT, build_silver
-from emporia.sources import catalog
+from emporia.plans.silver_sql import silver_selects
+from emporia.sources import catalog, files
 from emporia.sources.files import discover_sources, write_csv
 from emporia.sources.observe import with_row_count
 from emporia.sources.schemas import SOURCE_TABLES
@@ -37,28 +39,38 @@ def write_tables(spark: SparkSession, tables: Mapping[str, DataFrame], base: str
     """Write each table to ``<base>/<name>`` (and register it when a
     namespace is given), counting rows with ``observe`` in the same pass.
 
+    All tables are written to a staging folder first and published together
+    when the last one is complete.  If one fails, writes not yet begun are
+    cancelled, nothing is published and what was there stays.
+
     The writes are independent jobs submitted from a small thread pool, so
     small dimension jobs overlap with the large fact jobs instead of
     leaving executors idle between them.  Four threads: in a warmed
     session submitting every table at once measured faster, but in fresh
     bench runs at sf0.1 it was slower on every pipeline step."""
-    if namespace:
-        catalog.create_namespace(spark, namespace, f"{base.rstrip('/')}/_{namespace}.db")
+    base = base.rstrip("/")
+    staging = f"{base}/_staging-{uuid.uuid4().hex[:12]}"
 
     def one(name: str) -> tuple[str, int]:
         observed, obs = with_row_count(tables[name], name)
-        path = f"{base.rstrip('/')}/{name}"
-        if namespace:
-            catalog.save_as_table(observed, f"{namespace}.{name}", path)
-        else:
-            observed.write.mode("overwrite").parquet(path)
+        observed.write.parquet(f"{staging}/{name}")
         return name, int(obs.get["rows"])
 
-    names = list(tables)
-    if parallelism <= 1:
-        return dict(one(n) for n in names)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(pool.map(one, names))
+    pool = ThreadPoolExecutor(max_workers=max(1, parallelism))
+    writes = [pool.submit(one, n) for n in tables]
+    try:
+        counts = dict(w.result() for w in as_completed(writes))
+    except BaseException:
+        pool.shutdown(wait=True, cancel_futures=True)
+        files.remove(spark, staging)
+        raise
+    pool.shutdown()
+    for name in tables:
+        files.replace(spark, f"{staging}/{name}", f"{base}/{name}")
+    files.remove(spark, staging)
+    if namespace:
+        register_layer_tables(spark, namespace, base, list(tables))
+    return {name: counts[name] for name in tables}
 
 
 def layer_schemas(tables: Mapping[str, DataFrame]) -> dict[str, str]:
@@ -66,15 +78,34 @@ def layer_schemas(tables: Mapping[str, DataFrame]) -> dict[str, str]:
     return {name: df.schema.simpleString() for name, df in tables.items()}
 
 
-def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str) -> dict[str, int]:
-    """L1: every declared source CSV -> Parquet (overwrite), with row counts."""
-    return write_tables(spark, discover_sources(spark, raw_dir), bronze_dir, None)
+def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str,
+           stems: Mapping[str, str] | None = None) -> dict[str, int]:
+    """L1: every source CSV -> Parquet (overwrite), with row counts.
+    ``stems``: file stem -> table, for files not named like their table."""
+    return write_tables(spark, discover_sources(spark, raw_dir, stems=stems), bronze_dir, None)
 
 
 def read_layer(spark: SparkSession, base: str, names) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{base.rstrip('/')}/{n}") for n in names}
 
 
+class LazyLayer(Mapping):
+    """The tables of a written layer, each read when it is asked for: one
+    that can't be read doesn't keep the others from being used."""
+
+    def __init__(self, spark: SparkSession, base: str, names):
+        self._spark, self._base, self._names = spark, base.rstrip("/"), list(names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._base}/{name}")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def build_silver_tables(spark: SparkSession, bronze: Mapping[str, DataFrame], silver_dir: str,
                         namespace: str | None = "default_silver") -> dict[str, int]:
     """L2: Silver tables written and registered."""
@@ -104,29 +135,46 @@ def register_layer_tables(spark: SparkSession, namespace: str, base: str, names,
 def register_layer_views(layer: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
     """Register every frame of a layer as a session temp view (the view is
     the frame's lazy plan), so SQL can be run over the layer."""
-    names = []
-    for name, df in layer.items():
-        df.createOrReplaceTempView(prefix + name)
-        names.append(prefix + name)
-    return names
+    for name in layer:
+        layer[name].createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in layer]
+
+
+def create_silver_views(spark: SparkSession, namespace: str, bronze_namespace: str,
+                        location: str | None = None) -> list[str]:
+    """Silver as catalog views over the Bronze tables of a namespace: they
+    last beyond the session and show what Bronze holds when they are read."""
+    catalog.create_namespace(spark, namespace, location)
+    for name, select in silver_selects(bronze_namespace).items():
+        catalog.create_view(spark, f"{namespace}.{name}", select)
+    return [f"{namespace}.{name}" for name in SILVER_BUILDERS]
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str,
                  silver_ns: str | None = "default_silver",
                  gold_ns: str | None = "default_gold",
-                 silver_as_views: bool = False) -> dict:
+                 silver_as_views: bool = False,
+                 stems: Mapping[str, str] | None = None) -> dict:
     """L4: ingest -> Silver -> Gold -> column tests -> questions.
 
-    Silver is written as tables, or (``silver_as_views``) kept as lazy views
-    over Bronze, the way SQL models materialise a view layer; Gold is always
-    written.  Returns the load report, the test report (collected: one
-    small row per declared test) and the lazy answers over the written Gold
+    Silver is written as tables, or (``silver_as_views``) made of views over
+    Bronze, the way SQL models materialise a view layer: catalog views in
+    ``silver_ns``, over Bronze tables in ``<silver_ns>_bronze``, or without
+    a namespace views of the session.  Gold is always written.  Returns the
+    load report, the test report (collected: one small row per declared
+    test), the failed tests and the lazy answers over the written Gold
     tables."""
     work = work_dir.rstrip("/")
-    report = {"bronze": ingest(spark, raw_dir, f"{work}/bronze")}
+    report = {"bronze": ingest(spark, raw_dir, f"{work}/bronze", stems)}
     bronze = read_layer(spark, f"{work}/bronze", SOURCE_TABLES)
     report["bronze_schema"] = layer_schemas(bronze)
-    if silver_as_views:
+    report["bronze_files"] = {n: files.file_sizes(spark, f"{work}/bronze/{n}") for n in SOURCE_TABLES}
+    if silver_as_views and silver_ns:
+        bronze_ns = f"{silver_ns}_bronze"
+        register_layer_tables(spark, bronze_ns, f"{work}/bronze", SOURCE_TABLES)
+        create_silver_views(spark, silver_ns, bronze_ns, f"{work}/_{silver_ns}.db")
+        silver = {n: spark.read.table(f"{silver_ns}.{n}") for n in SILVER_BUILDERS}
+    elif silver_as_views:
         silver = build_silver(dict(bronze))
         register_layer_views(silver)
     else:
@@ -140,5 +188,6 @@ def run_pipeline(spark: SparkSession, raw_dir: str, work_dir: str,
     gold = read_layer(spark, f"{work}/gold", GOLD_BUILDERS)
     tests = checks.column_tests(silver, gold).collect()
     report["tests"] = {(r.model_name, r.column_name, r.test_name): r.failures for r in tests}
+    failed = sorted(k for k, n in report["tests"].items() if n)
     answers = {name: fn(gold) for name, fn in QUESTIONS.items()}
-    return {"report": report, "answers": answers}
+    return {"report": report, "failed_tests": failed, "answers": answers}

@@ -31,7 +31,7 @@ def local_session(cpus: int | str = "*", app: str = "emporia", shuffle_partition
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.fileCompressionFactor", "4")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

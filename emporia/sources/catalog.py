@@ -6,15 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _q(name: str) -> str:
-    return ".".join(f"`{p}`" for p in name.split("."))
+def quoted(name: str) -> str:
+    """A dotted name with each part quoted."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in name.split("."))
+
+
+def _text(value: str) -> str:
+    """A value as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """CREATE DATABASE IF NOT EXISTS; with a location the namespace folder
     lives in shared storage instead of the local warehouse directory."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(name)}{loc}")
+    loc = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{loc}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -32,8 +38,8 @@ def register_parquet(spark: SparkSession, name: str, location: str,
     """Idempotent registration of existing Parquet files as a table; with
     ``replace`` the table is dropped first (files are kept)."""
     if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {_q(name)}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(name)} USING PARQUET LOCATION '{location}'")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} USING PARQUET LOCATION {_text(location)}")
     refresh(spark, name)
 
 
@@ -42,10 +48,6 @@ def refresh(spark: SparkSession, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
-def create_view(spark: SparkSession, name: str, sql: str) -> None:
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {_q(name)} AS {sql}")
+def create_view(spark: SparkSession, name: str, select: str) -> None:
+    """A catalog view (it lasts beyond the session) over catalog tables."""
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} AS {select}")

@@ -67,10 +67,35 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         *[F.col(f"`{n}`") for n in header if n.lower() not in declared])
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) on whatever storage the path names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _at(spark, path)
+    fs.delete(where, True)
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``."""
+    fs, old = _at(spark, target)
+    fs.delete(old, True)
+    if not fs.rename(_at(spark, source)[1], old):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Number of data files under a table's folder and bytes of the largest."""
+    fs, where = _at(spark, path)
+    sizes = [f.getLen() for f in fs.listStatus(where) if f.getPath().getName()[0] not in "._"]
+    return {"files": len(sizes), "largest_bytes": max(sizes, default=0)}
+
+
 def list_csv(spark: SparkSession, raw_dir: str) -> dict[str, str]:
     """Stem -> path of every ``*.csv`` file or folder in ``raw_dir``."""
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(raw_dir)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, base = _at(spark, raw_dir)
     if not fs.exists(base):
         raise ValueError(f"no folder {raw_dir}")
     paths = [str(s.getPath().toString()) for s in fs.listStatus(base)]

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
+import pytest
+
 from emporia import cli
 from emporia.plans.layers import Layers
 from emporia.plans.pipeline import export_sources_csv
 from emporia.session import SCALE_CONF, scratch_path
+from emporia.sources import files
+from tests import fixtures
 
 
 def test_cli_jobs(spark, sf_small, capsys):
@@ -28,10 +34,62 @@ def _run_jobs(spark, sf_small, capsys):
     assert cli.main(["silver", f"{w}/bronze", f"{w}/silver", "--namespace", "cli_silver"]) == 0
     assert cli.main(["gold", f"{w}/silver", f"{w}/gold", "--namespace", "cli_gold"]) == 0
     assert cli.main(["test", f"{w}/silver", f"{w}/gold"]) == 0
-    assert cli.main(["questions", f"{w}/gold", "--limit-rows", "2"]) == 0
+    assert cli.main(["questions", f"{w}/gold"]) == 0
+    assert cli.main(["analysis", f"{w}/silver"]) == 0
     assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0
     assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0  # idempotent
     assert spark.table("cli_gold_ext.fact_order_items").count() == \
         spark.read.parquet(f"{w}/gold/fact_order_items").count()
     out = capsys.readouterr().out
     assert "PASS unique(dim_date.date_key)" in out and "== q7_review_by_category" in out
+    # every row of an answer is printed, one line each
+    q6 = out.split("== q6_payment_trends")[1].split("== q7")[0]
+    assert len([x for x in q6.splitlines() if x.startswith("{")]) == q6_rows(spark, f"{w}/gold") > 50
+
+
+def q6_rows(spark, gold):
+    facts = spark.read.parquet(f"{gold}/fact_order_payments")
+    days = spark.read.parquet(f"{gold}/dim_date")
+    return (facts.join(days, facts.order_purchase_date_key == days.date_key)
+            .select("year", "month", "payment_type").distinct().count())
+
+
+def raw_files(spark, folder, **overrides):
+    raw = scratch_path(spark, folder)
+    export_sources_csv(fixtures.bronze(spark, overrides), raw)
+    return raw
+
+
+def test_pipeline_fails_on_a_failing_test_and_writes_all_answers(spark, capsys):
+    w = scratch_path(spark, "cli_pipeline")
+    assert cli.main(["pipeline", raw_files(spark, "cli_good"), w]) == 0
+    questions = [x for x in capsys.readouterr().out.splitlines() if x.startswith("== q")]
+    assert len(questions) == 7
+    answers = spark.read.options(header=True).csv(f"{w}/answers/q6_payment_trends")
+    assert answers.count() == 2 and "payment_count" in answers.columns
+    twice = fixtures.ORDERS + [fixtures.ORDERS[0]]
+    assert cli.main(["pipeline", raw_files(spark, "cli_bad", orders=twice), scratch_path(spark, "cli_bad_work")]) == 1
+    assert "silver_orders.order_id.unique" in capsys.readouterr().err
+
+
+def test_analysis_goes_on_after_a_bad_table(spark, capsys):
+    w = scratch_path(spark, "cli_analysis")
+    assert cli.main(["ingest", raw_files(spark, "cli_raw2"), f"{w}/bronze"]) == 0
+    assert cli.main(["silver", f"{w}/bronze", f"{w}/silver", "--namespace", "cli_silver2"]) == 0
+    files.remove(spark, f"{w}/silver/silver_orders")
+    capsys.readouterr()
+    assert cli.main(["analysis", f"{w}/silver"]) == 1
+    out = capsys.readouterr().out
+    profiles = [json.loads(x)["table_name"] for x in out.split("== duplicate_keys")[0].splitlines() if x.startswith("{")]
+    assert len(profiles) == 8 and "silver_orders" not in profiles
+    assert "product_category_name_translation" in profiles
+    assert [json.loads(x)["table_name"] for x in out.split("== errors")[1].splitlines() if x.startswith("{")] == ["silver_orders"]
+
+
+def test_ingest_with_stems(spark, tmp_path, capsys):
+    raw = raw_files(spark, "cli_stems")
+    files.replace(spark, f"{raw}/orders.csv", f"{raw}/the_orders_of_all_shops.csv")
+    with pytest.raises(ValueError, match="orders"):
+        cli.main(["ingest", raw, scratch_path(spark, "cli_nostem")])
+    assert cli.main(["ingest", raw, scratch_path(spark, "cli_stem"), "--stem", "the_orders_of_all_shops=orders"]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["orders"]["rows"] == len(fixtures.ORDERS)
