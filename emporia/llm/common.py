@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporia.session import scratch_path, ship_package
@@ -53,6 +53,26 @@ def seeds(n: int, salt: int) -> np.ndarray:
                         * np.uint64(0x9E3779B97F4A7C15))
 
 
+def bounded_sample(rows: DataFrame, label: str, rows_per_label: int, max_labels: int) -> DataFrame:
+    """Rows (``label``, ``h``, ...) with the smallest ``h``, a uniform 64-bit
+    hash, at most ``rows_per_label`` of each label.
+
+    The labels' counts, at most ``max_labels`` numbers, say which part of the
+    hash range holds a little more than that many rows; only those rows are
+    ranked, so what is shuffled doesn't grow with the input."""
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(max_labels + 1).collect()
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} values of {label}")
+    wanted = 1.25 * rows_per_label + 100  # far beyond the random spread of a hash range's rows
+    top = F.lit(None).cast("long")
+    for r in counts:
+        part = min(1.0, wanted / r["n"])
+        top = F.when(F.col(label) == r[label], F.lit(min((1 << 63) - 1, int((part * 2 - 1) * (1 << 63))))).otherwise(top)
+    order = Window.partitionBy(label).orderBy("h")
+    return rows.where(F.col("h") <= top).withColumn("__rank", F.row_number().over(order)).where(
+        F.col("__rank") <= rows_per_label).drop("__rank")
+
+
 def chunks(rows: Iterator, weight, limit: int) -> Iterator[list]:
     """Rows in lists of at most ``limit`` total weight (at least one row each)."""
     held, total = [], 0

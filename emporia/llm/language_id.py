@@ -22,10 +22,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import keep_rows, seeds, splitmix, written
+from emporia.llm.common import bounded_sample, keep_rows, seeds, splitmix, written
 from emporia.session import ship_package
 
 UNDETERMINED = "und"
@@ -146,19 +146,17 @@ class LanguageModel:
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", rows_per_language: int = 1000, sizes: tuple[int, ...] = (3, 4),
-                  min_share: float = 2e-5, min_ratio: float = 0.1) -> LanguageModel:
+                  min_share: float = 2e-5, min_ratio: float = 0.1, max_languages: int = 512) -> LanguageModel:
     """Learn from ``docs`` (rows with null language or text teach nothing).
 
     ``rows_per_language`` bounds the sample: the rows with the smallest hashed
-    identifiers (ties, nulls and repeated ones in any order).  Each map task
-    keeps at most that many rows a language before anything is shuffled.
+    identifiers (ties, nulls and repeated ones in any order).  More than
+    ``max_languages`` languages are an error.
     """
     ship_package(docs.sparkSession)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    sample = written(labelled.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows_per_language)
-                     .select("lang", "h").distinct(), "language-sample")
+    sample = written(bounded_sample(labelled, "lang", rows_per_language, max_languages).distinct(), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):

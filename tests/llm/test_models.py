@@ -2,8 +2,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from emporia.llm import language_id, quality
+from emporia.llm.common import bounded_sample
 from emporia.llm.language_id import LanguageModel, fit_languages, grams, identify, keep_identified
 from emporia.llm.queries import QUERIES
 from emporia.llm.quality import bradley_terry, features, fit_quality, keep_good, score_quality
@@ -73,6 +75,19 @@ def test_nothing_to_learn_languages_from(odd_docs, no_docs):
     assert {(r["lang_pred"], r["score"]) for r in identify(odd_docs, model).collect()} == {("und", 0.0)}
 
 
+def test_bounded_sample_is_the_smallest_hashes(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 < 2, "a").when(F.col("id") < 30, "b").otherwise("c").alias("k"),
+                                    F.xxhash64("id").alias("h"), "id")
+    rows = df.collect()
+    got = bounded_sample(df, "k", 50, 3).collect()
+    for k in "abc":
+        own = sorted(r["h"] for r in rows if r["k"] == k)
+        assert sorted(r["h"] for r in got if r["k"] == k) == own[:50]
+    assert bounded_sample(df.limit(0), "k", 50, 3).count() == 0
+    with pytest.raises(ValueError):
+        bounded_sample(df, "k", 50, 2)
+
+
 def test_sample_of_a_language_is_bounded(spark):
     df = spark.createDataFrame([(i, f"some words of number {i}", "en") for i in range(300)],
                                "doc_id long, text string, lang string")
