@@ -6,10 +6,11 @@ so each distinct word is encoded once:
 1. every task cuts the texts it reads into words and keeps, per block of texts
    (bounded by characters), the block's distinct words and each text as
    positions in that word list;
-2. the (word, block, position) rows are dealt out and sorted by word: the
-   distinct-word table.  Each word is merged once, with the others of its
-   batch (``rank_merge``), and its ids go back to every block that has it.  A
-   word occurs there once per block, however often the texts repeat it;
+2. a hash deals the words of all blocks over buckets, each block sending a
+   bucket its words and their positions in one packed row.  A bucket is a part
+   of the distinct-word table: each of its distinct words is merged once, with
+   the others (``rank_merge``), and the ids go back to every block that has
+   the word.  However often texts repeat a word, a block sends it once;
 3. a block and the ids of its words meet again by block, positions become ids,
    and ids become pieces through the id-to-piece table.
 
@@ -35,12 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.common import chunks
 from emporia.llm.packing import byte_alphabet
 from emporia.llm.rank_merge import RankMerger
 from emporia.session import ship_package
 
-#: Characters of text in one block.
-BLOCK_CHARS = 32 << 20
+#: Characters of text in one block, and of words merged at once.
+BLOCK_CHARS, MERGE_CHARS = 8 << 20, 1 << 20
+#: Characters of decoded text in one batch of results.
+BATCH_CHARS = 4 << 20
 
 
 class WordCodec:
@@ -143,80 +147,116 @@ def _split(path: str, kind: pa.DataType, block_chars: int):
     return run
 
 
-def _words_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for number, packed in zip(batch.column(0).to_pylist(), batch.column(3)):
-            joined = zstandard.decompress(packed.as_py()).decode()
-            words = joined.split("\n") if joined else []
-            for at in range(0, len(words), 1 << 16):
-                some = words[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.string()), pa.array(np.full(len(some), number)),
-                     pa.array(np.arange(at, at + len(some), dtype=np.int32))], ["word", "block", "pos"])
+def _unpack_words(packed: bytes) -> list[str]:
+    joined = zstandard.decompress(packed).decode()
+    return joined.split("\n") if joined else []
 
 
-def _encode(path: str):
+def _deal_words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, last = WordCodec(path), (None, b"")
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            coded = batch.column(0).dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            # rows are sorted by word: only the first may have been met before
-            fresh = words[1:] if words and words[0] == last[0] else words
-            packed = [x.astype("<u4").tobytes() for x in codec.encode(fresh)]
-            if len(fresh) < len(words):
-                packed.insert(0, last[1])
-            if words:
-                last = (words[-1], packed[-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(packed, pa.binary()).take(coded.indices)],
-                ["block", "pos", "ids"])
+            for number, packed in zip(batch.column(0).to_pylist(), batch.column(3)):
+                words = _unpack_words(packed.as_py())
+                if not words:
+                    continue
+                digest = xxhash.xxh3_64_intdigest
+                bucket = np.fromiter((digest(w.encode()) % buckets for w in words), np.int32, len(words))
+                order = np.argsort(bucket, kind="stable").astype(np.int32)
+                cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+                rows = []
+                for own in np.split(order, cuts):
+                    steps = np.diff(own, prepend=0).astype("<u4")
+                    rows.append((int(bucket[own[0]]), number, pack(steps.tobytes()),
+                                 pack("\n".join([words[i] for i in own.tolist()]).encode())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+                    ["bucket", "block", "pos", "words"])
+
+    return run
+
+
+def _encode_buckets(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, pack = WordCodec(path), zstandard.ZstdCompressor(level=1).compress
+
+        def done(rows: list[tuple]) -> pa.RecordBatch:
+            """The rows of one bucket: each distinct word is encoded once."""
+            index: dict[str, int] = defaultdict(itertools.count().__next__)
+            own = [[index[w] for w in _unpack_words(r[3])] for r in rows]
+            ids = [x for part in chunks(iter(index), len, MERGE_CHARS) for x in codec.encode(part)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            out = [(r[1], r[2], pack(sizes[at].astype("<u4").tobytes()),
+                    pack(np.concatenate([ids[i] for i in at]).astype("<u4").tobytes())) for r, at in zip(rows, own)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                ["block", "pos", "sizes", "ids"])
+
+        held: list[tuple] = []
+        for batch in batches:  # sorted by bucket
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[0] != held[0][0]:
+                    yield done(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield done(held)
 
     return run
 
 
 def _assemble(path: str, kind: pa.DataType):
-    held: list[WordCodec] = []
-
-    def run(blocks: pa.Table, coded: pa.Table) -> pa.Table:
-        if not held:
-            held.append(WordCodec(path))
-        piece = held[0].pieces
-        pos = coded.column("pos").to_numpy()
-        words = [b""] * len(pos)
-        for p, ids in zip(pos.tolist(), coded.column("ids").to_pylist()):
-            words[p] = ids
-        if blocks.num_rows != 1 or len(np.unique(pos)) != len(pos):
-            raise RuntimeError("a block of texts and the ids of its words do not belong together")
-        raw = zstandard.decompress(blocks.column("codes")[0].as_py())
-        n = len(raw) // 3
-        codes = (np.frombuffer(raw, "<u2", n).astype(np.int64)
-                 | (np.frombuffer(raw, np.uint8, n, 2 * n).astype(np.int64) << 16))
-        if n and codes.max() >= len(words):
-            raise RuntimeError("words of a block are missing")
-        flat = np.frombuffer(b"".join(words), "<u4")
-        sizes = np.fromiter((len(w) // 4 for w in words), np.int64, len(words))
-        starts = np.cumsum(sizes) - sizes
-        names = [piece[i] for i in flat.tolist()]  # the id-to-piece join
-        text = [" ".join(names[a:a + k]) for a, k in zip(starts.tolist(), sizes.tolist())]
-        out: list[tuple] = []
-        begin = 0
-        for ident, end in zip(blocks.column("ids")[0].as_py(), blocks.column("ends")[0].as_py()):
-            own = codes[begin:end]
-            k = sizes[own]
-            shift = np.repeat(starts[own] - (np.cumsum(k) - k), k)
-            ids = flat[shift + np.arange(len(shift))] if len(own) else flat[:0]
-            out.append((ident, len(ids), ids.tobytes(), " ".join([text[c] for c in own.tolist()])))
-            begin = end
-        cols = list(zip(*out))
-        return pa.table([pa.array(cols[0], kind), pa.array(cols[1], pa.int64()),
-                         pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.large_string())],
-                        ["id", "n_tokens", "ids", "decoded"]).cast(
-            pa.schema([("id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = WordCodec(path).pieces
+        unpack = zstandard.decompress
+        for batch in batches:
+            for ids, ends, codes, parts in zip(*batch.columns[:4]):
+                raw = unpack(codes.as_py())
+                n = len(raw) // 3
+                codes = (np.frombuffer(raw, "<u2", n).astype(np.int32)
+                         | (np.frombuffer(raw, np.uint8, n, 2 * n).astype(np.int32) << 16))
+                parts = parts.as_py() or []
+                pos = [np.cumsum(np.frombuffer(unpack(p["pos"]), "<u4"), dtype=np.int64) for p in parts]
+                pos = np.concatenate(pos) if pos else np.empty(0, np.int64)
+                if not np.array_equal(np.sort(pos), np.arange(codes.max() + 1 if n else 0)):
+                    raise RuntimeError("a block of texts and the ids of its words do not belong together")
+                flat = np.frombuffer(b"".join(unpack(p["ids"]) for p in parts), "<u4")
+                length = np.frombuffer(b"".join(unpack(p["sizes"]) for p in parts), "<u4").astype(np.int64)
+                sizes, starts = np.empty_like(length), np.empty_like(length)
+                sizes[pos], starts[pos] = length, np.cumsum(length) - length
+                names = [piece[i] for i in flat.tolist()]  # the id-to-piece join
+                text = [" ".join(names[a:a + k]) for a, k in zip(starts.tolist(), sizes.tolist())]
+                del names
+                yield from _texts(ids.as_py(), ends.as_py(), codes, flat, starts, sizes, text, kind)
 
     return run
 
 
+def _texts(idents: list, ends: list[int], codes: np.ndarray, flat: np.ndarray, starts: np.ndarray,
+           sizes: np.ndarray, text: list[str], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Ids and decoded texts of one block, in batches."""
+    kinds = (kind, pa.int64(), pa.binary(), pa.string())
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                          ["id", "n_tokens", "ids", "decoded"])
+
+    rows, held, begin = [], 0, 0
+    for ident, end in zip(idents, ends):
+        own = codes[begin:end]
+        k = sizes[own]
+        shift = np.repeat(starts[own] - (np.cumsum(k) - k), k)
+        ids = flat[shift + np.arange(len(shift))]
+        rows.append((ident, len(ids), ids.tobytes(), " ".join([text[c] for c in own.tolist()])))
+        held += len(rows[-1][3])
+        if held > BATCH_CHARS:
+            yield batch(rows)
+            rows, held = [], 0
+        begin = end
+    if rows:
+        yield batch(rows)
+
+
 def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                       text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per input row: the identifier, ``n_tokens``, ``ids`` (as
@@ -237,10 +277,13 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     blocks = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _split(tokenizer_path, kind, block_chars),
         f"block long, ids array<{name}>, ends array<long>, words binary, codes binary").repartition("block")
-    words = blocks.mapInArrow(_words_of_blocks, "word string, block long, pos int")
-    coded = words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        _encode(tokenizer_path), "block long, pos int, ids binary")
-    done = blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = blocks.mapInArrow(_deal_words(buckets), "bucket int, block long, pos binary, words binary")
+    coded = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _encode_buckets(tokenizer_path), "block long, pos binary, sizes binary, ids binary")
+    parts = coded.groupBy("block").agg(F.collect_list(F.struct("pos", "sizes", "ids")).alias("parts"))
+    # all columns are passed on: with fewer, the two branches' exchanges would differ
+    done = blocks.join(parts, "block", "left").select("ids", "ends", "codes", "parts", "words", "block").mapInArrow(
         _assemble(tokenizer_path, kind), f"id {name}, n_tokens long, ids binary, decoded string")
     return done.withColumnRenamed("id", id_col)
 
