@@ -3,11 +3,15 @@
 Each call writes under a fresh path of the shared scratch root (the
 cluster's ``spark.checkpoint.dir``), registers or reads it back, and
 returns the lazy scan.  Fresh paths and table names keep re-runs clean and
-never overwrite files a running plan reads.
+never overwrite files a running plan reads; both go when the application
+ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,14 +26,23 @@ from emporia.sources.files import read_csv, write_csv, write_parquet
 SCRATCH_NAMESPACE = "emporia_scratch"
 
 
-def _namespace(spark: SparkSession) -> str:
-    loc = scratch_path(spark, "namespace")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_NAMESPACE} LOCATION '{loc}'")
-    return SCRATCH_NAMESPACE
+def scratch_namespace(spark: SparkSession) -> str:
+    """A namespace of this application, dropped with its tables at exit (their
+    files are scratch paths, removed when the application ends)."""
+    name = f"{SCRATCH_NAMESPACE}_{re.sub(r'[^0-9A-Za-z]', '_', spark.sparkContext.applicationId)}"
+    if not spark.catalog.databaseExists(name):
+        catalog.create_namespace(spark, name, scratch_path(spark, "namespace"))
+        atexit.register(_drop_namespace, spark, name)
+    return name
+
+
+def _drop_namespace(spark: SparkSession, name: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped before
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
 
 def _table_name(spark: SparkSession, stem: str) -> str:
-    return f"{_namespace(spark)}.{stem}_{uuid.uuid4().hex[:10]}"
+    return f"{scratch_namespace(spark)}.{stem}_{uuid.uuid4().hex[:10]}"
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

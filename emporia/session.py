@@ -89,23 +89,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared scratch root for one written
     table.  Unique per call so a re-run never overwrites a path that a
-    running plan still reads."""
-    root = scratch_root(spark).rstrip("/")
-    path = f"{root}/emporia/{name}-{uuid.uuid4().hex[:12]}"
-    _remove_at_exit(spark, path)
-    return path
+    running plan still reads.  All paths of an application lie in one folder
+    that the file system drops when the application ends."""
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_FOLDERS: dict[str, str] = {}
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Have the file system drop ``path`` when the application ends: lazy
-    results may read a scratch table for as long as the session lives.  A
-    Connect session has no JVM handle; there the owner of the folder cleans
-    up."""
+def _application_folder(spark: SparkSession) -> str:
+    root = scratch_root(spark).rstrip("/")
     sc = _context(spark)
-    if sc is None:
-        return
-    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    if sc is None:  # a Connect session has no handle on the file system
+        return f"{root}/emporia/connect"
+    if sc.applicationId not in _FOLDERS:
+        folder = f"{root}/emporia/{sc.applicationId}-{uuid.uuid4().hex[:6]}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)  # takes only paths that exist
+        _FOLDERS[sc.applicationId] = folder
+    return _FOLDERS[sc.applicationId]
 
 
 _SHIPPED: set[str] = set()
