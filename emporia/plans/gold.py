@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from emporia.functions.dates import date_key, date_parts, date_series, elapsed_days
 from emporia.operators.relational import bounds_with_default, distinct_project, enrich_join
+from emporia.sources.schemas import GOLD_COLUMNS
 
 Silver = dict[str, DataFrame]
 
@@ -22,14 +23,9 @@ Silver = dict[str, DataFrame]
 DEFAULT_FIRST_DAY = _dt.date(2016, 1, 1)
 DEFAULT_LAST_DAY = _dt.date(2018, 12, 31)
 
-DIM_DATE_COLUMNS = ["date", "date_key", "year", "month", "month_name", "quarter",
-                    "day_of_week", "day_of_month"]
-
 
 def dim_customers(s: Silver) -> DataFrame:
-    return distinct_project(s["silver_customers"],
-                            ["customer_id", "customer_unique_id", "customer_zip_code_prefix",
-                             "customer_city", "customer_state"])
+    return distinct_project(s["silver_customers"], GOLD_COLUMNS["dim_customers"])
 
 
 def dim_products(s: Silver) -> DataFrame:
@@ -40,8 +36,7 @@ def dim_products(s: Silver) -> DataFrame:
 
 
 def dim_sellers(s: Silver) -> DataFrame:
-    return distinct_project(s["silver_sellers"],
-                            ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"])
+    return distinct_project(s["silver_sellers"], GOLD_COLUMNS["dim_sellers"])
 
 
 def dim_date(s: Silver, first_default: _dt.date = DEFAULT_FIRST_DAY,
@@ -53,7 +48,7 @@ def dim_date(s: Silver, first_default: _dt.date = DEFAULT_FIRST_DAY,
         s["silver_orders"], F.to_date("order_purchase_timestamp"),
         F.lit(first_default), F.lit(last_default), "min_date", "max_date")
     days = bounds.select(F.explode(date_series("min_date", "max_date")).alias("date"))
-    return days.withColumns(date_parts("date")).select(*DIM_DATE_COLUMNS)
+    return days.withColumns(date_parts("date")).select(*GOLD_COLUMNS["dim_date"])
 
 
 def orders_lookup(s: Silver, with_customer: bool = True) -> DataFrame:
@@ -92,8 +87,7 @@ def fact_order_payments(s: Silver) -> DataFrame:
 
 
 def fact_order_reviews(s: Silver) -> DataFrame:
-    return s["silver_order_reviews"].select("review_id", "order_id", "review_score",
-                                            "review_creation_date")
+    return s["silver_order_reviews"].select(*GOLD_COLUMNS["fact_order_reviews"])
 
 
 GOLD_BUILDERS = {

@@ -12,56 +12,43 @@ from pyspark.sql import functions as F
 
 from emporia.functions.dates import parse_timestamps
 from emporia.operators.relational import dedup_rows, lookup_join
-from emporia.sources.schemas import TIMESTAMP_COLUMNS
+from emporia.sources.schemas import SOURCE_SCHEMAS, TIMESTAMP_COLUMNS
 
 Bronze = dict[str, DataFrame]
 
-CUSTOMER_COLUMNS = ["customer_id", "customer_unique_id", "customer_zip_code_prefix",
-                    "customer_city", "customer_state"]
-GEO_COLUMNS = ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
-               "geolocation_city", "geolocation_state"]
-ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id",
-                "shipping_limit_date", "price", "freight_value"]
-PAYMENT_COLUMNS = ["order_id", "payment_sequential", "payment_type",
-                   "payment_installments", "payment_value"]
-REVIEW_COLUMNS = ["review_id", "order_id", "review_score", "review_comment_title",
-                  "review_comment_message", "review_creation_date", "review_answer_timestamp"]
-ORDER_COLUMNS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
-                 "order_approved_at", "order_delivered_carrier_date",
-                 "order_delivered_customer_date", "order_estimated_delivery_date"]
-PRODUCT_DETAIL_COLUMNS = ["product_name_lenght", "product_description_lenght",
-                          "product_photos_qty", "product_weight_g", "product_length_cm",
-                          "product_height_cm", "product_width_cm"]
-SELLER_COLUMNS = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
+
+def _source(b: Bronze, table: str) -> DataFrame:
+    """A source table's declared columns, in their order."""
+    return b[table].select(*SOURCE_SCHEMAS[table].fieldNames())
 
 
 def silver_customers(b: Bronze) -> DataFrame:
-    return b["customers"].select(*CUSTOMER_COLUMNS)
+    return _source(b, "customers")
 
 
 def silver_geolocation(b: Bronze) -> DataFrame:
     """Exact row-level duplicates removed."""
-    return dedup_rows(b["geolocation"].select(*GEO_COLUMNS))
+    return dedup_rows(_source(b, "geolocation"))
 
 
 def silver_order_items(b: Bronze) -> DataFrame:
-    return parse_timestamps(b["order_items"].select(*ITEM_COLUMNS),
+    return parse_timestamps(_source(b, "order_items"),
                             TIMESTAMP_COLUMNS["order_items"])
 
 
 def silver_order_payments(b: Bronze) -> DataFrame:
-    return b["order_payments"].select(*PAYMENT_COLUMNS)
+    return _source(b, "order_payments")
 
 
 def silver_order_reviews(b: Bronze) -> DataFrame:
-    return parse_timestamps(b["order_reviews"].select(*REVIEW_COLUMNS),
+    return parse_timestamps(_source(b, "order_reviews"),
                             TIMESTAMP_COLUMNS["order_reviews"])
 
 
 def silver_orders(b: Bronze) -> DataFrame:
     """Five date-times parsed (malformed -> NULL); rows without a purchase
     time are rejected after the parse."""
-    parsed = parse_timestamps(b["orders"].select(*ORDER_COLUMNS), TIMESTAMP_COLUMNS["orders"])
+    parsed = parse_timestamps(_source(b, "orders"), TIMESTAMP_COLUMNS["orders"])
     return parsed.filter(F.col("order_purchase_timestamp").isNotNull())
 
 
@@ -73,16 +60,15 @@ def silver_products(b: Bronze) -> DataFrame:
         [F.col("l.product_id"), F.col("l.product_category_name"),
          F.coalesce(F.col("r.product_category_name_english"),
                     F.col("l.product_category_name")).alias("product_category_name_english")]
-        + [F.col(f"l.{c}") for c in PRODUCT_DETAIL_COLUMNS])
+        + [F.col(f"l.{c}") for c in SOURCE_SCHEMAS["products"].fieldNames()[2:]])
 
 
 def silver_sellers(b: Bronze) -> DataFrame:
-    return b["sellers"].select(*SELLER_COLUMNS)
+    return _source(b, "sellers")
 
 
 def silver_translation(b: Bronze) -> DataFrame:
-    return b["product_category_name_translation"].select(
-        "product_category_name", "product_category_name_english")
+    return _source(b, "product_category_name_translation")
 
 
 SILVER_BUILDERS = {

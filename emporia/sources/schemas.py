@@ -77,7 +77,7 @@ COLUMN_TESTS: dict[str, list[tuple[str, tuple[str, ...]]]] = {
     "fact_order_reviews": [("review_id", ("not_null",))],
 }
 
-# Date-time columns parsed in Silver, per source table.
+# Date-time columns parsed in Silver, per source table.
 TIMESTAMP_COLUMNS: dict[str, tuple[str, ...]] = {
     "orders": ("order_purchase_timestamp", "order_approved_at",
                "order_delivered_carrier_date", "order_delivered_customer_date",
@@ -89,3 +89,11 @@ TIMESTAMP_COLUMNS: dict[str, tuple[str, ...]] = {
 # Tables whose text fields may hold quoted newlines: only these need the
 # (unsplittable) multiLine CSV mode.
 MULTILINE_TABLES: frozenset[str] = frozenset({"order_reviews"})
+
+# Columns of the Gold dimensions.
+GOLD_COLUMNS: dict[str, list[str]] = {
+    "dim_customers": SOURCE_SCHEMAS["customers"].fieldNames(),
+    "dim_sellers": SOURCE_SCHEMAS["sellers"].fieldNames(),
+    "dim_date": ["date", "date_key", "year", "month", "month_name", "quarter", "day_of_week", "day_of_month"],
+    "fact_order_reviews": ["review_id", "order_id", "review_score", "review_creation_date"],
+}

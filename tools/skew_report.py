@@ -32,10 +32,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from emporia.functions.money import sum_cents  # noqa: E402
+from emporia.functions.money import exact_sum  # noqa: E402
 from emporia.plans.gold import fact_order_items  # noqa: E402
 from emporia.plans.layers import Layers  # noqa: E402
-from emporia.plans.questions import q2_category_revenue  # noqa: E402
+from emporia.plans.questions import q2_category_revenue, q7_review_by_category  # noqa: E402
 from emporia.session import local_session  # noqa: E402
 
 
@@ -97,7 +97,7 @@ def main():
     hot_items = lay.silver["silver_order_items"].withColumn(
         "order_id", F.when(third, F.lit(hot_id)).otherwise(F.col("order_id"))).repartition(16)
     fact = fact_order_items({"silver_order_items": hot_items, "silver_orders": orders})
-    summary = fact.agg(F.count(F.lit(1)).alias("rows"), sum_cents("price").alias("cents"),
+    summary = fact.agg(F.count(F.lit(1)).alias("rows"), exact_sum("price").alias("total"),
                        F.count_if(F.col("order_id") == hot_id).alias("hot_rows"))
     for k, v in {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
                  "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
@@ -112,8 +112,21 @@ def main():
         plan = run._jdf.queryExecution().executedPlan().toString()
         print(f"{group}: {results[group].asDict()}, skew split in plan: {'skew=true' in plan}")
     assert results["hot_order_split"] == results["hot_order_nosplit"]
+
+    # -- hot order: Q7's review join, without any help from AQE ---------------
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    hot_fact = items.withColumn("order_id", F.when(third, F.lit(hot_id)).otherwise(F.col("order_id"))).repartition(16)
+    reviews = lay.gold["fact_order_reviews"]
+    sc.setJobGroup("q7_salted", "q7_salted")
+    a = q7_review_by_category({"fact_order_items": hot_fact, "fact_order_reviews": reviews,
+                               "dim_products": lay.gold["dim_products"]}).collect()
+    sc.setJobGroup("q7_plain", "q7_plain")
+    b = (reviews.join(hot_fact, "order_id").join(lay.gold["dim_products"], "product_id")
+         .groupBy("product_category_name_english").agg(F.count("review_score").alias("n")).collect())
+    assert sorted((r[0], r[2]) for r in a) == sorted(map(tuple, b))
     spark.stop()
-    for group in ("eager", "naive", "hot_order_split", "hot_order_nosplit"):
+    for group in ("eager", "naive", "hot_order_split", "hot_order_nosplit", "q7_salted", "q7_plain"):
         print(f"== {group}: stage, tasks, max records/task, median, total shuffle records")
         for row in stage_stats(log_dir, group):
             print("  ", row)
