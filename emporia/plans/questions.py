@@ -28,8 +28,9 @@ from emporia.functions.money import amount, sum_parts, sum_partials
 
 Gold = dict[str, DataFrame]
 
-#: Tasks that the items of one order are dealt over when reviews are joined.
-ORDER_SALTS = 16
+#: Tasks that one order's products are dealt over when reviews are joined (an
+#: order has at most one row per product by then).
+ORDER_SALTS = 4
 
 
 def _avg(total: str, count: str) -> F.Column:

@@ -10,7 +10,9 @@ on only for the tables named; elsewhere a quoted line break is refused
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,23 @@ WRITE_OPTIONS = CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTraili
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names in the header of the CSV file or folder (reads one line)."""
-    return spark.read.options(**CSV_DIALECT).csv(path).columns
+    """Column names in the header of the CSV file or folder: the first line of
+    its first file that isn't empty, read by the driver."""
+    fs, where = _at(spark, path)
+    found = fs.listStatus(where)  # of a file: itself
+    parts = sorted(str(f.getPath().toString()) for f in found
+                   if f.isFile() and f.getLen() and f.getPath().getName()[0] not in "._")
+    if not parts:  # nested folders, or nothing: left to Spark
+        return spark.read.options(**CSV_DIALECT).csv(path).columns
+    java, hadoop = spark.sparkContext._jvm.java.io, spark.sparkContext._jvm.org.apache.hadoop
+    first = hadoop.fs.Path(parts[0])
+    codec = hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(first)
+    stream = fs.open(first)
+    lines = java.BufferedReader(java.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return next(csv.reader([lines.readLine().lstrip("\ufeff")]))
+    finally:
+        lines.close()
 
 
 def _typed(column: str, kind: T.DataType, table: str) -> Column:
@@ -38,12 +55,12 @@ def _typed(column: str, kind: T.DataType, table: str) -> Column:
     c = F.col(f"`{column}`")
     if isinstance(kind, T.StringType):
         return c
-    value = c.try_cast(kind)
+    ways = [c.try_cast(kind)]
     if isinstance(kind, (T.IntegerType, T.LongType)):
         number = c.try_cast(T.DecimalType(38, 10))
-        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+        ways.append(F.when(number == F.floor(number), number.try_cast(kind)))
     bad = F.raise_error(F.concat(F.lit(f"{table}.{column}: not {kind.simpleString()}: "), c)).cast(kind)
-    return F.when(c.isNotNull() & value.isNull(), bad).otherwise(value)
+    return F.coalesce(*ways, F.when(c.isNotNull(), bad))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -129,7 +146,9 @@ def discover_sources(spark: SparkSession, raw_dir: str,
     if missing:
         raise ValueError(f"no file for {', '.join(missing)} in {raw_dir}")
     lines = frozenset(multiline)
-    return {t: read_csv(spark, path, SOURCE_SCHEMAS.get(t), t in lines, t) for t, path in found.items()}
+    with ThreadPoolExecutor(max_workers=8) as pool:  # each reads a header
+        frames = pool.map(lambda t: read_csv(spark, found[t], SOURCE_SCHEMAS.get(t), t in lines, t), found)
+        return dict(zip(found, frames))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
