@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 from emporia.session import ship_package
 
 SEQUENCE_BITS = 33
+#: The pattern's \s (Unicode White_Space), and a run's length from which it is
+#: cut out: the pattern backtracks over a run, with a limit of about 1,000,000.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 1 << 16
 SCHEMA = ("start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, segment long, loss_tokens long")
 
@@ -217,9 +221,13 @@ def pack(rows: DataFrame, encoder: Callable[[], Callable[[object], np.ndarray]],
 
 def byte_bpe_encoder(path: str, closing_id: int = 1) -> Callable[[], Callable[[str], np.ndarray]]:
     """Encoder of a byte-level BPE file with the GPT-2 word pattern; special
-    tokens inside a text get their own ids, as the file's library does."""
+    tokens inside a text get their own ids, as the file's library does.
+
+    A long run of blanks is merged apart, without the pattern: it is one word,
+    less its last character where anything but a special token follows."""
     def build() -> Callable[[str], np.ndarray]:
         import json
+        import re
 
         import tiktoken
 
@@ -235,8 +243,22 @@ def byte_bpe_encoder(path: str, closing_id: int = 1) -> Callable[[], Callable[[s
                                 special_tokens=special)
         close = np.array([closing_id], np.uint32)
 
+        long_run = re.compile(f"(?<![{BLANKS}])[{BLANKS}]{{{LONG_RUN},}}")
+        starts = tuple(special)
+
+        def plain(text: str) -> np.ndarray:
+            return np.asarray(bpe.encode_to_numpy(text, allowed_special="all"), np.uint32)
+
         def encode(text: str) -> np.ndarray:
-            return np.concatenate([np.asarray(bpe.encode_to_numpy(text, allowed_special="all"), np.uint32), close])
+            parts, at = [], 0
+            for run in long_run.finditer(text) if len(text) >= LONG_RUN else ():
+                end = run.end()
+                if end < len(text) and not (starts and text.startswith(starts, end)):
+                    end -= 1
+                parts += [plain(text[at:run.start()]),
+                          np.array(bpe._core_bpe.encode_single_piece(text[run.start():end].encode()), np.uint32)]
+                at = end
+            return np.concatenate([*parts, plain(text[at:] if at else text), close])
 
         return encode
 

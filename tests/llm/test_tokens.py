@@ -121,6 +121,24 @@ def test_byte_encoder_equals_the_library():
         assert encode(t).tolist() == e.ids + [1]
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\r\n\t ", "\u3000\x85"])
+def test_byte_encoder_of_long_blank_runs(run):
+    encode, library = packing.byte_bpe_encoder(BYTES)(), Tokenizer.from_file(BYTES)
+    for n, around in ((2_000_000, ("two", " words")), (65_536, ("", "")), (65_537, ("", "x")),
+                      (70_000, ("a\x1c", "\x1c!")), (70_000, ("<|endoftext|>", "<|endoftext|>b")), (70_000, ("'s", "'s"))):
+        blanks = (run * n)[:n]
+        text = around[0] + blanks + around[1] + blanks[:100_000] + "1" + blanks[:70_000]
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_pack_documents_with_a_long_blank_run(spark):
+    texts = [(1, "two" + "\n" * 2_000_000 + "words"), (2, " " * 2_000_000), (3, "short")]
+    got = packing.pack_documents(spark.createDataFrame(texts, "doc_id long, text string"), BYTES)
+    library = Tokenizer.from_file(BYTES)
+    assert {r["doc_id"]: r["n"] for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()} == {
+        i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in texts}
+
+
 def check_packing(pieces, want, limits):
     """Pieces tile each example and each sequence, within the limits; returns the padding."""
     of_row, of_sequence = {}, {}
