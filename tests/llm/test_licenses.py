@@ -66,3 +66,44 @@ def test_only_builtin_operators_and_no_shuffle(odd_docs):
     plan = scan_licenses(odd_docs)._jdf.queryExecution().executedPlan().toString()
     own = plan.split("InMemoryTableScan")[0]
     assert "Python" not in own and "Arrow" not in own and "Exchange" not in own
+
+
+FULL = [t for n, t in TEMPLATES if n == "MIT"][-3:]
+PASSAGES = [  # text, n_matches of the licence, licence, its best coefficient
+    ("This project is released under the MIT License.", 1, "MIT", 1.0),
+    ("Copyright (c) 2024 Jane Doe. All rights reserved.", 1, "reserved", 1.0),
+    ("Licensed under the Apache License, Version 2.0. See LICENSE for details.", 1, "Apache-2.0", 1.0),
+    ("Licensed under the MIT License.", 1, "MIT", 1.0),
+    ("Some code, released under\nthe MIT\n\nLicense. And more.", 1, "MIT", 1.0),
+    ("x " * 300 + "All rights reserved. Then y. All rights reserved, z " + "x " * 300, 2, "reserved", 1.0),
+    ("A.\nAll rights reserved.\nB 2024. All rights reserved. C", 2, "reserved", 1.0),
+    ("Ours is licensed under the Apache Software License, Version 2.0. See there.", 1, "Apache-2.0", 0.8),
+    ("Uses the Apache License, and is not licensed under the Apache License, Version 1.1.", 0, None, None),
+    ("Under the License this work is free, in reserved words.", 0, None, None),
+]
+
+
+def test_notices_among_other_words(spark):
+    df = spark.createDataFrame([(k, p[0]) for k, p in enumerate(PASSAGES)], "doc_id long, text string")
+    rows = {r["doc_id"]: (r["n_matches"], r["license"], r["dice"]) for r in scan_licenses(df).collect()}
+    assert rows == {k: p[1:] for k, p in enumerate(PASSAGES)}
+
+
+@pytest.mark.parametrize("width", [40, 72, 10_000])
+def test_full_notices_wrapped_or_not(spark, width):
+    import textwrap
+
+    text = "\n\n".join(textwrap.fill(p, width) for p in ["MIT License", "Copyright (c) 2024 Jane Doe", *FULL])
+    mark = "\n".join(" * " + line for line in text.split("\n"))
+    embedded = "Some words before. " + " ".join(FULL) + " Some words after."
+    df = spark.createDataFrame([(1, text), (2, mark), (3, embedded)], "doc_id long, text string")
+    for r in scan_licenses(df).collect():
+        assert (r["license"], r["dice"]) == ("MIT", 1.0)
+        units = {m["unit"] for m in r["matches"] if m["dice"] == 1.0}
+        for t in FULL:
+            assert " ".join(re.sub(r"[\W_]+", " ", t.lower()).split()) in units
+
+
+def test_a_long_line_of_notices_loses_none(spark):
+    df = spark.createDataFrame([(1, "Page 1. All rights reserved. " * 3000)], "doc_id long, text string")
+    assert scan_licenses(df).first()["n_matches"] == 3000
