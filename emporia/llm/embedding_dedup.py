@@ -15,8 +15,10 @@ pair met in several buckets counts in the first only, so links are summed per
 vector where they are found and never written out as pairs; a block reports
 the connections it found as one edge per member.
 
-At cosine 0.98 in 64 dimensions a table misses a pair with probability 0.24,
-all ten tables with 6e-7 (measured on random pairs exactly at the threshold).
+The number of tables follows from the vectors' lengths: the share of random
+pairs exactly at the threshold that one table misses is measured when the plan
+is made (0.24 at cosine 0.98 in 64 dimensions), and so many tables are taken
+that all of them miss a pair with a probability of at most 1e-6.
 """
 
 from __future__ import annotations
@@ -36,6 +38,13 @@ from emporia.session import ship_package
 BLOCK, STRIPE = 2048, 64
 #: Vertices of a rotation that are considered, nearest first.
 NEAREST = 4
+#: Vectors of fewer coordinates are first turned into a random subspace of as
+#: many: signs and Hadamard transforms alone make only a few different
+#: partitions of them, padded with zeros or not.
+LEAST_WIDTH = 16
+#: Probability that all tables miss a pair exactly at the threshold, and the
+#: least number of tables.
+MISS, LEAST_TABLES = 1e-6, 10
 
 
 def fast_hadamard(x: np.ndarray) -> np.ndarray:
@@ -53,8 +62,9 @@ def bucket_keys(x: np.ndarray, salt: np.ndarray, tables: int, rotations: int, pr
     """(rows, tables, 1 + probes) bucket numbers: the own bucket, then those
     probed, in order of how nearly they were the own one."""
     n, dim = x.shape
-    width = 1 << max(0, (dim - 1).bit_length())
-    x = np.pad(x, ((0, 0), (0, width - dim)))
+    width = max(LEAST_WIDTH, 1 << max(0, (dim - 1).bit_length()))
+    if dim >= LEAST_WIDTH:
+        x = np.pad(x, ((0, 0), (0, width - dim)))
     near = min(NEAREST, width)
     out = np.empty((n, tables, 1 + probes), np.uint64)
     place = (2 * width) ** np.arange(rotations, dtype=np.int64)
@@ -62,7 +72,8 @@ def bucket_keys(x: np.ndarray, salt: np.ndarray, tables: int, rotations: int, pr
         vertex = np.empty((n, rotations, near), np.int64)
         size = np.empty((n, rotations, near))
         for r in range(rotations):
-            y = x
+            y = x if dim >= LEAST_WIDTH else x @ np.linalg.qr(
+                np.random.default_rng((dim, t, r)).normal(size=(LEAST_WIDTH, dim)))[0].T
             for turn in range(3):
                 signs = np.where(seeds(width, 1000 + (t * rotations + r) * 3 + turn) >> np.uint64(63), 1.0, -1.0)
                 y = fast_hadamard(y * signs)
@@ -82,6 +93,28 @@ def bucket_keys(x: np.ndarray, salt: np.ndarray, tables: int, rotations: int, pr
     return out
 
 
+def pairs_at(threshold: float, n: int, dim: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` random pairs of unit vectors whose cosine is the threshold."""
+    rng = np.random.default_rng(seed)
+    a, o = rng.normal(size=(n, dim)), rng.normal(size=(n, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    o -= (o * a).sum(axis=1)[:, None] * a
+    o /= np.linalg.norm(o, axis=1)[:, None]
+    return a, threshold * a + np.sqrt(1 - threshold ** 2) * o
+
+
+def tables_for(dim: int, threshold: float, rotations: int, probes: int) -> int:
+    """Tables that miss a pair of this length with probability ``MISS`` at most."""
+    if dim < 2 or not 0 < threshold < 1:
+        return LEAST_TABLES
+    n = int(np.clip((1 << 18) // dim, 500, 4000))
+    with np.errstate(over="ignore"):
+        a, b = (bucket_keys(x, np.zeros(n, np.uint64), 3, rotations, probes) for x in pairs_at(threshold, n, dim))
+    missed = 1 - ((b == a[:, :, :1]).any(axis=2) | (a == b[:, :, :1]).any(axis=2)).mean()
+    missed = min(missed + np.sqrt(missed * (1 - missed) / (3 * n)), 1 - 1 / (3 * n))
+    return LEAST_TABLES if missed <= 0 else max(LEAST_TABLES, int(np.ceil(np.log(MISS) / np.log(missed))))
+
+
 def _buckets(classes: DataFrame, tables: int, rotations: int, probes: int) -> DataFrame:
     """(rep, keys): ``tables`` own buckets, then ``probes`` for each table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +211,7 @@ def _compare(members: DataFrame, threshold: float, tables: int) -> DataFrame:
 
 
 def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label", threshold: float = 0.98, tables: int = 10,
+                    label_col: str = "label", threshold: float = 0.98, tables: int | None = None,
                     rotations: int = 3, probes: int = 2) -> DataFrame:
     """One row per input row: the identifier, ``n_links`` (other vectors of
     its label with a cosine of at least ``threshold``), ``component_id``
@@ -189,6 +222,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     identifier: 0 links, its own component, kept.  Vectors of different
     lengths don't link.  Rows that repeat an identifier are vectors of their
     own.  Other columns are not read; an empty table gives an empty result.
+    ``tables`` None: as many as the shortest and the longest vector need.
     """
     ship_package(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
@@ -205,6 +239,9 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     cls = ["label", "vec"]
     classes = written(rows.where("good").groupBy(*cls).agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "embedding-classes")
+    if tables is None:
+        ends = classes.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
+        tables = max((tables_for(d, threshold, rotations, probes) for d in set(ends) if d), default=LEAST_TABLES)
     keys = written(_buckets(classes, tables, rotations, probes), "embedding-keys")
     entered = keys.select("rep", F.posexplode("keys").alias("pos", "key"))
     entered = entered.groupBy("key", "rep").agg(F.max(F.col("pos") < tables).alias("own"))

@@ -100,3 +100,27 @@ def test_recall_at_the_threshold(dim):
         ka, kb = (bucket_keys(x, np.zeros(len(x), np.uint64), 10, 3, 2) for x in (a, b))
     met = (kb == ka[:, :, :1]).any(axis=2) | (ka == kb[:, :, :1]).any(axis=2)
     assert met.mean() > 0.7 and met.any(axis=1).all()
+
+
+@pytest.mark.parametrize("dim", [2, 3, 4, 768])
+def test_recall_in_other_dimensions(dim):
+    from emporia.llm.embedding_dedup import MISS, pairs_at, tables_for
+
+    n = 4000 if dim < 100 else 500
+    tables = tables_for(dim, 0.98, 3, 2)
+    with np.errstate(over="ignore"):
+        ka, kb = (bucket_keys(x, np.zeros(n, np.uint64), tables, 3, 2) for x in pairs_at(0.98, n, dim, 9))
+    met = (kb == ka[:, :, :1]).any(axis=2) | (ka == kb[:, :, :1]).any(axis=2)
+    assert met.any(axis=1).all() and (1 - met.mean()) ** tables < 3 * MISS
+
+
+def test_short_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, k % 2, [float(x) for x in rng.normal(size=2 + k % 3)]) for k in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    links = {i: 0 for i, _, _ in rows}
+    for i, a, v in rows:
+        for j, b, w in rows:
+            if i != j and a == b and len(v) == len(w) and np.dot(v, w) >= 0.98 * np.linalg.norm(v) * np.linalg.norm(w):
+                links[i] += 1
+    assert {r["vec_id"]: r["n_links"] for r in near_embeddings(df).collect()} == links
