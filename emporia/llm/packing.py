@@ -90,13 +90,17 @@ class Packer:
                 return
         while self.cut:
             t = example.longest(int(self.limits[0]), int(self.limits[2]))
-            if t < self.limits[0] or t == 0:
+            if t == example.tokens and t < self.limits[0]:
                 break
+            # it fills the tokens or the loss-bearing ones of a sequence alone
             yield from self._lay([(example, t)])
             example = self._after(example, t)
+            if not example.tokens:
+                return
         if not example.tokens:
             return
-        if not self.free:
+        # what waits is within every limit, so an empty bin takes at least one whole
+        while not self.free:
             yield from self._fill(final=False)
         slot = self.free.pop()
         self.pool[slot] = example

@@ -225,6 +225,26 @@ def test_prompt_tokens_bear_no_loss(spark):
         2: (len(encode("other")),) * 2, 3: (len(encode("q")) - 1 + 1, 1)}
 
 
+@pytest.mark.parametrize("limits", [(64, 8, 20), (64, 64, 1), (50, 3, 49)])
+@pytest.mark.parametrize("pool", [1, 5])
+def test_pack_with_cuts_where_the_loss_limit_decides(spark, limits, pool):
+    """More rows than the pool holds, prompts of any length, answers beyond every limit."""
+    rng = random.Random(6)
+    words = "alpha beta gamma delta <|endoftext|> 12 \n".split(" ")
+    rows = [(k, " ".join(rng.choices(words, k=rng.choice([0, 1, 5, 90]))), " ".join(rng.choices(words, k=rng.choice([0, 1, 9, 150]))))
+            for k in range(60)]
+    got = packing.pack(spark.createDataFrame(rows, "conv_id long, prompt string, reply string").coalesce(1),
+                       packing.byte_bpe_encoder(BYTES), "conv_id", F.col("reply"), *limits[:2], max_loss=limits[2],
+                       prompt=F.col("prompt"), cut=True, pool=pool).collect()
+    encode = packing.byte_bpe_encoder(BYTES)()
+    lead = {k: encode(p)[:-1] for k, p, _ in rows}
+    want = {k: np.concatenate([lead[k], encode(r)]) for k, _, r in rows}
+    pieces = [(r["conv_id"], r["start"], np.frombuffer(r["ids"], "<u4"), r["doc_tokens"], r["sequence_id"], r["offset"],
+               r["segment"], r["loss_tokens"]) for r in got]
+    assert check_packing(pieces, want, limits) == 0 or limits[0] == 50  # 50 isn't a power of two
+    assert all(r["loss_tokens"] == max(0, r["start"] + r["length"] - max(r["start"], len(lead[r["conv_id"]]))) for r in got)
+
+
 def test_op8_crc(spark, sf_small):
     from emporia.llm.queries import QUERIES
 
