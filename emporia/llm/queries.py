@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm import (
-    embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, quality, token_counts, warc,
-    word_bpe,
+    embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, piece_codec, quality,
+    token_counts, warc, word_bpe,
 )
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
@@ -85,6 +85,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                               decoded=True)
+    return coded.select("doc_id", "n_tokens",
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -96,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_license_scan": op10_license_scan,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_WARC = """
