@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm import (
-    embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, piece_codec, quality,
-    token_counts, warc, word_bpe,
+    embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, periodic_runs, piece_codec,
+    quality, token_counts, warc, word_bpe,
 )
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
@@ -85,6 +85,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document, by hash, gets a loop planted."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"),
+                                        loop=F.when(h % 10 == 0, F.floor(h / 10).cast("long")))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                                decoded=True)
@@ -104,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_license_scan": op10_license_scan,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
