@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm import (
     embedding_dedup, exact_dedup, language_id, licenses, minhash_dedup, packing, periodic_runs, piece_codec,
-    quality, token_counts, warc, word_bpe,
+    quality, token_alignment, token_counts, warc, word_bpe,
 )
 from emporia.llm.common import crc_of_id, table
 from emporia.session import scratch_path
@@ -100,6 +100,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"))
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piece_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                                decoded=True)
@@ -120,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_license_scan": op10_license_scan,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
     "op13_sentencepiece": op13_sentencepiece,
 }
 

@@ -1,0 +1,161 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from emporia.llm import token_alignment as ta
+from tests.llm.conftest import ROWS
+from tests.llm.test_tokens import texts
+
+BYTES, PIECES = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(BYTES)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def dense(m):
+    out = np.zeros((m.height, m.width), int)
+    for r in range(m.height):
+        out[r, m.columns[m.begin[r]:m.begin[r + 1]]] = 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("terms", [1, 7, 1000])
+def test_products_against_dense_matrices(seed, terms):
+    rng = np.random.default_rng(seed)
+
+    def sparse(shape):
+        full = rng.random(shape) < 0.3
+        return ta.Csr(np.append(0, np.cumsum(full.sum(1))), np.nonzero(full)[1], shape[1])
+
+    left, right = sparse((7, 9)), sparse((9, 5))
+    out = np.zeros((7, 5), int)
+    last = -1
+    for row, column, value in ta.product(left, right, terms):
+        assert (np.diff(row * 5 + column) > 0).all() and (not len(row) or row[0] > last)
+        last = row[-1] if len(row) else last
+        out[row, column] = value
+    assert (out == dense(left) @ dense(right)).all()
+
+
+def test_transposes():
+    lens = np.array([3, 1, 2])
+    assert (dense(ta.intervals(lens)).T == dense(ta.transposed_intervals(lens))).all()
+    column = np.array([0, 0, 2, 3, 3])
+    assert (dense(ta.members(column, 5)).T == dense(ta.transposed_members(column, 5))).all()
+
+
+def brute_tokens(libraries, text):
+    """(id, begin, end) of both kinds; none where the bytes differ."""
+    a, b = libraries
+    level = ta.byte_alphabet()
+    if not text:
+        return [], []
+    want = (" " + text).encode()
+    out = []
+    for ids, raw in ((a.encode(" " + text, add_special_tokens=False).ids, lambda i: bytes(level[c] for c in a.id_to_token(i))),
+                     (b.encode(text), lambda i: bytes([int(b.id_to_piece(i)[1:-1], 16)]) if b.is_byte(i)
+                      else b.id_to_piece(i).replace("▁", " ").encode())):
+        at, tokens = 0, []
+        for i in ids:
+            tokens.append((i, at, at + len(raw(i))))
+            at = tokens[-1][2]
+        if b"".join(map(raw, ids)) != want:
+            return [], []
+        out.append(tokens)
+    return out
+
+
+def brute(libraries, rows):
+    found, counts = [], Counter()
+    for ident, text in rows:
+        a, b = brute_tokens(libraries, text)
+        common = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        # both lists are in order, so a window of neighbours has every overlap
+        links, j = [], 0
+        for i, s, e in a:
+            while j < len(b) and b[j][2] <= s:
+                j += 1
+            k = j
+            while k < len(b) and b[k][1] < e:
+                links.append((i, b[k][0]))
+                k += 1
+        counts.update(links)
+        at, parts, na, nb, shared = 0, [], 0, 0, 0
+        for end in common:
+            ga, gb = na, nb
+            while na < len(a) and a[na][2] <= end:
+                na += 1
+            while nb < len(b) and b[nb][2] <= end:
+                nb += 1
+            parts.append(",".join(str(x[0]) for x in a[ga:na]) + "|" + ",".join(str(x[0]) for x in b[gb:nb]))
+            shared += (na - ga) * (nb - gb)
+            at = end
+        found.append((ident, len(a), len(b), len(common), links, shared, ";".join(parts)))
+    highest = Counter()
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    return [(i, na, nb, g, len(links), shared, sum(counts[x] == highest[x[1]] for x in links),
+             sum(counts[x] for x in links), text) for i, na, nb, g, links, shared, text in found]
+
+
+SMALL = [(i, t) for i, t in ROWS if len(t or "") < 100_000]
+ODD = SMALL + [(40, "▁ a mark"), (41, "tail " + "▁"), (42, "x" + " " * 70_000 + "y"), (43, "<|endoftext|><s>"),
+               (44, "\x00\x85　  ﬁ"), (45, " " * 70_000)] + list(enumerate(texts(21, 150), 1000))
+
+
+@pytest.mark.parametrize("block_bytes,terms", [(ta.BLOCK_BYTES, ta.PRODUCT_TERMS), (500, 64)])
+def test_alignment_against_brute_force(spark, no_docs, libraries, monkeypatch, block_bytes, terms):
+    monkeypatch.setattr(ta, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(ta, "PRODUCT_TERMS", terms)
+    docs = spark.createDataFrame([(*r, "x", 1) for r in ODD], "doc_id long, text string, groups string, id int").repartition(3)
+    got = ta.align_tokens(docs, BYTES, PIECES)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum", "groups"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute(libraries, ODD), key=str)
+    assert ta.align_tokens(no_docs, BYTES, PIECES).count() == 0
+
+
+def test_long_text(odd_docs, libraries):
+    rows = [(i, t) for i, t in ROWS if i in (9, 10)]
+    got = ta.align_tokens(odd_docs.where("doc_id in (9, 10)"), BYTES, PIECES).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(libraries, rows))
+
+
+def test_links_as_rows(spark, libraries, monkeypatch):
+    monkeypatch.setattr(ta, "PRODUCT_TERMS", 50)
+    rows = random.Random(2).sample(texts(22, 400), 40) + [None, "▁"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    want, inside = [], []
+    for i, t in enumerate(rows):
+        a, b = brute_tokens(libraries, t)
+        common = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        group = lambda end: int(np.searchsorted(common, end))
+        for x, (p, s, e) in enumerate(a):
+            for y, (q, u, v) in enumerate(b):
+                if min(e, v) > max(s, u):
+                    want.append((i, x, y, p, q, min(e, v) - max(s, u)))
+                if group(e) == group(v):
+                    inside.append((i, x, y, p, q, None))
+    assert sorted(map(tuple, ta.alignment_links(docs, BYTES, PIECES).collect())) == sorted(want)
+    assert sorted(map(tuple, ta.alignment_links(docs, BYTES, PIECES, within_groups=True).collect()), key=str) == sorted(inside, key=str)
+
+
+def test_op12_digests(spark, sf_small, libraries):
+    from emporia.llm.queries import QUERIES
+
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op12_token_alignment"](spark, sf_small)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest() if s else ""
+    assert sorted(map(tuple, got.collect())) == sorted(
+        (i, a, b, g, n, best, total, sha(groups)) for i, a, b, g, n, _, best, total, groups in brute(libraries, docs))
