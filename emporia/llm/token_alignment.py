@@ -9,15 +9,19 @@ overlap the token, with the number of common bytes; G·Hᵀ has the links within
 group.  A product is made in blocks of rows, so that no more than
 ``PRODUCT_TERMS`` terms (or one row's) are held.
 
+A link lies within one group, and a corpus repeats few different groups (mostly
+words), so a block of texts keeps its different groups and the texts as numbers
+of groups; products are made of the different groups alone.
+
 A link's count is the number of links of the whole corpus between its two ids.
 
-1. Each task cuts the texts it reads into blocks bounded by bytes; a block's
-   row keeps the tokens of both kinds and the distinct id pairs of its links,
-   with their number.  The blocks are written to the shared folder.
+1. Each task cuts the texts it reads into blocks bounded by bytes; a block's row
+   keeps its groups, its texts, and the distinct id pairs of its links with their
+   number.  The blocks are written to the shared folder.
 2. Pairs of all blocks are summed, and each second id's highest sum is found.  A
    pair that every document has is one row a block, added up before the shuffle.
 3. The sums of its pairs go back to every block, in the order of its list, and
-   the block's links are found again and judged.
+   judge the links of its groups, and by them its texts.
 """
 
 from __future__ import annotations
@@ -43,9 +47,9 @@ from emporia.llm.piece_codec import PieceCodec, gather
 from emporia.session import ship_package
 
 #: Bytes of text in a block, and terms of a product held at once.
-BLOCK_BYTES, PRODUCT_TERMS = 4 << 20, 1 << 20
-#: Bytes of group texts in one batch of results.
-BATCH_BYTES = 8 << 20
+BLOCK_BYTES, PRODUCT_TERMS = 2 << 20, 1 << 20
+#: Characters of group texts in one batch of results.
+BATCH_CHARS = 4 << 20
 
 
 @dataclass
@@ -149,7 +153,6 @@ class Aligner:
 
     def __init__(self, byte_path: str, piece_path: str):
         self.a, self.b = ByteTokens(byte_path), PieceCodec(piece_path)
-        self.texts: list[list[np.ndarray]] | None = None
 
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both kinds, end to end, and their number per text.  Texts that
@@ -193,38 +196,66 @@ class Aligner:
         for a, b, _ in product(members(group_a, n), transposed_members(group_b, n)):
             yield a, b
 
-    def group_texts(self, ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray,
-                    n_a: np.ndarray, n_b: np.ndarray) -> Iterator[str]:
-        """For each text its groups' ids, as ``a1,a2|b1;a3|b2``."""
-        if self.texts is None:  # the ids' texts with what follows them
-            def table(n: int, closers: str) -> list[np.ndarray]:
-                return [np.array([f"{i}{c}" for i in range(n)], object) for c in closers]
+    def distinct_groups(self, group_a: np.ndarray, group_b: np.ndarray, n: int, ids_a: np.ndarray,
+                        ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each group's kind; the ids of each kind, end to end
+        (those of B raised by A's size); and their number per kind."""
+        ids = np.empty(len(ids_a) + len(ids_b), np.uint32)
+        ids[np.arange(len(ids_a)) + np.searchsorted(group_b, group_a)] = ids_a
+        ids[np.arange(len(ids_b)) + np.searchsorted(group_a, group_b, "right")] = ids_b + self.a.size
+        ends = np.cumsum(np.bincount(group_a, minlength=n) + np.bincount(group_b, minlength=n))
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), n, [None, pa.py_buffer(4 * np.append(0, ends)), pa.py_buffer(ids)]).dictionary_encode()
+        kinds = coded.dictionary.to_pylist()
+        return (coded.indices.to_numpy(), np.frombuffer(b"".join(kinds), np.uint32),
+                np.array([len(k) // 4 for k in kinds], np.int64))
+
+    def of_groups(self, ids: np.ndarray, sizes: np.ndarray) -> Kinds:
+        """What ``distinct_groups`` put together, taken apart, with its links."""
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        second = ids >= self.a.size
+        ids_a, ids_b = ids[~second].astype(np.int64), ids[second].astype(np.int64) - self.a.size
+        a, b, _ = self.links(ids_a, ids_b)
+        place, pairs = pd.factorize(ids_a[a] << 32 | ids_b[b])
+        return Kinds(ids_a, ids_b, owner[~second], owner[second], owner[~second][a], place, pairs)
+
+
+@dataclass
+class Kinds:
+    """Different groups: their ids and the group of each; for each link its
+    group and the place of its id pair in the list of distinct pairs."""
 
-            self.texts = [*table(self.a.size, ",|"), *table(self.b.size, ",;")]
-        inner_a, last_a, inner_b, last_b = self.texts
-        out = np.empty(len(ids_a) + len(ids_b), object)
-        before_b = np.searchsorted(group_b, group_a)  # tokens of B in earlier groups
-        before_a = np.searchsorted(group_a, group_b, "right")
-        closes_a, closes_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
-        out[np.arange(len(ids_a)) + before_b] = np.where(closes_a, last_a[ids_a], inner_a[ids_a])
-        out[np.arange(len(ids_b)) + before_a] = np.where(closes_b, last_b[ids_b], inner_b[ids_b])
-        out, end = out.tolist(), 0
-        for n in (n_a + n_b).tolist():
-            begin, end = end, end + n
-            yield "".join(out[begin:end])[:-1]
+    ids_a: np.ndarray
+    ids_b: np.ndarray
+    group_a: np.ndarray
+    group_b: np.ndarray
+    group: np.ndarray
+    place: np.ndarray
+    pairs: np.ndarray
 
+    def texts(self, n: int) -> list[str]:
+        """``a1,a2|b1`` of each group."""
+        def joined(ids: np.ndarray, owner: np.ndarray) -> list[str]:
+            names, ends = list(map(str, ids.tolist())), np.searchsorted(owner, np.arange(n + 1)).tolist()
+            return [",".join(names[x:y]) for x, y in zip(ends[:-1], ends[1:])]
 
-def _pair_codes(ids_a: np.ndarray, ids_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each link the place of its id pair in the list of distinct pairs, and that list."""
-    return pd.factorize(ids_a[a] << 32 | ids_b[b])
+        return [f"{x}|{y}" for x, y in zip(joined(self.ids_a, self.group_a), joined(self.ids_b, self.group_b))]
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    return zstandard.compress(ids.astype("<u4").tobytes(), 1)
+def _sums(owner: np.ndarray, values: np.ndarray | int, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    np.add.at(out, owner, values)
+    return out
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Byte planes of 32-bit numbers, compressed."""
+    return zstandard.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(packed), "<u4").astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def _blocks(byte_path: str, piece_path: str, kind: pa.DataType):
@@ -239,58 +270,50 @@ def _blocks(byte_path: str, piece_path: str, kind: pa.DataType):
 
         texts = ((i.as_py(), t.as_py() or b"") for i, t in rows())
         for part in chunks(texts, lambda r: len(r[1]) + 64, BLOCK_BYTES):
-            ids_a, n_a, ids_b, n_b = aligner.tokens([t for _, t in part])
-            a, b, _ = aligner.links(ids_a, ids_b)
-            code, pairs = _pair_codes(ids_a, ids_b, a, b)
+            ids_a, n_a, ids_b, _ = aligner.tokens([t for _, t in part])
+            groups = aligner.groups(ids_a, ids_b)
+            code, ids, sizes = aligner.distinct_groups(*groups, ids_a, ids_b)
+            kinds = aligner.of_groups(ids, sizes)
+            times = _sums(kinds.place, np.bincount(code, minlength=len(sizes))[kinds.group], len(kinds.pairs))
+            # a text's last token closes a group
+            n_groups = np.diff(np.append(0, groups[0] + 1)[np.append(0, np.cumsum(n_a))])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([next(numbers)]), pa.array([[i for i, _ in part]], pa.list_(kind)),
-                 *(pa.array([n], pa.list_(pa.int64())) for n in (n_a, n_b)),
-                 *(pa.array([_pack(ids)]) for ids in (ids_a, ids_b)),
-                 pa.array([pairs], pa.list_(pa.int64())),
-                 pa.array([np.bincount(code, minlength=len(pairs))], pa.list_(pa.int64()))],
-                ["block", "ids", "n_a", "n_b", "a", "b", "pairs", "times"])
+                 pa.array([n_groups], pa.list_(pa.int64())),
+                 *(pa.array([_pack(x)]) for x in (code, ids, sizes)),
+                 *(pa.array([x], pa.list_(pa.int64())) for x in (kinds.pairs, times))],
+                ["block", "ids", "n_groups", "codes", "group_ids", "group_sizes", "pairs", "times"])
 
     return run
 
 
-def _judged(byte_path: str, piece_path: str, kind: pa.DataType):
+def _judged(byte_path: str, piece_path: str):
     """Rows of blocks with the sums of their pairs -> rows of documents."""
     names = ["id", "n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum", "groups"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_path, piece_path)
         for batch in batches:
-            for ids, n_a, n_b, raw_a, raw_b, sums in zip(*batch.columns):
-                n_a, n_b = (np.array(n.as_py(), np.int64) for n in (n_a, n_b))
-                ids_a, ids_b = _unpack(raw_a.as_py()), _unpack(raw_b.as_py())
-                a, b, _ = aligner.links(ids_a, ids_b)
-                code, pairs = _pair_codes(ids_a, ids_b, a, b)
-                sums = sums.values if sums.is_valid else None
-                held = 0 if sums is None else len(sums)
-                if held != len(pairs) or held and (sums.field("pair").to_numpy() != pairs).any():
+            for idents, n_groups, codes, ids, sizes, sums in zip(*batch.columns):
+                codes, ids, sizes = (_unpack(x.as_py()) for x in (codes, ids, sizes))
+                n, kinds = len(sizes), aligner.of_groups(ids, sizes)
+                sums = sums.values if sums.is_valid else pa.array([], sums.type.value_type)
+                if not np.array_equal(sums.field("pair").to_numpy(), kinds.pairs):
                     raise RuntimeError("a block of texts and the sums of its pairs do not belong together")
-                own_a, own_b = (np.repeat(np.arange(len(n)), n) for n in (n_a, n_b))
-
-                def total(values, owner):
-                    out = np.zeros(len(n_a), np.int64)
-                    np.add.at(out, owner, values)
-                    return out
-
-                group_a, group_b, n_groups = aligner.groups(ids_a, ids_b)
-                of_link = own_a[a]
-                if held:
-                    count = sums.field("total").to_numpy()[code]
-                    best = sums.field("best").to_numpy(zero_copy_only=False)[code]
-                else:
-                    count = best = np.empty(0, np.int64)
-                # row sums of G · Hᵀ: the product with a vector of ones
-                shared = np.bincount(group_b, minlength=n_groups)[group_a]
-                closes = np.diff(group_a, append=-1) != 0
-                found = [n_a, n_b, total(closes.astype(np.int64), own_a), total(1, of_link), total(shared, own_a),
-                         total(best.astype(np.int64), of_link), total(count, of_link)]
-                texts = aligner.group_texts(ids_a, ids_b, group_a, group_b, n_a, n_b)
-                idents, at = ids.values, 0
-                for part in chunks(texts, len, BATCH_BYTES):
+                total = sums.field("total").to_numpy()[kinds.place]
+                best = sums.field("best").to_numpy(zero_copy_only=False)[kinds.place].astype(np.int64)
+                per_a, per_b = (np.bincount(g, minlength=n) for g in (kinds.group_a, kinds.group_b))
+                # of each kind of group; n_shared: row sums of G · Hᵀ, its product with a vector of ones
+                of_kind = [per_a, per_b, np.ones(n, np.int64), _sums(kinds.group, 1, n),
+                           _sums(kinds.group_a, per_b[kinds.group_a], n), _sums(kinds.group, best, n),
+                           _sums(kinds.group, total, n)]
+                n_groups = np.array(n_groups.as_py(), np.int64)
+                owner = np.repeat(np.arange(len(n_groups)), n_groups)
+                found = [_sums(owner, x[codes], len(n_groups)) for x in of_kind]
+                name, cuts, listed = kinds.texts(n), np.append(0, np.cumsum(n_groups)).tolist(), codes.tolist()
+                texts = (";".join([name[c] for c in listed[x:y]]) for x, y in zip(cuts[:-1], cuts[1:]))
+                idents, at = idents.values, 0
+                for part in chunks(texts, len, BATCH_CHARS):
                     end = at + len(part)
                     yield pa.RecordBatch.from_arrays(
                         [idents.slice(at, len(part)), *(pa.array(x[at:end]) for x in found),
@@ -323,7 +346,7 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, id_col: str =
     kind, name = to_arrow_type(field), field.simpleString()
     blocks = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
         _blocks(byte_path, piece_path, kind),
-        f"block long, ids array<{name}>, n_a array<long>, n_b array<long>, a binary, b binary, "
+        f"block long, ids array<{name}>, n_groups array<long>, codes binary, group_ids binary, group_sizes binary, "
         "pairs array<long>, times array<long>"), "alignment-blocks")
     listed = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "times")).alias("pos", "own")).select(
         "block", "pos", F.col("own.pairs").alias("pair"), F.col("own.times").alias("times"))
@@ -335,8 +358,9 @@ def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, id_col: str =
         F.sort_array(F.collect_list(F.struct("pos", "pair", "total", "best"))).alias("sums"))
     out = (f"id {name}, n_a long, n_b long, n_groups long, n_links long, n_shared long, n_best long, "
            "count_sum long, groups string")
-    return blocks.join(sums, "block", "left").select("ids", "n_a", "n_b", "a", "b", "sums").mapInArrow(
-        _judged(byte_path, piece_path, kind), out).withColumnRenamed("id", id_col)
+    return blocks.join(sums, "block", "left").select(
+        "ids", "n_groups", "codes", "group_ids", "group_sizes", "sums").mapInArrow(
+        _judged(byte_path, piece_path), out).withColumnRenamed("id", id_col)
 
 
 def alignment_links(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id",
