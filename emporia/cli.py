@@ -1,13 +1,13 @@
 """Command-line jobs, one per pipeline step (run under spark-submit or
 ``python -m emporia``; the session comes from the launcher's settings).
 
-    ingest      RAW_DIR BRONZE_DIR [--stem FILE_STEM=TABLE ...]
+    ingest      RAW_DIR BRONZE_DIR [--stem FILE_STEM=TABLE ...] [--bad-share SHARE]
     silver      BRONZE_DIR SILVER_DIR [--namespace NS]
     gold        SILVER_DIR GOLD_DIR   [--namespace NS]
     test        SILVER_DIR GOLD_DIR        exit 1 when a declared test fails
     analysis    SILVER_DIR                 duplicate profile / key report; exit 1 on a bad table
     questions   GOLD_DIR                   Q1-Q7, every row
-    pipeline    RAW_DIR WORK_DIR [--silver-views] [--stem ...]
+    pipeline    RAW_DIR WORK_DIR [--silver-views] [--stem ...] [--bad-share SHARE]
                                            all of the above; answers also in WORK_DIR/answers,
                                            exit 1 when a declared test fails
     incremental SOURCE_DIR TABLE OUT_DIR CHECKPOINT_DIR DATE_COLUMN
@@ -25,14 +25,14 @@ from pyspark.sql import SparkSession
 from emporia.plans import checks
 from emporia.plans.gold import GOLD_BUILDERS
 from emporia.plans.pipeline import (
-    LazyLayer, build_gold_tables, build_silver_tables, ingest, layer_schemas, read_layer,
+    LazyLayer, build_gold_tables, build_silver_tables, ingest_report, layer_schemas, read_layer,
     register_layer_tables, run_pipeline,
 )
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS
 from emporia.session import apply_scale_defaults, ensure_checkpoint_dir
 from emporia.sources.files import write_csv
-from emporia.sources.schemas import MULTILINE_TABLES, SOURCE_SCHEMAS, SOURCE_TABLES
+from emporia.sources.schemas import SOURCE_SCHEMAS, SOURCE_TABLES
 
 
 def _session() -> SparkSession:
@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="job", required=True)
     a = sub.add_parser("ingest"); a.add_argument("raw"); a.add_argument("bronze")
     a.add_argument("--stem", action="append", default=[])
+    a.add_argument("--bad-share", type=float, default=0.01)
     a = sub.add_parser("silver"); a.add_argument("bronze"); a.add_argument("silver")
     a.add_argument("--namespace", default="default_silver")
     a = sub.add_parser("gold"); a.add_argument("silver"); a.add_argument("gold")
@@ -68,6 +69,7 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("pipeline"); a.add_argument("raw"); a.add_argument("work")
     a.add_argument("--silver-views", action="store_true")
     a.add_argument("--stem", action="append", default=[])
+    a.add_argument("--bad-share", type=float, default=0.01)
     a = sub.add_parser("register"); a.add_argument("base"); a.add_argument("namespace")
     a.add_argument("layer", choices=["bronze", "silver", "gold"])
     a = sub.add_parser("incremental")
@@ -77,9 +79,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
 
     if args.job == "ingest":
-        rows = ingest(spark, args.raw, args.bronze, _stems(args.stem))
-        schemas = layer_schemas(read_layer(spark, args.bronze, list(rows)))
-        print(json.dumps({t: {"rows": n, "schema": schemas[t]} for t, n in rows.items()}))
+        loads = ingest_report(spark, args.raw, args.bronze, _stems(args.stem), args.bad_share)
+        schemas = layer_schemas(read_layer(spark, args.bronze, list(loads)))
+        print(json.dumps({t: {"rows": x.rows, "set_aside": x.bad, "schema": schemas[t]} for t, x in loads.items()}))
     elif args.job == "silver":
         bronze = read_layer(spark, args.bronze, SOURCE_TABLES)
         print(json.dumps(build_silver_tables(spark, bronze, args.silver, args.namespace)))
@@ -108,7 +110,7 @@ def main(argv: list[str] | None = None) -> int:
             _print(name, fn(gold))
     elif args.job == "pipeline":
         out = run_pipeline(spark, args.raw, args.work, silver_as_views=args.silver_views,
-                           stems=_stems(args.stem))
+                           stems=_stems(args.stem), bad_share=args.bad_share)
         rep = out["report"]
         rep["tests"] = {".".join(k): v for k, v in rep["tests"].items()}
         print(json.dumps(rep))
@@ -125,8 +127,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "incremental":
         from emporia.streaming.incremental import incremental_ingest
         run = incremental_ingest(spark, args.source, SOURCE_SCHEMAS[args.table], args.out,
-                                 args.checkpoint, args.date_column,
-                                 multiline=args.table in MULTILINE_TABLES)
+                                 args.checkpoint, args.date_column)
         print(json.dumps({"rows": run.rows}))
     return 0
 

@@ -86,10 +86,6 @@ TIMESTAMP_COLUMNS: dict[str, tuple[str, ...]] = {
     "order_reviews": ("review_creation_date", "review_answer_timestamp"),
 }
 
-# Tables whose text fields may hold quoted newlines: only these need the
-# (unsplittable) multiLine CSV mode.
-MULTILINE_TABLES: frozenset[str] = frozenset({"order_reviews"})
-
 # Columns of the Gold dimensions.
 GOLD_COLUMNS: dict[str, list[str]] = {
     "dim_customers": SOURCE_SCHEMAS["customers"].fieldNames(),

@@ -37,7 +37,7 @@ PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: T.StructType,
                        out_dir: str, checkpoint_dir: str, date_column: str,
-                       multiline: bool = False, max_files_per_trigger: int | None = None,
+                       multiline: bool = True, max_files_per_trigger: int | None = None,
                        files_per_month: int = 4) -> IngestRun:
     """Append new CSV files under ``source_dir`` to ``out_dir`` (Parquet,
     partitioned by year / month of ``date_column``).  A file whose header

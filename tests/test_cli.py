@@ -8,9 +8,9 @@ import pytest
 
 from emporia import cli
 from emporia.plans.layers import Layers
-from emporia.plans.pipeline import export_sources_csv
+from emporia.plans.pipeline import export_sources_csv, read_layer
 from emporia.session import SCALE_CONF, scratch_path
-from emporia.sources import files
+from emporia.sources import publish
 from tests import fixtures
 
 
@@ -39,7 +39,7 @@ def _run_jobs(spark, sf_small, capsys):
     assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0
     assert cli.main(["register", f"{w}/gold", "cli_gold_ext", "gold"]) == 0  # idempotent
     assert spark.table("cli_gold_ext.fact_order_items").count() == \
-        spark.read.parquet(f"{w}/gold/fact_order_items").count()
+        spark.read.parquet(publish.table_path(spark, f"{w}/gold", "fact_order_items")).count()
     out = capsys.readouterr().out
     assert "PASS unique(dim_date.date_key)" in out and "== q7_review_by_category" in out
     # every row of an answer is printed, one line each
@@ -48,8 +48,8 @@ def _run_jobs(spark, sf_small, capsys):
 
 
 def q6_rows(spark, gold):
-    facts = spark.read.parquet(f"{gold}/fact_order_payments")
-    days = spark.read.parquet(f"{gold}/dim_date")
+    layer = read_layer(spark, gold, ["fact_order_payments", "dim_date"])
+    facts, days = layer["fact_order_payments"], layer["dim_date"]
     return (facts.join(days, facts.order_purchase_date_key == days.date_key)
             .select("year", "month", "payment_type").distinct().count())
 
@@ -76,7 +76,7 @@ def test_analysis_goes_on_after_a_bad_table(spark, capsys):
     w = scratch_path(spark, "cli_analysis")
     assert cli.main(["ingest", raw_files(spark, "cli_raw2"), f"{w}/bronze"]) == 0
     assert cli.main(["silver", f"{w}/bronze", f"{w}/silver", "--namespace", "cli_silver2"]) == 0
-    files.remove(spark, f"{w}/silver/silver_orders")
+    publish.remove(spark, publish.table_path(spark, f"{w}/silver", "silver_orders"))
     capsys.readouterr()
     assert cli.main(["analysis", f"{w}/silver"]) == 1
     out = capsys.readouterr().out
@@ -88,7 +88,8 @@ def test_analysis_goes_on_after_a_bad_table(spark, capsys):
 
 def test_ingest_with_stems(spark, tmp_path, capsys):
     raw = raw_files(spark, "cli_stems")
-    files.replace(spark, f"{raw}/orders.csv", f"{raw}/the_orders_of_all_shops.csv")
+    fs, orders = publish.file_system(spark, f"{raw}/orders.csv")
+    assert fs.rename(orders, publish.file_system(spark, f"{raw}/the_orders_of_all_shops.csv")[1])
     with pytest.raises(ValueError, match="orders"):
         cli.main(["ingest", raw, scratch_path(spark, "cli_nostem")])
     assert cli.main(["ingest", raw, scratch_path(spark, "cli_stem"), "--stem", "the_orders_of_all_shops=orders"]) == 0

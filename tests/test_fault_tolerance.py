@@ -46,7 +46,8 @@ expected = items.count()
 flaky = items.repartition(4).filter(lose_first_attempt("order_id"))
 base = scratch_path(spark, "fault")
 counts = write_tables(spark, {{"fact_order_items": flaky}}, base, None)
-back = spark.read.parquet(base + "/fact_order_items")
+from emporia.plans.pipeline import read_layer
+back = read_layer(spark, base, ["fact_order_items"])["fact_order_items"]
 written = back.count()
 # the same multiset of rows (keys repeat in this data, so no distinct)
 missing = items.exceptAll(back).count()

@@ -8,10 +8,10 @@ import pytest
 
 from emporia.operators import quality
 from emporia.plans.layers import Layers
-from emporia.plans.pipeline import export_sources_csv, run_pipeline, write_tables
+from emporia.plans.pipeline import export_sources_csv, read_layer, run_pipeline, write_tables
 from emporia.plans.questions import QUESTIONS
 from emporia.session import scratch_path
-from emporia.sources import files
+from emporia.sources import publish
 from tests import fixtures
 
 
@@ -97,9 +97,9 @@ def test_failed_build_publishes_nothing(spark):
     bad["t0"] = spark.range(2).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
     with pytest.raises(Exception, match="broken"):
         write_tables(spark, bad, base)
-    assert {n: spark.read.parquet(f"{base}/{n}").count() for n in good} == {f"t{i}": 3 + i for i in range(7)}
-    fs, where = files._at(spark, base)
-    assert sorted(f.getPath().getName() for f in fs.listStatus(where)) == sorted(good)
+    assert {n: df.count() for n, df in read_layer(spark, base, good).items()} == {f"t{i}": 3 + i for i in range(7)}
+    fs, where = publish.file_system(spark, f"{base}/{publish.VERSIONS}")
+    assert len(fs.listStatus(where)) == 1  # nothing of the failed build is left
     assert write_tables(spark, {n: spark.range(1) for n in good}, base) == {n: 1 for n in good}
 
 
@@ -118,7 +118,7 @@ def test_silver_views_equal_silver_frames_and_last(spark):
         assert view.columns == df.columns, name
         assert sorted(map(str, view.collect())) == sorted(map(str, df.collect())), name
     write_tables(spark, bronze | {"sellers": bronze["sellers"].limit(1)}, base)
-    spark.catalog.refreshTable("t_view_bronze.sellers")
+    register_layer_tables(spark, "t_view_bronze", base, list(bronze))
     assert spark.read.table("t_views.silver_sellers").count() == 1
 
 
