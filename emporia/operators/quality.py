@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 
 def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _fingerprint(df: DataFrame) -> list:
@@ -37,15 +37,24 @@ def key_text(keys: list[str]) -> Column:
 
 
 def duplicate_profile(df: DataFrame, table_name: str, keys: list[str] | None = None) -> DataFrame:
-    """(table_name, total_rows, distinct_rows, duplicate_rows) in one pass:
-    group equal rows, then fold the group sizes.  Equal rows have equal keys,
-    so a table with ``keys`` is grouped by them and a 128-bit fingerprint of
-    the row: its other columns, long texts among them, are never shuffled."""
+    """(table_name, total_rows, distinct_rows, duplicate_rows): group equal
+    rows, then fold the group sizes.  Only fingerprints are shuffled, never the
+    rows.  Equal rows have equal keys, so a table with ``keys`` is grouped by
+    them and a 128-bit fingerprint of the row.  Without keys the groups are
+    those of one 64-bit fingerprint, and a second one tells in the same
+    aggregation which of them hold different rows; the rows of those alone (about
+    n²/2^65 groups of n different rows, which bounds the broadcast) are read
+    again and grouped by all their columns."""
     if keys:
         rows = df.select(*[F.col(f"`{k}`") for k in keys], *_fingerprint(df))
-        g = _counts(rows, rows.columns)
+        g = _counts(rows, rows.columns).select("n")
     else:
-        g = _counts(df, df.columns)
+        first, second = _fingerprint(df)
+        group = df.select(first.alias("__first"), second.alias("__second")).groupBy("__first").agg(
+            F.count(F.lit(1)).alias("n"), F.min("__second").alias("low"), F.max("__second").alias("high"))
+        mixed = group.where("low <> high").select("__first")
+        again = df.withColumn("__first", first).join(F.broadcast(mixed), "__first", "left_semi")
+        g = group.where("low = high").select("n").unionByName(_counts(again, df.columns).select("n"))
     return (g.agg(F.coalesce(F.sum("n"), F.lit(0)).cast(T.LongType()).alias("total_rows"),
                   F.count(F.lit(1)).alias("distinct_rows"))
             .select(F.lit(table_name).alias("table_name"), "total_rows", "distinct_rows",

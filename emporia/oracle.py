@@ -257,6 +257,9 @@ CHECKS = {
     "column_tests": TESTS,
 }
 
+BY_MONTH = "SELECT *, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month FROM orders"
+
+
 PRIMITIVES = {
     "scan_parquet": "SELECT * FROM orders",
     "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
@@ -301,9 +304,17 @@ FROM orders""",
     "csv_roundtrip": "SELECT * FROM part",
     "scan_catalog": "SELECT * FROM supplier",
     "register_external": "SELECT * FROM customer",
-    "refresh_external": "SELECT * FROM nation",
-    "incremental_orders": "SELECT *, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month "
-                          "FROM orders",
+    "refresh_external": "SELECT * FROM orders",
+    "csv_line_breaks": """SELECT o_orderkey,
+        o_orderpriority || chr(10) || 'said "so", twice' || chr(10) || o_orderstatus AS note, o_totalprice FROM orders""",
+    "csv_set_aside": """SELECT CASE WHEN l_linenumber = 7 THEN 'items.l_quantity: not int: many' END AS reason, l_returnflag,
+        count(*) AS n, CASE WHEN l_linenumber <> 7 THEN sum(l_quantity::INTEGER)::BIGINT END AS quantity
+        FROM (SELECT * REPLACE (CASE WHEN l_linenumber = 7 THEN 7 ELSE 0 END AS l_linenumber) FROM lineitem)
+        GROUP BY l_linenumber, l_returnflag""",
+    "csv_found_types": """SELECT p_partkey, p_brand, p_retailprice, p_size > 25 AS large,
+        (DATE '2020-01-01' + p_size)::DATE AS since, CASE WHEN p_size = 7 THEN 7.5 ELSE p_size END::DOUBLE AS p_size FROM part""",
+    "incremental_orders": BY_MONTH,
+    "partitioned_external": BY_MONTH,
 }
 
 # The path CSV -> Bronze -> Silver -> Gold -> answer: identifiers come back as text.

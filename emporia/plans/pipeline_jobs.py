@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emporia.plans.catalog_jobs import scratch_namespace
 from emporia.plans.layers import Layers
 from emporia.plans.pipeline import (
     create_silver_views, export_sources_csv, register_layer_tables, register_layer_views, run_pipeline, write_tables,
@@ -19,13 +20,15 @@ from emporia.plans.pipeline import (
 from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_INPUT
 from emporia.session import scratch_path
+from emporia.sources.publish import file_stamps
 from emporia.sources.schemas import SOURCE_TABLES
 
-_RUNS: dict[tuple[str, str], dict] = {}
+_RUNS: dict[tuple, dict] = {}
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> dict:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The run over the tables that ``sf_dir`` holds now (files, sizes, times)."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(file_stamps(spark, sf_dir)))
     if key not in _RUNS:
         raw = scratch_path(spark, "pipeline-raw")
         export_sources_csv(Layers.from_driver(spark, sf_dir).bronze, raw)
@@ -52,12 +55,14 @@ def column_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver products read through catalog views over Bronze tables."""
-    name = f"emporia_{uuid.uuid4().hex[:10]}"
+    suffix = f"_{uuid.uuid4().hex[:10]}"
+    name = scratch_namespace(spark, suffix)
     base = scratch_path(spark, "bronze-tables")
     bronze = Layers.from_driver(spark, sf_dir).bronze
     write_tables(spark, {t: bronze[t] for t in SOURCE_TABLES}, base)
-    register_layer_tables(spark, f"{name}_bronze", base, SOURCE_TABLES)
-    create_silver_views(spark, name, f"{name}_bronze", scratch_path(spark, "silver-views"))
+    tables = scratch_namespace(spark, f"{suffix}_bronze")
+    register_layer_tables(spark, tables, base, SOURCE_TABLES)
+    create_silver_views(spark, name, tables)
     return spark.read.table(f"{name}.silver_products")
 
 

@@ -28,9 +28,8 @@ from emporia.functions.money import amount, sum_parts, sum_partials
 
 Gold = dict[str, DataFrame]
 
-#: Tasks that one order's products are dealt over when reviews are joined (an
-#: order has at most one row per product by then).
-ORDER_SALTS = 4
+#: Orders that ``heavy_orders`` can name, and the items an order must have.
+HEAVY_LIMIT, HEAVY_ITEMS = 1024, 10_000
 
 
 def _avg(total: str, count: str) -> F.Column:
@@ -124,28 +123,53 @@ def q6_payment_trends(g: Gold, limit: int | None = None, count_name: str = "paym
     return res.limit(limit) if limit is not None else res
 
 
+def heavy_orders(items: DataFrame, least: int | None = None) -> list:
+    """Orders with more items than two shuffle partitions' fair share (and
+    ``HEAVY_ITEMS``), at most ``HEAVY_LIMIT``: measured by a mergeable sketch of
+    the most frequent values in one pass over ``order_id``, one partial row a
+    task, when called.  The sketch may overstate a count, never miss an order
+    with a ``HEAVY_LIMIT``-th of the items."""
+    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = items.where(F.col("order_id").isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k(order_id, {HEAVY_LIMIT}, {8 * HEAVY_LIMIT})").alias("top")).first()
+    limit = max(2 * told["n"] / partitions, HEAVY_ITEMS if least is None else least)
+    return [x["item"] for x in told["top"] or [] if x["count"] > limit]
+
+
+def _scores_per_product(items: DataFrame, per_order: DataFrame) -> DataFrame:
+    return items.join(per_order, "order_id", "inner").select("product_id", "s", "n", "r")
+
+
 def q7_review_by_category(g: Gold, limit: int | None = None, count_rows: bool = False,
-                          count_name: str = "review_count") -> DataFrame:
+                          count_name: str = "review_count", heavy: list | None = None) -> DataFrame:
     """Reviews x items by order, then product: a review counts once per
     item of its order (fan-out kept on purpose), duplicated review ids are
     not removed.  Carried as per-order (sum, count) of scores; the item
     join then multiplies them by the order's items, so the review x item
-    pairs are never materialised.  Items are first reduced to one count per
-    (order, product), and the join key carries a salt of the product with
-    each order's sums repeated once per salt, so an order with a third of all
-    items is dealt over the tasks whatever the join's inputs look like.  The
-    count is COUNT(review_score), or with ``count_rows`` COUNT(*) of the
-    joined rows."""
-    per_order = (g["fact_order_reviews"].where(F.col("order_id").isNotNull()).groupBy("order_id")
-                 .agg(F.sum("review_score").alias("s"), F.count("review_score").alias("n"),
-                      F.count(F.lit(1)).alias("r"))
-                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(ORDER_SALTS - 1)))))
-    items = (g["fact_order_items"].where(F.col("order_id").isNotNull()).groupBy("order_id", "product_id")
-             .agg(F.count(F.lit(1)).alias("items"))
-             .withColumn("salt", F.pmod(F.xxhash64("product_id"), F.lit(ORDER_SALTS)).cast(T.IntegerType())))
-    per_product = (items.join(per_order, ["order_id", "salt"], "inner")
-                   .groupBy("product_id")
-                   .agg(*[F.sum(F.col(c) * F.col("items")).alias(c) for c in ("s", "n", "r")]))
+    pairs are never materialised.  The count is COUNT(review_score), or
+    with ``count_rows`` COUNT(*) of the joined rows.
+
+    Items meet their order's sums by a shuffle on the order.  ``heavy`` orders
+    (measured when called, unless given) are kept out of it: their sums, one row
+    an order and so at most ``HEAVY_LIMIT``, are broadcast, and their items are
+    joined where they are read, whatever share of all items they are."""
+    items = g["fact_order_items"].select("order_id", "product_id")
+    if heavy is None:
+        heavy = heavy_orders(items)
+    reviews = g["fact_order_reviews"].where(F.col("order_id").isNotNull())
+    is_heavy = F.col("order_id").isin(heavy) if heavy else F.lit(False)
+
+    def per_order(part: DataFrame) -> DataFrame:
+        return part.groupBy("order_id").agg(F.sum("review_score").alias("s"), F.count("review_score").alias("n"),
+                                            F.count(F.lit(1)).alias("r"))
+
+    if heavy:
+        fanned = _scores_per_product(items.where(~is_heavy), per_order(reviews.where(~is_heavy))).unionByName(
+            _scores_per_product(items.where(is_heavy), F.broadcast(per_order(reviews.where(is_heavy)))))
+    else:
+        fanned = _scores_per_product(items, per_order(reviews))
+    per_product = fanned.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in ("s", "n", "r")])
     p = g["dim_products"].select("product_id", "product_category_name_english")
     j = per_product.join(p, "product_id", "inner")
     res = (j.groupBy("product_category_name_english")

@@ -123,13 +123,14 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return whole_number(text, kind) if isinstance(kind, (T.IntegerType, T.LongType)) else text.try_cast(kind)
 
 
-def _text_rows(spark: SparkSession, path: str, header: list[str]) -> tuple[DataFrame, DataFrame | None]:
+def _text_rows(spark: SparkSession, path: str, header: list[str],
+               by_ranges: bool | None) -> tuple[DataFrame, DataFrame | None]:
     """Every record as text columns, ``_CORRUPT`` (the record if it isn't
     well-formed) and ``FILE``; and, if ``FILE`` is a number, the files' names."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, _CORRUPT]])
     options = READ_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parts = _data_files(spark, path)
-    lines = bool(parts) and _larger_than_a_split(spark, parts)
+    lines = bool(parts) and (_larger_than_a_split(spark, parts) if by_ranges is None else by_ranges)
     if lines:
         states = csv_ranges.range_states(spark, path)
         if states.where("opens").limit(1).count():
@@ -143,10 +144,11 @@ def _text_rows(spark: SparkSession, path: str, header: list[str]) -> tuple[DataF
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, table: str = "csv",
-             widened: Mapping[str, T.DataType] | None = None) -> CsvScan:
+             widened: Mapping[str, T.DataType] | None = None, by_ranges: bool | None = None) -> CsvScan:
     """Columns of ``schema`` (in its order, found by header name, whatever
     their case), then the file's other columns as text, and what makes a record
-    unfit.  ``widened``: other types for declared columns.  Fails when a
+    unfit.  ``widened``: other types for declared columns.  ``by_ranges``: whether
+    files are cut into byte ranges (default: where one is larger than a split).  Fails when a
     declared column is missing or a part file's header differs."""
     header = csv_header(spark, path)
     place = {name.lower(): name for name in header}
@@ -154,7 +156,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     missing = [f.name for f in fields if f.name.lower() not in place]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header}")
-    rows, names = _text_rows(spark, path, header)
+    rows, names = _text_rows(spark, path, header, by_ranges)
     declared = {f.name.lower() for f in fields}
     others = [n for n in header if n.lower() not in declared]
     text = {f.name: F.col(f"`{place[f.name.lower()]}`") for f in fields}

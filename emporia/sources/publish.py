@@ -33,6 +33,16 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def file_stamps(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time) of all files below a folder."""
+    fs, where = file_system(spark, folder)
+    found, files = [], fs.listFiles(where, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((str(f.getPath().toString()), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
 def _names(spark: SparkSession, folder: str) -> list[str]:
     fs, where = file_system(spark, folder)
     return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []

@@ -1,0 +1,87 @@
+"""Heavy orders are measured and joined where they are read; keyless tables are
+profiled by fingerprints, right also when those collide."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from emporia.operators import quality
+from emporia.plans import questions
+from emporia.plans.layers import Layers
+from emporia.plans.questions import heavy_orders, q7_review_by_category
+
+
+def hot_gold(spark, sf_small):
+    """A third of all items on one order, for many products."""
+    gold = dict(Layers.from_driver(spark, sf_small).gold)
+    items = gold["fact_order_items"]
+    hot = items.agg(F.min("order_id")).first()[0]
+    gold["fact_order_items"] = items.withColumn(
+        "order_id", F.when(F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3)) == 0, F.lit(hot)).otherwise(F.col("order_id")))
+    return gold, hot
+
+
+def test_ordinary_items_have_no_heavy_order(spark, sf_small):
+    assert heavy_orders(Layers.from_driver(spark, sf_small).gold["fact_order_items"], least=0) == []
+
+
+def test_heavy_orders_are_found(spark, sf_small):
+    gold, hot = hot_gold(spark, sf_small)
+    assert heavy_orders(gold["fact_order_items"], least=0) == [hot]
+    assert heavy_orders(gold["fact_order_items"].limit(0), least=0) == []
+    nulls = gold["fact_order_items"].withColumn("order_id", F.lit(None).cast("long"))
+    assert heavy_orders(nulls, least=0) == []
+
+
+@pytest.mark.parametrize("count_rows", [False, True])
+def test_answers_with_heavy_orders_kept_apart_equal_plain_ones(spark, sf_small, monkeypatch, count_rows):
+    gold, hot = hot_gold(spark, sf_small)
+    monkeypatch.setattr(questions, "HEAVY_ITEMS", 0)
+    apart = q7_review_by_category(gold, count_rows=count_rows)
+    plain = q7_review_by_category(gold, count_rows=count_rows, heavy=[])
+    assert apart.collect() == plain.collect()
+    assert "Union" in apart._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ordinary_items_are_shuffled_once(spark, sf_small):
+    """No salt, no second shuffle: one exchange of the items on the order."""
+    gold = Layers.from_driver(spark, sf_small).gold
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = spark.createDataFrame([(1, 1)], "order_id long, product_id long")
+        g = {**gold, "fact_order_items": items}
+        plan = q7_review_by_category(g, heavy=[])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert plan.count("hashpartitioning(order_id") == 2  # the items, and the reviews' aggregate
+
+
+ROWS = [(1, "a", None), (1, None, "a"), (1, "a", None), (2, None, None), (2, None, None), (None, "x", "y"),
+        (None, "x", "y"), (None, "y", "x"), (3, "", None), (3, None, "")]
+
+
+@pytest.mark.parametrize("first", ["one hash for all", "two hashes", "as it is"])
+def test_profile_with_colliding_fingerprints(spark, monkeypatch, first):
+    real = quality._fingerprint
+
+    def colliding(df):
+        a, b = real(df)
+        a = {"one hash for all": F.lit(7).cast("long"), "two hashes": F.pmod(a, F.lit(2)), "as it is": a}[first]
+        return [a.alias("__hash1"), b]
+
+    monkeypatch.setattr(quality, "_fingerprint", colliding)
+    df = spark.createDataFrame(ROWS, "`k k` int, x string, y string")
+    assert tuple(quality.duplicate_profile(df, "t").first()) == ("t", 10, 7, 3)
+    assert tuple(quality.duplicate_profile(df.limit(0), "t").first()) == ("t", 0, 0, 0)
+    assert tuple(quality.duplicate_profile(df.limit(1), "t").first()) == ("t", 1, 1, 0)
+
+
+def test_profile_shuffles_fingerprints_only(spark, sf_small):
+    df = Layers.from_driver(spark, sf_small).silver["silver_geolocation"]
+    profile = quality.duplicate_profile(spark.createDataFrame(df.collect(), df.schema), "geolocation")
+    profile.collect()
+    final = profile._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "LeftSemi" not in final  # nothing collides, so the rows are not read again

@@ -17,7 +17,7 @@ from emporia.registry import all_queries
 TABLES = "region nation customer supplier part orders lineitem".split()
 KEYS = sorted(all_queries())
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-              "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
