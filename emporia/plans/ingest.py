@@ -1,7 +1,7 @@
 """L1: every source CSV to Bronze Parquet, in one pass over the files.
 
 While a table's records are written, the same pass counts its rows, the records
-that can't be loaded and, for integers and for columns and tables that aren't
+that don't fit their declared types and, for columns and tables that aren't
 declared, what types the values need (``observe``).  Only what turns out to
 need it is done again:
 
@@ -17,7 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor, as_completed
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -47,35 +48,33 @@ class TableLoad:
     found: dict[str, T.DataType] = field(default_factory=dict)
 
 
-def _integers(scan: CsvScan) -> list:
-    """For each integer column, values that are larger numbers, and numbers
-    with a fraction (or beyond all integers)."""
-    out = []
+def _needed(scan: CsvScan) -> dict[str, T.DataType]:
+    """The types that integer columns need instead of theirs, from the records
+    that don't fit: bigint for larger numbers, double for any other number."""
+    told = []
     for k, (name, text) in enumerate(scan.texts.items()):
         value, large = F.col(f"`{text}`"), whole_number(F.col(f"`{text}`"), T.LongType())
         misfit = F.col(f"`{name}`").isNull() & value.isNotNull()
-        out += [F.count_if(misfit & large.isNotNull()).alias(f"large{k}"),
-                F.count_if(misfit & large.isNull() & value.try_cast("double").isNotNull()).alias(f"fraction{k}")]
-    return out
+        told += [F.count_if(misfit & large.isNotNull()).alias(f"large{k}"),
+                 F.count_if(misfit & large.isNull() & value.try_cast("double").isNotNull()).alias(f"other{k}")]
+    if not told:
+        return {}
+    seen = scan.rows.where(F.col(REASON).isNotNull()).agg(*told).first()
+    return {name: T.DoubleType() if seen[f"other{k}"] else T.LongType()
+            for k, name in enumerate(scan.texts) if seen[f"other{k}"] or seen[f"large{k}"]}
 
 
-def _write(scan: CsvScan, path: str) -> tuple[TableLoad, dict[str, T.DataType]]:
-    """Write the good rows; returns the load, and the types that integer columns need instead of theirs."""
+def _write(scan: CsvScan, path: str) -> TableLoad:
+    """Write the good rows, counting all."""
     told = Observation(scan.table)
     opened = [m for k, name in enumerate(scan.open) for m in value_types.counts(name, f"open{k}_")]
-    rows = scan.rows.observe(told, F.count(F.lit(1)).alias("records"), F.count_if(F.col(REASON).isNotNull()).alias("bad"),
-                             *_integers(scan), *opened)
-    replace(scan, rows=rows).good().write.parquet(path)
+    rows = scan.rows.select(*[F.col(f"`{c}`") for c in scan.columns], REASON).observe(
+        told, F.count(F.lit(1)).alias("records"), F.count_if(F.col(REASON).isNotNull()).alias("bad"), *opened)
+    rows.where(F.col(REASON).isNull()).drop(REASON).write.parquet(path)
     seen = told.get
-    need: dict[str, T.DataType] = {}
-    for k, name in enumerate(scan.texts):
-        if seen[f"fraction{k}"]:
-            need[name] = T.DoubleType()
-        elif seen[f"large{k}"]:
-            need[name] = T.LongType()
     found = {name: value_types.type_of({kind: seen[f"open{k}_{kind}"] for kind in value_types.KINDS})
              for k, name in enumerate(scan.open)}
-    return TableLoad(scan.table, seen["records"] - seen["bad"], seen["bad"], found=found), need
+    return TableLoad(scan.table, seen["records"] - seen["bad"], seen["bad"], found=found)
 
 
 def load_table(spark: SparkSession, source: str, table: str, path: str, build: str) -> tuple[TableLoad, CsvScan]:
@@ -87,8 +86,8 @@ def load_table(spark: SparkSession, source: str, table: str, path: str, build: s
     while True:
         opened = bool(scan.open)
         target = f"{build}/_text/{table}-{attempt}" if opened else path
-        load, need = _write(scan, target)
-        need = {c: t for c, t in need.items() if widened.get(c) != t}
+        load = _write(scan, target)
+        need = _needed(scan) if load.bad else {}
         if not need:
             break
         # a double holds all that a bigint does, so a column is widened twice at most
@@ -123,23 +122,22 @@ def ingest_report(spark: SparkSession, raw_dir: str, bronze_dir: str, stems: Map
                 raise TooManyBadRecords(
                     f"{load.table}: {load.bad} of {load.rows + load.bad} records can't be loaded, among them: {first}")
         bad = [scan.bad() for load, scan in done.values() if load.bad]
-        aside = spark.createDataFrame([], SET_ASIDE_SCHEMA)
-        for part in bad:
-            aside = aside.unionByName(part)
-        aside.write.parquet(f"{base}/{build}/{SET_ASIDE}")
+        if bad:
+            reduce(DataFrame.unionByName, bad).write.parquet(f"{base}/{build}/{SET_ASIDE}")
     except BaseException:
         pool.shutdown(wait=True, cancel_futures=True)
         publish.discard(spark, base, build)
         raise
     pool.shutdown()
     publish.remove(spark, f"{base}/{build}/_text")
-    publish.publish(spark, base, build, [*found, SET_ASIDE])
+    publish.publish(spark, base, build, [*found, SET_ASIDE] if bad else list(found), () if bad else (SET_ASIDE,))
     return {table: done[table][0] for table in found}
 
 
 def set_aside(spark: SparkSession, bronze_dir: str) -> DataFrame:
     """(table_name, file, record, reason) of the records that the layer's ingest set aside."""
-    return spark.read.schema(SET_ASIDE_SCHEMA).parquet(publish.table_path(spark, bronze_dir, SET_ASIDE))
+    where = publish.current(spark, bronze_dir).get(SET_ASIDE)
+    return spark.read.schema(SET_ASIDE_SCHEMA).parquet(where) if where else spark.createDataFrame([], SET_ASIDE_SCHEMA)
 
 
 def ingest(spark: SparkSession, raw_dir: str, bronze_dir: str, stems: Mapping[str, str] | None = None,

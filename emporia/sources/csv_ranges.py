@@ -9,7 +9,7 @@ is one bit: whether its first line continues a quoted field.
    if it begins in a record and if it begins in quotes.  Only lines with a
    quote count.  The functions compose, so a window over the ranges of each file
    (one row a range) gives every range its bit.
-2. If no line of any range ends inside quotes, every line is a record, and
+2. If no line has a quote, or none of any range ends inside quotes, every line is a record, and
    the ordinary line reader does the rest.
 3. Otherwise each range joins its lines to records.  A record that crosses a
    range's end comes out in pieces, at most two a range, which are put together
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporia.session import scratch_path, ship_package
@@ -98,10 +98,24 @@ def _functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(held, state)
 
 
+def _may_break() -> Column:
+    """Whether a line has a quote or, before its end, a carriage return."""
+    return F.contains("value", F.lit('"')) | F.contains(F.expr("left(value, length(value) - 1)"), F.lit("\r"))
+
+
+def has_line_breaks(spark: SparkSession, path: str) -> DataFrame | None:
+    """``range_states``, if a record has a line break (or a line a carriage
+    return of its own).  Files without a quote are only looked through."""
+    if spark.read.option("lineSep", "\n").text(path).where(_may_break()).isEmpty():
+        return None
+    states = range_states(spark, path)
+    return None if states.where("opens").isEmpty() else states
+
+
 def range_states(spark: SparkSession, path: str) -> DataFrame:
     """(file, begin, quoted, opens) of every range, written to the shared folder."""
     ship_package(spark)
-    told = F.when(F.contains("value", F.lit('"')) | F.contains("value", F.lit("\r")), F.col("value"))
+    told = F.when(_may_break(), F.col("value"))
     ranges = _lines(spark, path).select("file", "begin", told.alias("value")).mapInArrow(
         _functions, "file long, begin long, after_record boolean, after_quote boolean, opens boolean")
     order = Window.partitionBy("file").orderBy("begin")

@@ -132,8 +132,8 @@ def _text_rows(spark: SparkSession, path: str, header: list[str],
     parts = _data_files(spark, path)
     lines = bool(parts) and (_larger_than_a_split(spark, parts) if by_ranges is None else by_ranges)
     if lines:
-        states = csv_ranges.range_states(spark, path)
-        if states.where("opens").limit(1).count():
+        states = csv_ranges.has_line_breaks(spark, path)
+        if states is not None:
             for k in ("header", "enforceSchema"):
                 options.pop(k)
             found = csv_ranges.read_records(spark, path, states, header)

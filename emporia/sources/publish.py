@@ -90,8 +90,10 @@ def new_build(base: str) -> str:
     return f"{VERSIONS}/{uuid.uuid4().hex[:12]}"
 
 
-def publish(spark: SparkSession, base: str, build: str, tables: list[str], keep: int = 2) -> str:
-    """Make the build's tables the layer's, in one step; returns the number."""
+def publish(spark: SparkSession, base: str, build: str, tables: list[str], without: tuple[str, ...] = (),
+            keep: int = 2) -> str:
+    """Make the build's tables the layer's, in one step, which then has none of
+    those ``without``; returns the number."""
     base = base.rstrip("/")
     fs, folder = file_system(spark, f"{base}/{PUBLISHED}")
     fs.mkdirs(folder)
@@ -103,7 +105,8 @@ def publish(spark: SparkSession, base: str, build: str, tables: list[str], keep:
         if taken and (not held or held[-1][0] < taken[-1]) and time.monotonic() < deadline:
             time.sleep(0.1)  # the newest is being written, or was cut off
             continue
-        tables_now = (held[-1][1] if held else {}) | {t: f"{build}/{t}" for t in tables}
+        before = {t: f for t, f in (held[-1][1] if held else {}).items() if t not in without}
+        tables_now = before | {t: f"{build}/{t}" for t in tables}
         number = f"{int(taken[-1]) + 1 if taken else 1:010d}"
         try:
             stream = fs.create(file_system(spark, f"{base}/{PUBLISHED}/{number}")[1], False)
