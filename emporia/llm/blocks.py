@@ -18,9 +18,26 @@ def deal_blocks(members: DataFrame, block: int) -> DataFrame:
     ``second`` tells the two blocks of a pair apart.  Sorted by place, so that
     a task streams through its groups, none larger than two blocks."""
     blocks = F.ceil(F.col("m") / block).cast("int")
-    rest = [c for c in members.columns if c not in ("key", "m")]
-    return members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    return _dealt(members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("m"))
+
+
+def deal_apart(members: DataFrame, block: int) -> DataFrame:
+    """As ``deal_blocks``, for buckets whose members ``inside`` a part of
+    ``big`` members are not to meet one another: blocks of the ``rest`` meet all
+    blocks, blocks of the part only those."""
+    rest = F.greatest(F.lit(1), F.ceil(F.col("rest") / block).cast("int"))
+    big = F.greatest(F.lit(1), F.ceil(F.col("big") / block).cast("int"))
+    place = F.xxhash64("rep")
+    own = F.when(F.col("inside"), rest + F.pmod(place, big)).otherwise(F.pmod(place, rest)).cast("int")
+    last = F.when(F.col("inside"), rest).otherwise(rest + big) - 1
+    return _dealt(members.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), last))).drop("rest", "big", "inside"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    rest = [c for c in rows.columns if c not in ("key", "own", "other")]
+    return rows.select(
         "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
         (F.col("own") > F.col("other")).alias("second"), *rest
     ).repartition(*PLACE).sortWithinPartitions(*PLACE)

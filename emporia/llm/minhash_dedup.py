@@ -1,7 +1,8 @@
 """MinHash near-dedup with odd sketches.
 
 A document's set is its distinct word shingles.  Documents with the same set
-form a class, represented by its smallest identifier; only representatives
+form a class, represented by its smallest identifier (with a hash of the text,
+since an identifier may come with several); only representatives
 are compared.  For each, one pass over the text gives MinHash samples; bands
 of them are the bucket keys, and all of them are folded into an odd sketch: a
 parity bitmap in which each (sample number, sample value) flips one bit.  The
@@ -15,10 +16,11 @@ Groups are never expanded into pairs.  In each round every bucket compares its
 members with one centre; confirmed links are contracted to components, and
 only buckets that still hold several components go on.  After two rounds with
 different centres the members of the remaining buckets get a finer sketch of
-more samples, and blocks of them are compared with blocks, within a bucket and
-across components only; the pairs that the finer sketch can't tell from links
-are confirmed.  A bucket of any size is dealt over its pairs of blocks, and no
-candidate is capped.
+more samples, and blocks of them are compared with blocks: those outside the
+bucket's largest component with each other and with those inside, which never
+meet one another.  The pairs of different components that the finer sketch can't
+tell from links are confirmed.  A bucket of any size is dealt over its pairs of
+blocks, and no candidate is capped.
 
 Band counts are derived from the threshold so that a pair exactly at it shares
 no bucket with probability below ``miss``.
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.blocks import deal_blocks, groups_of, matrix
+from emporia.llm.blocks import deal_apart, groups_of, matrix
 from emporia.llm.common import seeds, splitmix, written
 from emporia.llm.components import connected_components
 from emporia.session import ship_package
@@ -138,7 +140,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int, rows: in
         with np.errstate(over="ignore"):
             for batch in batches:
                 n, f1, f2, keys, bits = [], [], [], [], []
-                for text in batch.column(1):
+                for text in batch.column(2):
                     h = signer.hashes(text.as_py())
                     n.append(len(h))
                     f1.append(h.sum(dtype=np.uint64))
@@ -147,15 +149,20 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, size: int, rows: in
                     keys.append(signer.band_keys(low))
                     bits.append(signer.sketch(low))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()),
+                    [batch.column(0), batch.column(1), pa.array(n, pa.int64()),
                      pa.array(np.array(f1, np.uint64).view(np.int64)),
                      pa.array(np.array(f2, np.uint64).view(np.int64)),
                      _lists(keys, bands), _lists(bits, SKETCH_BITS // 64)],
-                    ["id", "n", "f1", "f2", "keys", "bits"])
+                    ["id", "t", "n", "f1", "f2", "keys", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        sign, f"id {kind}, n long, f1 long, f2 long, keys array<long>, bits array<long>")
+    return _with_texts(docs, id_col, text_col).mapInArrow(
+        sign, f"id {kind}, t long, n long, f1 long, f2 long, keys array<long>, bits array<long>")
+
+
+def _with_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, t, text): ``t`` tells the texts of one identifier apart."""
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
 
 
 def _confirm(pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -193,11 +200,13 @@ def _fine_sketches(texts: DataFrame, size: int) -> DataFrame:
 def _close_in_blocks(members: DataFrame, limit: int) -> DataFrame:
     """(a, b) of the members of a bucket, of different components, whose fine
     sketches differ in ``limit`` bits at most; each pair in the first bucket
-    that both are in.  ``members``: key, m (the bucket's members), rep, c,
-    keys, fine."""
+    that both are in.  ``members``: key, rest and big (the bucket's members
+    outside and inside its largest component), inside, rep, c, keys, fine.
+    Members of the largest component meet those outside it only."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, found in groups_of(batches):
-            c = np.unique(np.array(rows.column("c").to_pylist(), object), return_inverse=True)[1].reshape(-1)
+            number: dict[tuple, int] = {}
+            c = np.array([number.setdefault(tuple(x.values()), len(number)) for x in rows.column("c").to_pylist()], np.int64)
             keys, fine = matrix(rows, "keys"), np.ascontiguousarray(matrix(rows, "fine").view(np.uint64).T)
             left, right = [], []
             for key, one, two in found:
@@ -221,7 +230,7 @@ def _close_in_blocks(members: DataFrame, limit: int) -> DataFrame:
                     [rep.take(pa.array(np.concatenate(left))), rep.take(pa.array(np.concatenate(right)))], ["a", "b"])
 
     kind = members.schema["rep"].dataType.simpleString()
-    near = deal_blocks(members, BLOCK).mapInArrow(compare, f"a {kind}, b {kind}")
+    near = deal_apart(members, BLOCK).mapInArrow(compare, f"a {kind}, b {kind}")
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -238,31 +247,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are members of each of their texts' classes if not.  Other columns are
     not read; an empty table gives an empty result.
     """
+    answer = _answers(docs, id_col, text_col, shingle, percent, miss)
+    component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component.id"), F.col("id")))
+    return answer.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def _answers(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, miss: float) -> DataFrame:
+    """(id, t, n, component) of every row.  A class of equal sets is
+    represented by the smallest (id, t) of its rows, a component by the
+    smallest of its classes; null where the row is in no class."""
     ship_package(docs.sparkSession)
     rows, bands = bands_for(percent / 100, miss)
     sig = written(_signatures(docs, id_col, text_col, shingle, rows, bands), "minhash-signatures")
     cls = ["f1", "f2", "n"]
+    node = F.struct("id", "t")
     reps = written(
         sig.where("n > 0 and id is not null").groupBy(*cls)
-        .agg(F.min(F.struct("id", "keys", "bits")).alias("s"))
-        .select(*cls, F.col("s.id").alias("rep"), "s.keys", "s.bits"), "minhash-classes")
+        .agg(F.min(F.struct(node.alias("rep"), "keys", "bits")).alias("s"))
+        .select(*cls, F.col("s.rep").alias("rep"), "s.keys", "s.bits"), "minhash-classes")
     links = _links(docs, reps, id_col, text_col, shingle, percent, max(SAMPLES, rows * bands))
     linked = reps.select(*cls, "rep").join(links, F.col("rep") == F.col("node"), "left").select(
         *cls, F.coalesce("component", "rep").alias("component"))
-    answer = sig.select("id", *cls).join(linked, cls, "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return answer.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"))
+    return sig.select("id", "t", *cls).join(linked, cls, "left").select(
+        "id", "t", "n", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, without those whose identifier is
-    not its group's smallest.  Rows with a null identifier stay."""
-    gone = near_duplicates(docs, id_col, text_col, shingle, percent).where(~F.col("kept")).select(
-        F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+                         shingle: int = 5, percent: int = 80, miss: float = 1e-6) -> DataFrame:
+    """The rows of ``docs``, all columns, without those whose identifier and
+    text are not their group's smallest.  Rows with a null identifier stay; rows
+    that repeat both identifier and text stay or go together."""
+    answer = _answers(docs, id_col, text_col, shingle, percent, miss)
+    gone = answer.where(F.col("component").isNotNull() & (F.struct("id", "t") != F.col("component"))).select(
+        F.col("id").alias("__gone"), F.col("t").alias("__gone_text")).distinct()
+    return docs.join(gone, (F.col(id_col) == F.col("__gone")) & (F.xxhash64(text_col) == F.col("__gone_text")), "left_anti")
 
 
 def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: int,
@@ -272,10 +292,10 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: i
     shared = written(spread.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
                      .where("lo < hi"), "minhash-buckets")
     members = written(spread.join(shared, "key"), "minhash-members")
-    wanted = members.select(F.col("rep").alias("id")).distinct()
+    wanted = members.select("rep.id", "rep.t").distinct()
     texts = written(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(wanted, "id", "left_semi").dropDuplicates(["id"]), "minhash-texts")
+        _with_texts(docs, id_col, text_col).join(wanted, ["id", "t"], "left_semi").dropDuplicates(["id", "t"])
+        .select(F.struct("id", "t").alias("rep"), "text"), "minhash-texts")
     bits = reps.select("rep", "bits")
     limit = sketch_limit(samples, SKETCH_BITS, percent / 100)
 
@@ -283,7 +303,7 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: i
         return df.toDF(end, col + end)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        text = texts.select("id", "text")
+        text = texts.select("rep", "text")
         read = pairs.join(side(text, "b", "t"), "b").join(side(text, "a", "t"), "a")
         return written(_confirm(read, size, percent), "minhash-links")
 
@@ -298,10 +318,15 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: i
         members the one pair has been tried)."""
         named = members.select("key", "rep").join(nodes, F.col("rep") == F.col("node"), "left").select(
             "key", "rep", F.coalesce("component", "rep").alias("c"))
-        left = (named.groupBy("key").agg(F.min("c").alias("c_lo"), F.max("c").alias("c_hi"),
-                                         F.max("rep").alias("hi"), F.count(F.lit(1)).alias("m"))
-                .where("c_lo < c_hi and m > 2").select("key", "hi", "m"))
-        return written(named.join(left, "key"), "minhash-open")
+        # written before the join, so that Spark may split a hot bucket in it
+        left = written(
+            named.groupBy("key", "c").agg(F.max("rep").alias("hi"), F.count(F.lit(1)).alias("m"))
+            .groupBy("key").agg(F.max("hi").alias("hi"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("components"),
+                                F.max(F.struct("m", "c")).alias("largest"))
+            .where("components > 1 and m > 2")
+            .select("key", "hi", (F.col("m") - F.col("largest.m")).alias("rest"), F.col("largest.m").alias("big"),
+                    F.col("largest.c").alias("c_big")), "minhash-open-buckets")
+        return written(named.join(left, "key").withColumn("inside", F.col("c") == F.col("c_big")).drop("c_big"), "minhash-open")
 
     tried = members.where("rep > lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
     found = confirmed(close(tried))
@@ -319,11 +344,11 @@ def _links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, size: i
         left = open_buckets(nodes)
         if left.isEmpty():
             return nodes
-    who = left.select(F.col("rep").alias("id")).distinct()
+    who = left.select("rep").distinct()
     fine = written(
-        _fine_sketches(texts.join(who, "id", "left_semi").select(F.col("id").alias("rep"), "text"), size)
+        _fine_sketches(texts.join(who, "rep", "left_semi").select("rep", "text"), size)
         .join(reps.select("rep", "keys"), "rep"), "minhash-fine")
-    last = _close_in_blocks(left.select("key", "m", "rep", "c").join(fine, "rep"),
+    last = _close_in_blocks(left.select("key", "rest", "big", "inside", "rep", "c").join(fine, "rep"),
                             sketch_limit(FINE_SAMPLES, FINE_BITS, percent / 100))
     more = confirmed(written(last, "minhash-pairs").join(tried.unionByName(second), ["a", "b"], "left_anti"))
     return nodes if more.isEmpty() else connected_components(found.unionByName(more))

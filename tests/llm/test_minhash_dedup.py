@@ -86,6 +86,40 @@ def test_drop_keeps_columns_and_one_of_each_group(odd_docs):
     assert {r["doc_id"] for r in got.collect()} == {i for i, _ in ROWS} - gone
 
 
+A, B, OTHER = ([f"{x}{i}" for i in range(60)] for x in "abo")
+NEAR_A, NEAR_B = A[:59] + ["z"], B[:59] + ["z"]
+REPEATED = [(1, A), (1, B), (2, NEAR_A), (3, NEAR_B), (2, OTHER), (5, OTHER[:59]), (6, A), (6, A), (7, NEAR_A[::-1])]
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_identifiers_with_several_texts(spark, order):
+    """Every text of an identifier has its own links, in any order of the rows;
+    only the row whose text is a near copy goes."""
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in REPEATED][::order], "doc_id long, text string").coalesce(1)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(df, shingle=3, percent=85).collect()}
+    assert got == {(1, 58, 1), (2, 58, 1), (3, 58, 1), (2, 58, 2), (5, 57, 2), (6, 58, 1), (7, 58, 7)}
+    left = sorted(tuple(r) for r in drop_near_duplicates(df, shingle=3, percent=85).collect())
+    assert left == sorted([(1, " ".join(A)), (1, " ".join(B)), (2, " ".join(OTHER)), (7, " ".join(NEAR_A[::-1]))])
+
+
+def test_near_texts_of_one_identifier_leave_one(spark):
+    df = spark.createDataFrame([(1, " ".join(A)), (1, " ".join(NEAR_A)), (2, " ".join(A))], "doc_id long, text string")
+    assert len(drop_near_duplicates(df, shingle=3, percent=85).collect()) == 1
+    assert {tuple(r) for r in near_duplicates(df, shingle=3, percent=85).collect()} == {(1, 58, 1, True), (2, 58, 1, False)}
+
+
+def test_deal_apart_meets_all_but_the_inner_pairs(spark):
+    m = spark.range(23).select(F.lit(5).cast("long").alias("key"), F.lit(9).alias("rest"), F.lit(14).alias("big"),
+                               (F.col("id") >= 9).alias("inside"), F.col("id").alias("rep"))
+    rows, met = blocks.deal_apart(m, 4).collect(), []
+    for p, q in {(r["p"], r["q"]) for r in rows}:
+        own = [r for r in rows if (r["p"], r["q"]) == (p, q)]
+        one = [r["rep"] for r in own if p == q or not r["second"]]
+        two = [r["rep"] for r in own if r["second"]]
+        met += [(min(a, b), max(a, b)) for k, a in enumerate(one) for b in (one[k + 1:] if p == q else two)]
+    assert sorted(met) == [(a, b) for a in range(9) for b in range(a + 1, 23)]
+
+
 def test_bands_miss_little():
     for t in (0.8, 0.85, 0.95):
         rows, bands = bands_for(t, 1e-6)
