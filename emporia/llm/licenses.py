@@ -9,14 +9,16 @@ times |T|: other templates are pruned by size alone, and a unit with too many
 distinct words for any template is dropped before its bigrams are built.
 
 A notice that shares its line with other words, or is wrapped or spread over
-other units, is found as a passage: runs of a template's number of words, and
-of up to a quarter more, that begin with one of its bigrams (or end with the
-text), across lines and paragraphs.  Units that match the same licence are left
-out, as are runs that a better match of the unit around them explains; of
-overlapping runs the best counts.  By the same bound a run shares at
-least t / (2 - t) of the template's bigrams.  So a document or unit is
-looked at only if it holds one of a few words that no match can do without, and
-a template's runs only if the whole document has that many of its bigrams.
+other units, is found as a passage, across lines and paragraphs: all runs of
+words that begin and end with a bigram of the template (others only lower the
+coefficient) and have, repeats included, as many bigrams as the size bound allows are
+compared, shorter ones too, since a notice may leave words out.  Of runs that
+share words the best counts, best first, among those of a template and then of all.  Units that match the same licence are left
+out, as are runs that a better match of the unit around them explains.  By the
+same bound a run shares at least t / (2 - t) of the template's bigrams.  So a
+document or unit is looked at only if it holds one of a few words that no match
+can do without, and a template's runs only if the whole document has that many
+of its bigrams.
 
 The templates are a parameter and part of the plan.  Every document is scanned
 where it is read; there is no shuffle.
@@ -40,6 +42,13 @@ TEMPLATES = [
                    "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
                    "implied. See the License for the specific language governing permissions and limitations under the "
                    "License."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                 "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of "
+                 "the License, or (at your option) any later version."),
+    ("Apache-1.0", "Licensed under the Apache License, Version 1.0."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
     ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
@@ -62,6 +71,10 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
                      "International License."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
                 "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
@@ -77,6 +90,12 @@ TEMPLATES = [
             "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
             "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
             "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -136,11 +155,10 @@ def anchors(grams: list[str], low: float) -> set[str]:
 
 
 def _templates(templates: list[tuple[str, str]]) -> tuple[Column, int, list]:
-    rows = [(name, grams, len(template_words(text))) for name, text in templates if (grams := template_bigrams(text))]
-    cols = [F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("n"), F.lit(size).alias("size"),
-                     F.array(*map(F.lit, g)).alias("grams"), F.lit(k).alias("k"))
-            for k, (name, g, size) in enumerate(rows, 1)]
-    return F.array(*cols), max((len(g) for _, g, _ in rows), default=0), rows
+    rows = [(name, grams) for name, text in templates if (grams := template_bigrams(text))]
+    cols = [F.struct(F.lit(name).alias("name"), F.lit(len(g)).alias("n"), F.array(*map(F.lit, g)).alias("grams"),
+                     F.lit(k).alias("k")) for k, (name, g) in enumerate(rows, 1)]
+    return F.array(*cols), max((len(g) for _, g in rows), default=0), rows
 
 
 def _words(text: Column) -> Column:
@@ -153,7 +171,7 @@ def _bigrams(words: Column) -> Column:
                       lambda a, b: F.concat(a, F.lit(" "), b))
 
 
-def _passages(templates: Column, low: float, threshold: float) -> Column:
+def _passages(templates: Column, low: float, high: float, threshold: float) -> Column:
     """Matches (dice, name, unit) of runs of words, from the columns
     ``paragraphs`` (of lines of words), ``grams`` and ``hits``."""
     near = F.filter(templates, lambda t: F.size(F.array_intersect(t["grams"], F.col("grams"))) >= t["n"] * low)
@@ -162,7 +180,8 @@ def _passages(templates: Column, low: float, threshold: float) -> Column:
         taken = F.array_distinct(F.transform(F.filter("hits", lambda h: h["name"] == t["name"]), lambda h: h["unit"]))
 
         def left(words: Column, otherwise: Column) -> Column:
-            return F.when(F.array_contains(taken, F.array_join(words, " ")), F.array(F.lit("\n"))).otherwise(otherwise)
+            return F.when(F.array_contains(taken, F.array_join(words, " ")),
+                          F.array_repeat(F.lit("\n"), F.size(words))).otherwise(otherwise)
 
         words = F.flatten(F.transform("paragraphs", lambda p: left(
             F.flatten(p), F.flatten(F.transform(p, lambda line: left(line, line))))))
@@ -171,51 +190,56 @@ def _passages(templates: Column, low: float, threshold: float) -> Column:
             F.transform(F.array(_bigrams(w)), lambda g: of_words(t, w, g)))))
 
     def of_words(t: Column, words: Column, grams: Column) -> Column:
-        quarter = F.greatest(F.lit(2), F.floor(t["size"] / 4).cast("int"))
-        step = F.greatest(F.lit(1), F.floor(quarter / 2).cast("int"))
         least = F.greatest(F.lit(1), F.ceil(t["n"] * low).cast("int"))
+        most = F.floor(t["n"] * high).cast("int")
         at = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(t["grams"], g), i + 1)),
                       lambda i: i.isNotNull())
 
-        def run(start: Column, size: Column) -> Column:
-            return F.struct(F.least(start, F.greatest(F.lit(1), F.size(words) - size + 1)).alias("start"),
-                            size.alias("size"))
-
         def scored(r: Column) -> Column:
-            return F.flatten(F.transform(F.array(F.array_distinct(F.slice(grams, r["start"], r["size"] - 1))),
+            return F.flatten(F.transform(F.array(F.array_distinct(F.slice(grams, r["start"], r["n"]))),
                                          lambda a: F.array(F.struct(
                 (F.lit(2.0) * F.size(F.array_intersect(a, t["grams"])) / (F.size(a) + t["n"])).alias("dice"),
-                (-r["size"]).alias("size"), (-r["start"]).alias("start")))))
-
-        def best(found: Column) -> Column:
-            # of a start there are up to four sizes, so what overlaps is near in the array
-            reach = (t["size"] + quarter) * 4
-            return F.filter(found, lambda a, i: ~F.exists(
-                F.slice(found, F.greatest(F.lit(1), i + 1 - reach), reach * 2),
-                lambda b: (b > a) & (-b["start"] < -a["start"] - a["size"]) & (-a["start"] < -b["start"] - b["size"])))
+                r["n"].alias("n"), (-r["start"]).alias("start")))))
 
         def of_starts(starts: Column) -> Column:
-            full = F.filter(starts, lambda s, i: F.get(starts, i + least - 1) - s < t["size"] + quarter)
-            runs = F.array_distinct(F.flatten(F.transform(full, lambda s: F.transform(
-                F.sequence(t["size"], t["size"] + quarter, step), lambda size: run(s, size)))))
+            # (position, number) of the hits from which enough others are near
+            full = F.filter(F.transform(starts, lambda s, i: F.struct(s.alias("s"), i.alias("i"))),
+                            lambda x: F.get(starts, x["i"] + least - 1) - x["s"] < most)
+            runs = F.flatten(F.transform(full, lambda x: F.transform(
+                F.filter(F.slice(starts, x["i"] + least, most - least + 1), lambda e: e - x["s"] < most),
+                lambda e: F.struct(x["s"].alias("start"), (e - x["s"] + 1).alias("n")))))
             return F.filter(F.flatten(F.transform(runs, scored)), lambda x: x["dice"] >= threshold)
 
         found = F.flatten(F.transform(F.array(at), of_starts))
         return F.transform(F.flatten(F.transform(F.array(found), best)), lambda x: F.struct(
-            x["dice"].alias("dice"), t["name"].alias("name"),
-            F.array_join(F.array_remove(F.slice(words, -x["start"], -x["size"]), "\n"), " ").alias("unit"),
+            x["dice"].alias("dice"), x["n"].alias("n"), x["start"].alias("start"), t["name"].alias("name"),
+            F.array_join(F.array_remove(F.slice(words, -x["start"], x["n"] + 1), "\n"), " ").alias("unit"),
             t["k"].alias("k")))
 
+    def best(found: Column) -> Column:
+        """Best first (then the longest), those that share no word with one taken before."""
+        return F.aggregate(F.sort_array(found, asc=False), F.slice(found, F.lit(1), F.lit(0)), lambda kept, a: F.when(
+            F.exists(kept, lambda b: (-b["start"] <= a["n"] - a["start"]) & (-a["start"] <= b["n"] - b["start"])),
+            kept).otherwise(F.array_append(kept, a)))
+
     def explained(x: Column) -> Column:
-        """Whether a unit around the passage matches another licence at
-        least as well, by a template with all the bigrams that the passage
-        shares with its own."""
+        """Whether a unit around the passage matches another licence by a
+        template with all the bigrams that the passage shares with its own, and
+        that at least as well, or with more of them."""
         own = F.array_intersect(_bigrams(F.split(x["unit"], " ")), F.element_at(templates, x["k"])["grams"])
+
+        def more(h: Column) -> Column:
+            return F.size(F.array_intersect(_bigrams(F.split(h["unit"], " ")), F.element_at(templates, h["k"])["grams"])) > F.size(own)
+
         return F.exists(F.array_distinct("hits"), lambda h: (
-            h["name"] != x["name"]) & (h["dice"] >= x["dice"]) & F.contains(h["unit"], x["unit"]) & (
-            F.size(F.array_except(own, F.element_at(templates, h["k"])["grams"])) == 0))
+            h["name"] != x["name"]) & F.contains(h["unit"], x["unit"]) & (
+            F.size(F.array_except(own, F.element_at(templates, h["k"])["grams"])) == 0) & (
+            (h["dice"] >= x["dice"]) | more(h)))
 
-    return F.filter(F.flatten(F.transform(near, of_template)), lambda x: ~explained(x))
+    # the best of each template's runs, then of all of them
+    found = F.flatten(F.transform(F.array(F.flatten(F.transform(near, of_template))), best))
+    return F.transform(F.filter(found, lambda x: ~explained(x)), lambda x: F.struct(
+        x["dice"].alias("dice"), x["name"].alias("name"), x["unit"].alias("unit"), x["k"].alias("k")))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -226,19 +250,20 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     normalised words of each matching unit or passage.
 
     A null or empty text, or one without two words, matches nothing:
-    0, nulls and an empty array.  A line that repeats counts each time.  Null
+    0, nulls and an empty array.  A line that repeats counts each time.  A unit
+    that matches has its own coefficient, even where a run inside it has a higher one.  Null
     and repeated identifiers pass through; other columns are not read.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
     column, largest, rows = _templates(templates)
     if not rows:
-        column = F.lit(None).cast("array<struct<name:string,n:int,size:int,grams:array<string>,k:int>>")
+        column = F.lit(None).cast("array<struct<name:string,n:int,grams:array<string>,k:int>>")
     # a little wide, so that rounding prunes nothing that is just at the threshold
     low, high = threshold / (2 - threshold) * (1 - 1e-9), (2 - threshold) / threshold * (1 + 1e-9)
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
     texts = docs.select(F.col(id_col).alias("id"), plain.alias("plain"))
-    rare = sorted(set().union(*(anchors(grams, low) for _, grams, _ in rows)))
+    rare = sorted(set().union(*(anchors(grams, low) for _, grams in rows)))
     rare = F.array(*map(F.lit, rare)) if rare else F.lit(None).cast("array<string>")
     texts = texts.select("id", F.when(F.arrays_overlap(F.split(F.translate("plain", "\n", " "), " "), rare),
                                       F.col("plain")).alias("plain"))
@@ -267,7 +292,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _words(F.translate("plain", "\n", " ")).alias("words"))
     hits = hits.select("id", "hits", "paragraphs", F.array_distinct(_bigrams(F.col("words"))).alias("grams"))
     hits = hits.select("id", F.when(F.col("hits").isNull(), F.array().cast(HITS)).otherwise(
-        F.concat("hits", _passages(column, low, threshold))).alias("hits"))
+        F.concat("hits", _passages(column, low, high, threshold))).alias("hits"))
     best = F.array_max("hits")
     return hits.select(
         F.col("id").alias(id_col), F.size("hits").cast("long").alias("n_matches"),

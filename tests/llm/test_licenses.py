@@ -78,7 +78,8 @@ PASSAGES = [  # text, n_matches of the licence, licence, its best coefficient
     ("x " * 300 + "All rights reserved. Then y. All rights reserved, z " + "x " * 300, 2, "reserved", 1.0),
     ("A.\nAll rights reserved.\nB 2024. All rights reserved. C", 2, "reserved", 1.0),
     ("Ours is licensed under the Apache Software License, Version 2.0. See there.", 1, "Apache-2.0", 0.8),
-    ("Uses the Apache License, and is not licensed under the Apache License, Version 1.1.", 0, None, None),
+    ("Uses the Apache License, and was licensed under the Apache License, Version 1.1.", 1, "Apache-1.1", 1.0),
+    ("Uses the Apache License, and is not licensed, as others are, under the Apache terms.", 0, None, None),
     ("Under the License this work is free, in reserved words.", 0, None, None),
 ]
 
@@ -107,3 +108,81 @@ def test_full_notices_wrapped_or_not(spark, width):
 def test_a_long_line_of_notices_loses_none(spark):
     df = spark.createDataFrame([(1, "Page 1. All rights reserved. " * 3000)], "doc_id long, text string")
     assert scan_licenses(df).first()["n_matches"] == 3000
+
+
+def brute_passages(text, templates, threshold=0.8):
+    """(name, dice, words) of the runs of words that match, by trying all runs
+    of a template's size bound, best first; units that match are put apart."""
+    plain = re.sub(r"[^\w\n]+|_+", " ", text.lower())
+    words = plain.replace("\n", " ").split()
+    found = []
+    for name, t in templates:
+        b = set(template_bigrams(t))
+        low, high = len(b) * threshold / (2 - threshold) * (1 - 1e-9), len(b) * (2 - threshold) / threshold * (1 + 1e-9)
+        runs = []
+        for s in range(len(words) - 1):
+            for n in range(1, int(high) + 1):
+                if s + n < len(words):
+                    grams = [f"{x} {y}" for x, y in zip(words[s:s + n], words[s + 1:s + n + 1])]
+                    a = set(grams)
+                    if n >= low and (d := 2.0 * len(a & b) / (len(a) + len(b))) >= threshold and grams[0] in b and grams[-1] in b:
+                        runs.append((-d, n, s))
+        found += best_first([(-d, -n, -s, name) for d, n, s in runs])
+    return [(name, d, " ".join(words[-s:n - s + 1])) for d, n, s, name in best_first(found)]
+
+
+def best_first(runs):
+    taken = []
+    for d, n, s, name in sorted(((d, -n if n < 0 else n, s, name) for d, n, s, name in runs), reverse=True):
+        if all(n - s < -s2 or n2 - s2 < -s for _, n2, s2, _ in taken):
+            taken.append((d, n, s, name))
+    return taken
+
+
+OWN = [("A", "alpha beta gamma delta epsilon zeta"), ("B", "one two three"), ("C", "alpha beta one two alpha beta gamma")]
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.6])
+def test_passages_against_all_runs(spark, threshold):
+    """Random texts of template words, some left out, repeated and mixed with others, on one
+    line that is no unit of any template."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for k in range(150):
+        words = ["x0", "x1"]
+        for _ in range(rng.randrange(1, 4)):
+            for w in rng.choice(OWN)[1].split():
+                words += [w] * rng.choice([1, 1, 1, 1, 0, 2]) + ["and"] * rng.choice([0, 0, 0, 0, 1])
+            words += [f"y{rng.randrange(9)}" for _ in range(rng.randrange(12))]
+        words += [f"z{i}" for i in range(40)]
+        rows.append((k, " ".join(words)))
+    want = {k: sorted(brute_passages(t, OWN, threshold)) for k, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: sorted((m["name"], m["dice"], m["unit"]) for m in r["matches"])
+           for r in scan_licenses(df, templates=OWN, threshold=threshold).collect()}
+    assert got == want and sum(map(len, want.values())) > 60
+
+
+SHORTENED = [  # notices that leave words out, or name another version
+    ("Intro words here. This work is licensed under a Creative Commons Attribution International License. More words follow this.",
+     "CC-BY-4.0"),
+    ("We say: this work is licensed under the GNU General Public License, version 2, and mean it.", "GPL-2.0"),
+    ("Note: this program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+     "Public License as published by the Free Software Foundation; either version 2 of the License, or any later version. Bye.",
+     "GPL-2.0"),
+    ("It is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+     "License as published by the Free Software Foundation, either version 3 of the License, or any later version of it.", "AGPL-3.0"),
+    ("Our library is licensed under the BSD 3-Clause License, as others are.", "BSD-3-Clause"),
+]
+
+
+def test_shortened_notices(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(SHORTENED)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in scan_licenses(df).collect()}
+    for k, (text, name) in enumerate(SHORTENED):
+        assert got[k]["license"] == name, text
+        # as a unit if the whole line matches, else the best run
+        unit = brute(text, [t for t in TEMPLATES if t[0] == name])[2]
+        assert got[k]["dice"] == (unit or max(d for n, d, _ in brute_passages(text, TEMPLATES) if n == name))
