@@ -8,9 +8,10 @@ so each distinct word is encoded once:
    positions in that word list;
 2. a hash deals the words of all blocks over buckets, each block sending a
    bucket its words and their positions in one packed row.  A bucket is a part
-   of the distinct-word table: each of its distinct words is merged once, with
-   the others (``rank_merge``), and the ids go back to every block that has
-   the word.  However often texts repeat a word, a block sends it once;
+   of the distinct-word table: a task goes through the packed rows of its buckets,
+   merges the words it hasn't met (``rank_merge``), keeps their ids in a bounded
+   table, and sends every row's ids back to the row's block.  However often texts
+   repeat a word, a block sends it once;
 3. a block and the ids of its words meet again by block, positions become ids,
    and ids become pieces through the id-to-piece table.
 
@@ -41,6 +42,8 @@ from emporia.llm.packing import byte_alphabet
 from emporia.llm.rank_merge import RankMerger
 from emporia.session import ship_package
 
+#: Words whose ids a task remembers.
+KNOWN_WORDS = 1 << 20
 #: Characters of text in one block, and of words merged at once.
 BLOCK_CHARS, MERGE_CHARS = 8 << 20, 1 << 20
 #: Characters of decoded text in one batch of results.
@@ -176,31 +179,54 @@ def _deal_words(buckets: int):
     return run
 
 
-def _encode_buckets(path: str):
+class KnownWords:
+    """Ids of the words a task has met, end to end; it forgets all of them
+    when they are too many, and merges again those that come back."""
+
+    def __init__(self, codec: WordCodec, limit: int):
+        self.codec, self.limit = codec, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.ids, self.start, self.size, self.held = np.empty(1 << 16, "<u4"), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids)."""
+        if len(self.at) > self.limit or self.held > 8 * self.limit:
+            self.forget()
+        for fresh in chunks((w for w in words if w not in self.at), len, MERGE_CHARS):
+            found = self.codec.encode(fresh)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            n, end = len(self.at), self.held + int(sizes.sum())
+            self.ids = _room(self.ids, end)
+            self.start, self.size = _room(self.start, n + len(fresh)), _room(self.size, n + len(fresh))
+            self.ids[self.held:end] = np.concatenate(found)
+            self.start[n:n + len(fresh)] = self.held + np.cumsum(sizes) - sizes
+            self.size[n:n + len(fresh)] = sizes
+            self.at.update(zip(fresh, range(n, n + len(fresh))))
+            self.held = end
+        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        sizes = self.size[at]
+        ends = np.cumsum(sizes)
+        return sizes, self.ids[np.repeat(self.start[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
+
+
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array, or one with room for ``n`` that begins with it."""
+    return array if n <= len(array) else np.concatenate([array, np.empty(max(n, 2 * len(array)) - len(array), array.dtype)])
+
+
+def _encode_buckets(path: str, known_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, pack = WordCodec(path), zstandard.ZstdCompressor(level=1).compress
-
-        def done(rows: list[tuple]) -> pa.RecordBatch:
-            """The rows of one bucket: each distinct word is encoded once."""
-            index: dict[str, int] = defaultdict(itertools.count().__next__)
-            own = [[index[w] for w in _unpack_words(r[3])] for r in rows]
-            ids = [x for part in chunks(iter(index), len, MERGE_CHARS) for x in codec.encode(part)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            out = [(r[1], r[2], pack(sizes[at].astype("<u4").tobytes()),
-                    pack(np.concatenate([ids[i] for i in at]).astype("<u4").tobytes())) for r, at in zip(rows, own)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                ["block", "pos", "sizes", "ids"])
-
-        held: list[tuple] = []
-        for batch in batches:  # sorted by bucket
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[0] != held[0][0]:
-                    yield done(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield done(held)
+        known, pack = KnownWords(WordCodec(path), known_words), zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for number, pos, words in zip(*(batch.column(k) for k in (1, 2, 3))):
+                sizes, ids = known.look_up(_unpack_words(words.as_py()))
+                row = (number.as_py(), pos.as_py(), pack(sizes.astype("<u4").tobytes()), pack(ids.tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], k) for v, k in zip(row, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                    ["block", "pos", "sizes", "ids"])
 
     return run
 
@@ -279,8 +305,8 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
         f"block long, ids array<{name}>, ends array<long>, words binary, codes binary").repartition("block")
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = blocks.mapInArrow(_deal_words(buckets), "bucket int, block long, pos binary, words binary")
-    coded = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _encode_buckets(tokenizer_path), "block long, pos binary, sizes binary, ids binary")
+    coded = words.repartition("bucket").mapInArrow(
+        _encode_buckets(tokenizer_path, KNOWN_WORDS), "block long, pos binary, sizes binary, ids binary")
     parts = coded.groupBy("block").agg(F.collect_list(F.struct("pos", "sizes", "ids")).alias("parts"))
     # all columns are passed on: with fewer, the two branches' exchanges would differ
     done = blocks.join(parts, "block", "left").select("ids", "ends", "codes", "parts", "words", "block").mapInArrow(

@@ -106,6 +106,24 @@ def test_blocks_are_shuffled_once(documents):
     assert "ReusedExchange" in plan
 
 
+def test_distinct_words_beyond_the_table(documents, monkeypatch):
+    """With tiny blocks and tables the answers stay the same."""
+    want = sorted(map(tuple, word_bpe.encode_and_decode(documents, WORDS).collect()))
+    monkeypatch.setattr(word_bpe, "KNOWN_WORDS", 100)
+    assert sorted(map(tuple, word_bpe.encode_and_decode(documents, WORDS, block_chars=200_000).collect())) == want
+
+
+def test_known_words_are_bounded():
+    known = word_bpe.KnownWords(word_bpe.WordCodec(WORDS), 50)
+    want = known.codec.encode(sorted(f"word{i}" for i in range(400)))
+    for _ in range(2):
+        for k in range(0, 400, 20):
+            sizes, ids = known.look_up(sorted(f"word{i}" for i in range(400))[k:k + 20])
+            assert sizes.tolist() == [len(x) for x in want[k:k + 20]]
+            assert ids.tolist() == np.concatenate(want[k:k + 20]).tolist()
+            assert len(known.at) <= 70
+
+
 def test_decode_join(spark):
     library = Tokenizer.from_file(WORDS)
     ids = [library.encode(t, add_special_tokens=False).ids for t in ("Hello wide world", "", "it's 12 <|endoftext|>")]
