@@ -96,7 +96,10 @@ def keep_rows(docs: DataFrame, text_col: str, judge) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = judge()
         for batch in batches:
-            yield batch.filter(pa.array(passes(batch.column(at).to_pylist()), pa.bool_()))
+            kept: list[bool] = []
+            for part in chunks((x.as_py() for x in batch.column(at)), lambda t: len(t or ""), 1 << 20):
+                kept += passes(part)
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     ship_package(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

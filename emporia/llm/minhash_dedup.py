@@ -46,7 +46,7 @@ SKETCH_BITS, SAMPLES = 1024, 160
 FINE_BITS, FINE_SAMPLES = 4096, 1024
 #: Members of a bucket in one block, and rows of it compared at once.
 BLOCK, STRIPE = 2048, 256
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 17
 
 
 def words_of(text: str | None) -> list[bytes]:
