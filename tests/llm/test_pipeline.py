@@ -79,4 +79,4 @@ def test_query_equals_duckdb(spark, sf_small, key):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
