@@ -108,10 +108,83 @@ def test_damaged_archives_fail(tmp_path, damage):
         [list(reader.read(p)) for p in reader.partitions()]
 
 
-def test_hot_payload_is_dealt_over_salts(spark):
-    df = spark.range(1000).select(F.col("id").alias("page_id"), F.lit("same " * 30).alias("html"))
-    rows = warc.with_revisits(df, "page_id", "html").select("page_id", "__first").collect()
-    assert {r["page_id"]: r["__first"] for r in rows} == {i: None if i == 0 else 0 for i in range(1000)}
+def test_hot_payloads_and_rare_ones(spark):
+    rows = [(i, "same " * 30 if i % 3 == 0 else f"page {i % 400} " * 20) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, html string").repartition(5)
+    keys = df.select("id", F.octet_length("html").alias("bytes"), F.sha2("html", 256).alias("digest"))
+    first = {}
+    for i, h in rows:
+        first.setdefault(h, i)
+    got = {r["id"]: r["first"] for r in warc.find_revisits(keys).collect()}
+    assert got == {i: first[h] for i, h in rows if first[h] != i}
+
+
+def rows_of(reader):
+    return [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+
+
+def test_members_are_records(archive):
+    for p in __import__("pathlib").Path(archive["gzip"]).glob("part-*"):
+        raw, at = p.read_bytes(), 0
+        while at < len(raw):
+            assert raw[at:at + len(warc.MEMBER)] == warc.MEMBER
+            size = int.from_bytes(raw[at + len(warc.MEMBER):at + len(warc.MEMBER) + 4], "little")
+            record = gzip.decompress(raw[at:at + size])
+            assert record.startswith(b"WARC/1.0\r\n") and record.endswith(b"\r\n\r\n")
+            at += size
+        assert at == len(raw)
+
+
+def packed(spark, tmp_path, pages):
+    path = tmp_path / "packed"
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), str(path))
+    return path
+
+
+def test_rejected_payloads_are_not_decompressed(spark, tmp_path):
+    noise = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(2000))
+    path = packed(spark, tmp_path, [(1, "http://a/1", noise), (2, "http://a/2", "wanted")])
+    for f in path.glob("part-*"):  # damage the middle of the long payload
+        raw = bytearray(f.read_bytes())
+        if len(raw) > 10_000:
+            raw[5000:6000] = b"\xff" * 1000
+            (tmp_path / "damaged").mkdir(exist_ok=True)
+            (tmp_path / "damaged" / f.name).write_bytes(raw)
+    broken = str(tmp_path / "damaged")
+    headers = warc.WarcReader(StructType.fromDDL("record_id string"), {"path": broken})
+    assert "<urn:page:1>" in {r["record_id"] for r in rows_of(headers)}
+    other = warc.WarcReader(StructType.fromDDL(warc.SCHEMA), {"path": broken})
+    assert not list(other.pushFilters([In(("record_id",), ("<urn:page:2>",))]))
+    assert all(r["payload"] == b"wanted" for r in rows_of(other))
+    with pytest.raises(ValueError):
+        rows_of(warc.WarcReader(StructType.fromDDL(warc.SCHEMA), {"path": broken}))
+
+
+def test_records_beyond_16_mb_and_members_without_length(spark, tmp_path):
+    big = "0123456789abcdef" * (1 << 20) + "the end"  # the size's highest byte isn't 0
+    path = packed(spark, tmp_path, [(1, None, big), (2, None, "after it"), (3, None, big)])
+    want = {"<urn:page:1>": big.encode(), "<urn:page:2>": b"after it", "<urn:page:3>": b""}
+
+    def payloads(p):
+        return {r["record_id"]: r["payload"] for r in rows_of(
+            warc.WarcReader(StructType.fromDDL(warc.SCHEMA), {"path": str(p)}))}
+
+    assert payloads(path) == want
+    raw = b"".join(f.read_bytes() for f in sorted(path.glob("part-*")))
+    (tmp_path / "whole.warc.gz").write_bytes(gzip.compress(gzip.decompress(raw)))
+    assert payloads(tmp_path / "whole.warc.gz") == want
+    mixed = raw + gzip.compress(b"WARC/1.0\r\nWARC-Record-ID: x\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n")
+    (tmp_path / "mixed.warc.gz").write_bytes(mixed)
+    assert payloads(tmp_path / "mixed.warc.gz") == want | {"x": b"hi"}
+
+
+def test_damaged_members_fail(spark, tmp_path):
+    path = packed(spark, tmp_path, [(1, None, "one"), (2, None, "two")])
+    raw = b"".join(f.read_bytes() for f in sorted(path.glob("part-*")))
+    for k, damaged in enumerate([raw[:-3], raw[:40], raw[:-2] + b"\1\0", raw + b"garbage"]):
+        (tmp_path / f"{k}.gz").write_bytes(damaged)
+        with pytest.raises(ValueError):
+            rows_of(warc.WarcReader(StructType.fromDDL(warc.SCHEMA), {"path": str(tmp_path / f"{k}.gz")}))
 
 
 def test_query(spark, sf_small):
