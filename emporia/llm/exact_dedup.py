@@ -1,14 +1,15 @@
 """Exact dedup by a tree merge of sorted digest runs (DataFrame functions only).
 
-Rows are dealt by a hash of their identifier into ``2**run_bits`` runs.  A run
-holds, for each text digest it has seen, the identifier to keep and a count:
-that collapses a group of copies before anything else is shuffled.  Runs are
-then merged in rounds.  In a round, the ``2**fan_bits`` runs whose addresses
-differ in the round's bits exchange their entries: each of them becomes
-responsible for the digests whose address has its value of those bits, merges
-the sorted runs it receives and retains one entry per digest.  After the last
-round a digest's entries have met in one run, having never had more than
-``2**fan_bits`` rows to merge at once, however large the group.
+Rows are dealt by a hash of their identifier into ``2**run_bits`` runs, one
+partition each.  A run is sorted by digest and holds, for each text digest it
+has seen, the identifier to keep and a count: that collapses a group of copies
+before anything else is shuffled.  Runs are then merged in rounds.  In a round,
+the ``2**fan_bits`` partitions whose addresses differ in the round's bits
+exchange their entries: each of them becomes responsible for the digests whose
+address has its value of those bits, and an aggregation that streams over the
+sorted entries retains one per digest.  After the last round a digest's entries
+have met in one run, having never had more than ``2**fan_bits`` rows to merge at
+once, however large the group.  Every level is written once, as sorted runs.
 
 Answers go back down the same tree: a run learns the verdict of each of its
 digests from its parent, and a row from its run, so the rows of one hot group
@@ -42,13 +43,27 @@ def _slot(run_bits: int, merged_bits: int):
     """Address of the run that holds an entry after ``merged_bits`` bits:
     the low bits are the digest's, the rest still the row's."""
     low = (1 << merged_bits) - 1
-    home = F.pmod(F.xxhash64("sha"), F.lit(1 << run_bits))
+    home = F.pmod(F.xxhash64("sha"), F.lit(1 << run_bits)).cast("int")
     return F.col("run").bitwiseAND(F.lit(((1 << run_bits) - 1) & ~low)).bitwiseOR(
         home.bitwiseAND(F.lit(low)))
 
 
+def _merged(entries: DataFrame, keep: str, run_bits: int, level: int) -> DataFrame:
+    """``entries`` (``run``, digest, ``keep``, ``n``), one per run and digest,
+    as sorted runs, a partition each.
+
+    The best identifier is that of a struct, which ranks a null last and which
+    Spark aggregates over sorted rows, not in a hash table."""
+    known = F.col("keep").isNotNull() if keep == "largest" else F.col("keep").isNull()
+    best = F.max if keep == "largest" else F.min
+    return written(
+        entries.repartitionById(1 << run_bits, "run").groupBy("run", *KEY)
+        .agg(best(F.struct(known.alias("known"), "keep")).alias("best"), F.sum("n").alias("n"))
+        .select("run", *KEY, F.col("best.keep").alias("keep"), "n"), f"exact-level{level}")
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     keep: str = "largest", run_bits: int = 8, fan_bits: int = 4) -> DataFrame:
+                     keep: str = "largest", run_bits: int | None = None, fan_bits: int = 4) -> DataFrame:
     """One row per input row: the identifier, ``keep_id``, ``group_size``,
     ``kept`` and ``text_sha256``.
 
@@ -57,20 +72,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows that repeat an identifier with the same text are one document seen
     twice: both rows count in ``group_size`` and carry the same verdict.  An
     empty table gives an empty result.  Other columns are not read.
+    ``run_bits`` None: as many runs as the session has shuffle partitions, or
+    up to twice as many.
     """
-    best = F.max if keep == "largest" else F.min
+    if run_bits is None:
+        run_bits = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     rows = written(digests(docs, id_col, text_col).withColumn(
-        "run", F.pmod(F.xxhash64("id"), F.lit(1 << run_bits))), "exact-digests")
+        "run", F.pmod(F.xxhash64("id"), F.lit(1 << run_bits)).cast("int")), "exact-digests")
 
-    levels = [rows.groupBy("run", *KEY).agg(best("id").alias("keep"), F.count(F.lit(1)).alias("n"))]
+    first = rows.select("run", *KEY, F.col("id").alias("keep"), F.lit(1).cast("long").alias("n"))
+    levels = [_merged(first, keep, run_bits, 0)]
     merged_bits = 0
     while merged_bits < run_bits:
         merged_bits = min(run_bits, merged_bits + fan_bits)
-        below = levels[-1]
-        here = _slot(run_bits, merged_bits)
-        levels.append(below.withColumn("run", here).groupBy("run", *KEY)
-                      .agg(best("keep").alias("keep"), F.sum("n").alias("n"))
-                      .sortWithinPartitions("run", *KEY))
+        levels.append(_merged(levels[-1].withColumn("run", _slot(run_bits, merged_bits)), keep, run_bits, len(levels)))
 
     # verdicts walk down; a text seen once needs none
     verdict = levels[-1].where("n > 1")
