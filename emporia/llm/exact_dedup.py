@@ -107,16 +107,25 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           keep: str = "largest") -> DataFrame:
     """The rows of ``docs``, all columns, one per distinct text.  Of rows that
-    repeat the kept identifier with the same text any one stays."""
-    def key(sha, ident):  # one join key: the partitioning also serves dropDuplicates
-        return F.concat(sha, F.lit(":"), F.coalesce(ident.cast("string"), F.lit("null")))
-
-    kept = exact_duplicates(docs, id_col, text_col, keep).where("kept").select(
-        key(F.col("text_sha256"), F.col(id_col)).alias("__kept_key")).distinct()
+    repeat the kept identifier with the same text any one stays.
+
+    Only (digest, identifier) keys of rows that go or repeat are joined to the
+    texts, and only the rows of repeated kept keys are compared again."""
+    def key(sha, ident):
+        return F.concat(sha, F.coalesce(F.concat(F.lit(":"), ident.cast("string")), F.lit("")))
+
+    odd = written(
+        exact_duplicates(docs, id_col, text_col, keep)
+        .groupBy(key(F.col("text_sha256"), F.col(id_col)).alias("__key"))
+        .agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
+        .where("not __kept or __n > 1").drop("__n"), "exact-odd-keys")
     sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
     marked = docs.withColumn("__key", key(sha, F.col(id_col)))
-    return (marked.join(kept, F.col("__key") == F.col("__kept_key"), "left_semi")
-            .dropDuplicates(["__key"]).drop("__key"))
+    out = marked.join(odd, "__key", "left_anti")
+    repeated = odd.where("__kept")
+    if not repeated.isEmpty():
+        out = out.unionByName(marked.join(repeated, "__key", "left_semi").dropDuplicates(["__key"]))
+    return out.drop("__key")
 
 
 ORACLE_EXACT = """

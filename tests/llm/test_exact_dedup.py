@@ -55,3 +55,18 @@ def test_drop_keeps_one_row_and_all_columns(odd_docs):
     assert sorted(texts) == sorted({norm(t) for _, t in ROWS})
     kept = {norm(r["text"]): r["doc_id"] for r in got.collect()}
     assert kept[norm(ROWS[0][1])] == 2 and kept[""] == 5 and kept["twice the same"] == 13
+
+
+def test_drop_with_repeated_rows_and_identifiers_like_null(spark):
+    rows = [("null", "A"), (None, "a"), ("7", "b"), ("7", "B"), ("7", "c"), (None, "d"), (None, "d"), ("8", "e")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id string, text string, n int")
+    got = sorted((norm(r["text"]), r["doc_id"]) for r in drop_exact_duplicates(docs.repartition(3)).collect())
+    assert got == [("a", "null"), ("b", "7"), ("c", "7"), ("d", None), ("e", "8")]
+
+
+def test_drop_does_not_shuffle_texts_beside_few_copies(spark):
+    docs = spark.createDataFrame([(i, f"text {i // 2}") for i in range(100)], "doc_id long, text string")
+    got = drop_exact_duplicates(docs)
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(1, 100, 2))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
