@@ -245,8 +245,9 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     keys = written(_buckets(classes, tables, rotations, probes), "embedding-keys")
     entered = keys.select("rep", F.posexplode("keys").alias("pos", "key"))
     entered = entered.groupBy("key", "rep").agg(F.max(F.col("pos") < tables).alias("own"))
-    shared = entered.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any")).where(
-        "any and m > 1").select("key", "m")
+    # written, so that neither side of the join is an aggregate and a hot bucket can be split
+    shared = written(entered.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any")).where(
+        "any and m > 1").select("key", "m"), "embedding-buckets")
     members = entered.select("key", "rep").join(shared, "key").join(keys, "rep").join(
         classes.select("rep", "n", "vec"), "rep")
     found = written(_compare(members, threshold, tables), "embedding-links")
