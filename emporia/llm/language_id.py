@@ -96,10 +96,9 @@ class LanguageModel:
     fallback: str | None
 
     @staticmethod
-    def build(rows: list[tuple[str, int]], languages: list[str], fallback: str | None,
+    def build(grams_of: list[np.ndarray], languages: list[str], fallback: str | None,
               sizes: tuple[int, ...], hashes: int = 4) -> LanguageModel:
-        grams_of = [np.array([g for lang, g in rows if lang == name], np.int64).view(np.uint64)
-                    for name in languages]
+        """``grams_of``: the n-grams (64-bit hashes) of each of ``languages``."""
         most = max((len(g) for g in grams_of), default=0)
         positions = 1 << max(10, int(np.ceil(np.log2(max(1, most) * 3 * hashes))))
         model = LanguageModel(languages, np.zeros((max(1, -(-len(languages) // 64)), positions), np.uint64),
@@ -180,10 +179,15 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     languages = sorted((r["lang"], r["n"]) for r in sample.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n")).collect())
     fallback = max(languages, key=lambda x: (x[1], x[0]))[0] if languages else None
-    # at most 1 / min_share n-grams a language
-    rows = [(r["lang"], r["gram"]) for r in kept.select("lang", "gram").collect()]
+    # at most 1 / min_share n-grams a language, as Arrow columns: a position of the list and a hash
+    names = [name for name, _ in languages]
+    found = kept.select((F.array_position(F.array(*map(F.lit, names)), F.col("lang")) - 1).cast("int").alias("k")
+                        if names else F.lit(0).alias("k"), "gram").toArrow()
+    k, gram = (found.column(c).to_numpy() for c in ("k", "gram"))
+    order = np.argsort(k, kind="stable")
+    grams_of = np.split(gram[order].view(np.uint64), np.searchsorted(k[order], np.arange(1, len(names)))) if names else []
     with np.errstate(over="ignore"):
-        return LanguageModel.build(rows, [name for name, _ in languages], fallback, sizes)
+        return LanguageModel.build(grams_of, names, fallback, sizes)
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id",
