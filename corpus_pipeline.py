@@ -15,8 +15,7 @@ from emporia.llm.common import table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on a bounded sample of the
-    labelled ones, rejects go."""
+    """Documents that the classifier, fitted on all labelled ones, rejects go."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 

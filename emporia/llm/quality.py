@@ -8,17 +8,19 @@ threshold is a quantile of the scores: the one that rejects as large a share
 as the labels do.  A reported score is the probability that the document is
 preferred to one just at the threshold.
 
-The fit uses a bounded sample of labelled rows (``rows_per_label`` of each
-label) whose feature vectors, a few dozen numbers each, are the only data that
-reach the driver; counts of the labels cover all of them.  Scoring is a map
-over whole texts without a shuffle.
+The fit uses every labelled row.  Texts become feature vectors, a few dozen
+numbers, where they are read; labelled vectors are dealt into buckets, where
+each good row is paired with each bad one, so that pairs grow with the rows.
+Means, each Newton step's gradient and Hessian and the counts that lead to the
+quantile are summed by Spark: only these sums, whose number doesn't grow, reach
+the driver.  Scoring is a map over whole texts without a shuffle.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import bounded_sample, keep_rows, seeds, written
+from emporia.llm.common import keep_rows, seeds, written
 from emporia.session import ship_package
 
 _BYTE = np.zeros(256, np.int64)  # class of each byte of a UTF-8 text
@@ -42,6 +44,10 @@ FEATURES = [f"class_{k}" for k in range(_CLASSES)] + [
     "log_lines", "repeated_lines", "words_per_line", "long_words", "word_end_marks", "is_empty"]
 
 PRIOR_WORDS = 8
+#: Rows of a bucket: about so many of the more frequent label, and so many of the other.
+BUCKET_ROWS, BUCKET_OTHERS = 64, 32
+#: Score ranges counted in one pass on the way to the quantile.
+BINS = 1024
 
 
 def features(text: str | None) -> np.ndarray:
@@ -91,70 +97,191 @@ class PairwiseModel:
         return 1 / (1 + np.exp(-np.clip(self.raw(x) - self.threshold, -500, 500)))
 
 
-def bradley_terry(good: np.ndarray, bad: np.ndarray, good_share: float, pairs: int = 20_000,
-                  ridge: float = 1e-3, steps: int = 50) -> PairwiseModel:
-    """Newton's method on the logistic loss of feature differences of
-    ``pairs`` pairs, each of a good and a bad row (both classes' rows are dealt
-    evenly over the pairs).  With rows of one class only there is nothing to
-    prefer: every score is then 0.5."""
-    rows = np.concatenate([good, bad])
+def pair_sums(diff: np.ndarray, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Weight, gradient and Hessian of the logistic loss of pairs, flat."""
+    p = 1 / (1 + np.exp(np.clip(diff @ w, -500, 500)))  # of preferring the wrong one
+    hess = (diff * (weight * p * (1 - p))[:, None]).T @ diff
+    return np.concatenate([[weight.sum()], -diff.T @ (weight * p), hess.ravel()])
+
+
+def newton(sums: Callable[[np.ndarray], np.ndarray], ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """Weights that minimise the mean loss of the pairs that ``sums`` adds up,
+    plus ``ridge``."""
     width = len(FEATURES)
-    mean = rows.mean(axis=0) if len(rows) else np.zeros(width)
-    scale = rows.std(axis=0) if len(rows) else np.ones(width)
-    scale = np.where(scale < 1e-9, 1.0, scale)
-    model = PairwiseModel(mean, scale, np.zeros(width), 0.0)
-    if not len(good) or not len(bad):
-        return model
-    mix = seeds(2 * pairs, 31)
-    i = np.argsort(mix[:pairs], kind="stable") % len(good)
-    j = np.argsort(mix[pairs:], kind="stable") % len(bad)
-    diff = model.standard(good)[i] - model.standard(bad)[j]
-    w = model.weights
+    w = np.zeros(width)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -500, 500)))  # of preferring the wrong one
-        grad = ridge * w - diff.T @ p / pairs
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / pairs + ridge * np.eye(width)
+        found = sums(w)
+        grad = found[1:width + 1] / found[0] + ridge * w
+        hess = found[width + 1:].reshape(width, width) / found[0] + ridge * np.eye(width)
         step = np.linalg.solve(hess, grad)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
-    model.weights = w
-    # quantile of the scores in the labels' proportions: the classes' sampled rows count as all of theirs
+    return w
+
+
+def _scale(deviation: np.ndarray) -> np.ndarray:
+    return np.where(deviation < 1e-9, 1.0, deviation)
+
+
+def bradley_terry(good: np.ndarray, bad: np.ndarray, good_share: float, pairs: int | None = None) -> PairwiseModel:
+    """The fit over rows that are at hand, on ``pairs`` pairs that both
+    classes' rows are dealt over evenly (default: all pairs).  With rows of one
+    class only there is nothing to prefer: every score is then 0.5."""
+    rows = np.concatenate([good, bad])
+    width = len(FEATURES)
+    model = PairwiseModel(rows.mean(axis=0) if len(rows) else np.zeros(width),
+                          _scale(rows.std(axis=0)) if len(rows) else np.ones(width), np.zeros(width), 0.0)
+    if not len(good) or not len(bad):
+        return model
+    if pairs is None:
+        i, j = np.divmod(np.arange(len(good) * len(bad)), len(bad))
+    else:
+        mix = seeds(2 * pairs, 31)
+        i = np.argsort(mix[:pairs], kind="stable") % len(good)
+        j = np.argsort(mix[pairs:], kind="stable") % len(bad)
+    diff, weight = model.standard(good)[i] - model.standard(bad)[j], np.ones(len(i))
+    model.weights = newton(lambda w: pair_sums(diff, weight, w))
+    # quantile of the scores in the labels' proportions
     score = np.concatenate([model.raw(good), model.raw(bad)])
-    weight = np.concatenate([np.full(len(good), good_share / len(good)),
-                             np.full(len(bad), (1 - good_share) / len(bad))])
+    share = np.concatenate([np.full(len(good), good_share / len(good)),
+                            np.full(len(bad), (1 - good_share) / len(bad))])
     order = np.argsort(score, kind="stable")
-    below = np.cumsum(weight[order])
-    k = int(np.searchsorted(below, 1 - good_share + 1e-12, "right"))
+    k = int(np.searchsorted(np.cumsum(share[order]), 1 - good_share + 1e-12, "right"))
     k = min(max(k, 1), len(order) - 1)
     model.threshold = float((score[order[k - 1]] + score[order[k]]) / 2)
     return model
 
 
+def labelled_features(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """(id, label, x, n): the features of every document of ``marked`` (id,
+    label), equal rows once with their number.  Features are taken before the
+    join, so that no text is shuffled."""
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [features(t.as_py()).tolist() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["id", "x"])
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return (docs.where(F.col("id").isNotNull()).mapInArrow(describe, f"id {kind}, x array<double>")
+            .join(marked.select("id", "label").distinct(), "id")
+            .groupBy("id", "label", "x").agg(F.count(F.lit(1)).alias("n")))
+
+
+def pair_buckets(rows: DataFrame, good: int, bad: int) -> DataFrame:
+    """(rows): ``labelled_features`` dealt by hash into buckets of about
+    ``BUCKET_ROWS`` of the more frequent label.  Rows of the other label go to as
+    many buckets as give each ``BUCKET_OTHERS`` of them; only the first of a
+    row's places is marked ``first``."""
+    buckets = -(-max(good, bad) // BUCKET_ROWS)
+    copies = min(buckets, max(1, -(-BUCKET_OTHERS * buckets // min(good, bad))))
+    places = F.when(F.col("label") == int(good < bad), F.lit(copies)).otherwise(F.lit(1))
+    at = F.pmod(F.xxhash64("id", "x") + F.col("place"), F.lit(buckets))
+    return (rows.withColumn("place", F.explode(F.sequence(F.lit(0), places - 1)))
+            .groupBy(at.alias("bucket"))
+            .agg(F.sort_array(F.collect_list(F.struct("label", (F.col("place") == 0).alias("first"), "n", "x"))).alias("rows"))
+            .select("rows"))
+
+
+def _arrays(rows: pa.Array, k: int) -> tuple[np.ndarray, ...]:
+    """label, first, n and features of the ``k``-th bucket of a column."""
+    held = rows[k].values
+    label, first, n, x = (held.field(i) for i in range(4))
+    return (label.to_numpy(), first.to_numpy(zero_copy_only=False), n.to_numpy().astype(float),
+            x.flatten().to_numpy().reshape(-1, len(FEATURES)))
+
+
+def _bucket_sums(buckets: DataFrame, of: Callable[..., np.ndarray]) -> np.ndarray:
+    """The vectors that ``of`` gives for the buckets, added up as decimals, so
+    that their order makes no difference."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [of(*_arrays(batch.column(0), k)).tolist() for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.list_(pa.float64()))], ["v"])
+
+    found = (buckets.mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("k", "v"))
+             .groupBy("k").agg(F.sum(F.col("v").cast("decimal(38,15)")).alias("v")).collect())
+    return np.array([float(r["v"]) for r in sorted(found)])
+
+
+def score_quantile(scores: DataFrame, share: float) -> float:
+    """Of ``scores`` (score, label, n), label 1 counting for 1 - ``share`` of
+    all and label 0 for ``share``: halfway between the score at which more than
+    ``share`` is reached and the next smaller one (the next larger one, if there
+    is none).  Score ranges are counted, then those of the range it lies in, until
+    one score is left; there are at most ``BINS`` + 1 of them each time."""
+    def number(label: int):
+        return F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0))
+
+    told = [number(0).alias("bad"), number(1).alias("good"), F.min("score").alias("low"), F.max("score").alias("high")]
+    found = everything = scores.agg(*told).first()
+    bad = good = 0
+    while found["low"] < found["high"]:
+        low, high = found["low"], found["high"]
+        part = F.floor((F.col("score") - low) / (high - low) * BINS)
+        ranges = sorted(scores.where(F.col("score").between(low, high)).groupBy(part.alias("part")).agg(*told).collect())
+        for found in ranges:
+            below = share * (bad + found["bad"]) / everything["bad"] + (1 - share) * (good + found["good"]) / everything["good"]
+            if below > share + 1e-12 or found is ranges[-1]:
+                break
+            bad, good = bad + found["bad"], good + found["good"]
+    at = found["low"]
+    beside = scores.agg(F.max(F.when(F.col("score") < at, F.col("score"))).alias("below"),
+                        F.min(F.when(F.col("score") > at, F.col("score"))).alias("above")).first()
+    other = beside["below"] if beside["below"] is not None else beside["above"]
+    return at if other is None else (at + other) / 2
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", rows_per_label: int = 1000) -> PairwiseModel:
-    """Learn from the documents that ``labels`` marks 1 (good) or 0 (bad);
+                label_col: str = "quality") -> PairwiseModel:
+    """Learn from all documents that ``labels`` marks 1 (good) or 0 (bad);
     rows with another or a null label or identifier teach nothing, nor do
-    labels of absent documents.  The sample are the rows of each label with
-    the smallest hashed identifiers, at most ``rows_per_label`` of them."""
+    labels of absent documents.  Pairs of rows that occur several times count
+    as often.  With documents of one label only there is nothing to prefer:
+    every score is then 0.5."""
     ship_package(docs.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(id_col).alias("h"))
-    sample = written(bounded_sample(marked, "label", rows_per_label, 2).select("id", "label").distinct(),
-                     "quality-sample")
+        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    rows = written(labelled_features(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), marked),
+                   "quality-features")
+    width = len(FEATURES)
+    model = PairwiseModel(np.zeros(width), np.ones(width), np.zeros(width), 0.0)
+    counts = {r["label"]: r["rows"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    if len(counts) < 2:
+        return model
+    buckets = written(pair_buckets(rows, counts[1], counts[0]), "quality-buckets")
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def total(label, first, n, x):
+        return np.concatenate([[n[first].sum()], n[first] @ x[first]])
+
+    def spread(label, first, n, x):
+        return n[first] @ (x[first] - model.mean) ** 2
+
+    def loss(w):
+        def of(label, first, n, x):
+            z, good = model.standard(x), label == 1
+            diff = (z[good][:, None] - z[~good][None]).reshape(-1, width)
+            return pair_sums(diff, np.outer(n[good], n[~good]).ravel(), w)
+
+        return _bucket_sums(buckets, of)
+
+    found = _bucket_sums(buckets, total)
+    model.mean = found[1:] / found[0]
+    model.scale = _scale(np.sqrt(_bucket_sums(buckets, spread) / found[0]))
+    model.weights = newton(loss)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [features(t.as_py()).tolist() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
+            for k in range(batch.num_rows):
+                label, first, n, x = _arrays(batch.column(0), k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(model.raw(x)[first]), pa.array(label[first]), pa.array(n[first].astype(np.int64))],
+                    ["score", "label", "n"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sample, "id")
-    rows = texts.select("label", "text").mapInArrow(describe, "label int, x array<double>").collect()
-    x = {k: np.array([r["x"] for r in rows if r["label"] == k]).reshape(-1, len(FEATURES)) for k in (0, 1)}
-    # rows come in any order; a fixed one makes the fit repeatable
-    x = {k: v[np.lexsort(v.T)] for k, v in x.items()}
     share = marked.agg(F.avg("label")).first()[0]
-    return bradley_terry(x[1], x[0], share if share is not None else 1.0)
+    scores = written(buckets.mapInArrow(scored, "score double, label int, n long"), "quality-scores")
+    model.threshold = score_quantile(scores, 1 - share)
+    return model
 
 
 def score_quality(docs: DataFrame, model: PairwiseModel, id_col: str = "doc_id",

@@ -142,6 +142,53 @@ def test_weights_minimise_the_pairwise_loss():
     assert abs((weight * (everything < 0.5)).sum() - 0.4) < 0.01  # the quantile
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    """2,600 rows of a label say a little, and a few, wherever their hashes
+    lie, say what only they know: the whole table's sums are in the model."""
+    def text(i):
+        return " ".join(["word"] * (5 + i % 7) + (["12345"] if i % 2 else ["|||"]) * (1 + i % 5))
+
+    rows = [(i, text(i) + (" !!!" if i % 1300 in (3, 4) else "")) for i in range(5200)]
+    docs = spark.createDataFrame(rows + rows[:3] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5200)], "doc_id long, quality int")
+    model = fit_quality(docs, labels)
+    x = np.array([features(t) for _, t in rows + rows[:3]])
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-9)
+    assert np.allclose(model.scale, np.where(x.std(axis=0) < 1e-9, 1, x.std(axis=0)), rtol=1e-6)
+    again = fit_quality(docs.repartition(7), labels.repartition(5))
+    assert np.array_equal(model.weights, again.weights) and model.threshold == again.threshold
+    got = {r["doc_id"]: r["predicted"] for r in score_quality(docs, model).collect()}
+    assert all(got[i] == i % 2 for i, _ in rows)
+
+
+@pytest.mark.parametrize("good,bad", [(1, 700), (700, 1), (40, 3000), (300, 300)])
+def test_every_row_meets_the_other_label(spark, good, bad):
+    rows = spark.range(good + bad).select(
+        "id", (F.col("id") < good).cast("int").alias("label"), F.array([F.lit(0.0)] * len(quality.FEATURES)).alias("x"),
+        F.lit(1).cast("long").alias("n"))
+    buckets = [r["rows"] for r in quality.pair_buckets(rows, good, bad).collect()]
+    assert all({x["label"] for x in b} == {0, 1} for b in buckets)
+    assert sum(x["first"] for b in buckets for x in b) == good + bad
+    assert max(len(b) for b in buckets) < 300
+
+
+def test_quantile_of_all_scores(spark):
+    rng = np.random.default_rng(5)
+    values = np.r_[rng.normal(0, 1, 900), np.full(300, 0.25), 1e12]
+    label = rng.integers(0, 2, len(values))
+    for share in (0.001, 0.3, 0.55, 0.999):
+        weight = np.where(label == 1, (1 - share) / (label == 1).sum(), share / (label == 0).sum())
+        order = np.argsort(values, kind="stable")
+        k = min(int(np.searchsorted(np.cumsum(weight[order]), share + 1e-12, "right")), len(order) - 1)
+        at = values[order[k]]
+        others = values[values < at]
+        want = (at + (others.max() if len(others) else values[values > at].min())) / 2
+        df = spark.createDataFrame([(float(v), int(l), 1) for v, l in zip(values, label)], "score double, label int, n long")
+        assert quality.score_quantile(df, share) == pytest.approx(want)
+    same = spark.createDataFrame([(2.0, 1, 3), (2.0, 0, 1)], "score double, label int, n long")
+    assert quality.score_quantile(same, 0.4) == 2.0
+
+
 def test_features_read_the_whole_text():
     assert not np.array_equal(features(LONG), features(LONG + " !!" * 2000))
     assert np.array_equal(features(None), features("  \n"))
