@@ -78,8 +78,11 @@ def duplicate_key_summary(df: DataFrame, table_name: str, keys: list[str]) -> Da
 def top_duplicate_keys(df: DataFrame, table_name: str, keys: list[str], k: int = 5) -> DataFrame:
     """The k most repeated key values (count desc, then key asc), key values
     rendered as one text column so tables with different keys can share a
-    report.  Top-k keeps a bounded heap per task (no full sort)."""
-    v = key_violations(df, keys)
+    report.  Top-k keeps a bounded heap per task (no full sort).  The keys that
+    repeat are dealt once more, by another hash than the grouping's: small tables'
+    groupings would else be run in the one task that unions their reports, which
+    then held the hash tables of all of them."""
+    v = key_violations(df, keys).repartition(F.xxhash64(*[F.col(f"`{c}`") for c in keys]))
     order = [F.col("n").desc()] + [F.col(c).asc_nulls_first() for c in keys]
     return (v.orderBy(*order).limit(k)
             .select(F.lit(table_name).alias("table_name"),

@@ -151,3 +151,15 @@ def test_hot_order_of_q7_is_not_shuffled(spark, sf_small, monkeypatch):
              .groupBy("product_category_name_english")
              .agg(F.round(F.avg("review_score"), 2), F.count("review_score")))
     assert rows == {tuple(r) for r in plain.collect()}
+
+
+def test_top_keys_are_grouped_apart_from_the_union(spark):
+    """No grouping of keys runs in the stage that unions the reports, however
+    few partitions it has."""
+    from emporia.operators import quality
+
+    df = spark.range(50).selectExpr("id % 7 AS k", "id AS v")
+    top = quality.top_duplicate_keys(df, "t", ["k"])
+    assert [(r.key_value, r.occurrences) for r in top.collect()] == [("0", 8), ("1", 7), ("2", 7), ("3", 7), ("4", 7)]
+    above = plan(top).split("HashAggregate")[0]
+    assert above.index("TakeOrderedAndProject") < above.index("Exchange hashpartitioning(xxhash64(k")
