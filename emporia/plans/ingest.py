@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.sources import publish, value_types
-from emporia.sources.files import REASON, CsvScan, scan_csv, source_files, whole_number
+from emporia.sources.files import LAYER_OPTIONS, REASON, CsvScan, scan_csv, source_files, whole_number
 from emporia.sources.schemas import SOURCE_SCHEMAS
 
 SET_ASIDE = "_set_aside"
@@ -70,7 +70,7 @@ def _write(scan: CsvScan, path: str) -> TableLoad:
     opened = [m for k, name in enumerate(scan.open) for m in value_types.counts(name, f"open{k}_")]
     rows = scan.rows.select(*[F.col(f"`{c}`") for c in scan.columns], REASON).observe(
         told, F.count(F.lit(1)).alias("records"), F.count_if(F.col(REASON).isNotNull()).alias("bad"), *opened)
-    rows.where(F.col(REASON).isNull()).drop(REASON).write.parquet(path)
+    rows.where(F.col(REASON).isNull()).drop(REASON).write.options(**LAYER_OPTIONS).parquet(path)
     seen = told.get
     found = {name: value_types.type_of({kind: seen[f"open{k}_{kind}"] for kind in value_types.KINDS})
              for k, name in enumerate(scan.open)}
@@ -100,7 +100,7 @@ def load_table(spark: SparkSession, source: str, table: str, path: str, build: s
     if scan.open:
         text = spark.read.parquet(target)
         text.select(*[value_types.cast(c, load.found[c]).alias(c) if c in load.found else F.col(f"`{c}`")
-                      for c in text.columns]).write.parquet(path)
+                      for c in text.columns]).write.options(**LAYER_OPTIONS).parquet(path)
     return load, scan
 
 

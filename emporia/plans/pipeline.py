@@ -24,7 +24,7 @@ from emporia.plans.questions import QUESTIONS
 from emporia.plans.silver import SILVER_BUILDERS, SILVER_INPUT, build_silver
 from emporia.plans.silver_sql import silver_selects
 from emporia.sources import catalog, files, publish
-from emporia.sources.files import write_csv
+from emporia.sources.files import LAYER_OPTIONS, write_csv
 from emporia.sources.observe import with_row_count
 from emporia.sources.schemas import COLUMN_TESTS, SOURCE_TABLES
 
@@ -32,17 +32,20 @@ __all__ = ["ingest", "ingest_report", "write_tables", "build_silver_tables", "bu
            "run_pipeline", "read_layer", "LazyLayer", "layer_schemas", "references", "export_sources_csv",
            "register_layer_tables", "register_layer_views", "create_silver_views"]
 
+#: Records of an exported file.
+EXPORT_RECORDS = 2_000_000
+
 
 def export_sources_csv(bronze: Mapping[str, DataFrame], raw_dir: str) -> None:
     """Write source-shaped frames as CSV directories ``<raw_dir>/<t>.csv``
-    (the input format of the ingest step)."""
+    (the input format of the ingest step), gzipped."""
     for t in SOURCE_TABLES:
-        write_csv(bronze[t], f"{raw_dir.rstrip('/')}/{t}.csv")
+        write_csv(bronze[t], f"{raw_dir.rstrip('/')}/{t}.csv", compression="gzip", file_records=EXPORT_RECORDS)
 
 
 def _write_counted(df: DataFrame, name: str, path: str) -> int:
     observed, obs = with_row_count(df, name)
-    observed.write.parquet(path)
+    observed.write.options(**LAYER_OPTIONS).parquet(path)
     return int(obs.get["rows"])
 
 

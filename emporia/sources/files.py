@@ -35,6 +35,8 @@ _CORRUPT = "__corrupt"
 #: An empty field is NULL and a quoted empty field the empty text: no text a
 #: file could hold stands for NULL.
 READ_OPTIONS = CSV_DIALECT | {"mode": "FAILFAST", "enforceSchema": "false", "nullValue": "\u0001NULL\u0001"}
+#: Parquet files of the layers.
+LAYER_OPTIONS = {"compression": "zstd"}
 WRITE_OPTIONS = CSV_DIALECT | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
                                "emptyValue": '""'}
 
@@ -251,7 +253,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
+              file_records: int = 0) -> None:
     """CSV in the source dialect (header, doubled quotes), read back by
-    ``read_csv`` value for value: blanks, empty texts and NULLs included."""
-    df.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+    ``read_csv`` value for value: blanks, empty texts and NULLs included.
+    ``file_records``: most records of a file (0: no limit), as a compressed file is read by one task."""
+    df.write.mode(mode).options(**WRITE_OPTIONS, compression=compression, maxRecordsPerFile=file_records).csv(path)

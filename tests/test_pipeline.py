@@ -162,3 +162,24 @@ def test_single_pass_key_analysis_equals_reports(spark, sf_small):
         [r.asDict() for r in checks.duplicate_keys_top5(lay.silver).collect()])
     assert as_set(rep["duplicate_profile"]) == as_set(
         [r.asDict() for r in checks.duplicate_profile(lay.silver).collect()])
+
+
+def test_exported_and_written_files_are_compressed(spark, tmp_path):
+    """Raw CSVs are gzipped and read back value for value; layers are Parquet in zstd."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    raw, work = str(tmp_path / "raw"), str(tmp_path / "work")
+    rows = fixtures.bronze(spark)
+    export_sources_csv(rows, raw)
+    parts = glob.glob(f"{raw}/*.csv/part-*")
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    out = run_pipeline(spark, raw, work, None, None)
+    bronze = read_layer(spark, f"{work}/bronze", list(rows))
+    for t, df in rows.items():
+        assert sorted(map(str, bronze[t].collect())) == sorted(map(str, df.collect())), t
+    files = glob.glob(f"{work}/*/_versions/*/*/part-*.parquet")
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files
+              if pq.ParquetFile(f).metadata.num_row_groups}
+    assert codecs == {"ZSTD"} and out["report"]["bronze"]["orders"] == len(fixtures.ORDERS)
